@@ -1,0 +1 @@
+"""Streaming form of the incremental load (file stream of timesheets)."""
