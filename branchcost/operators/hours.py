@@ -1,9 +1,10 @@
 """Timesheet cleansing and hours worked.
 
 `timesheet_hours` is the engine's form: one pass over the timesheets with
-a CASE expression. The `*_literal` operators keep the three-way UNION ALL
-shape of the original SQL, including its double count of rows whose both
-times are blank, for comparison.
+a CASE expression. `timesheet_cleansing` / `timesheet_bad` /
+`timesheet_good` give the row sets of the original SQL's stages, and
+`timesheet_hours_literal` rebuilds hours from them (UNION ALL of bad rows
+at 8 h and good rows at their span) to check the one-pass form against.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ from branchcost.functions import (
 CLEANSED_COLUMNS = ["timesheet_id", "employee_id", "date", "checkin", "checkout"]
 
 
-def timesheet_hours(timesheets: DataFrame) -> DataFrame:
+def timesheet_hours(timesheets: DataFrame, both_blank_twice: bool = False) -> DataFrame:
     """Seconds and hours worked per timesheet row, with its year and month.
 
     Columns: timesheet_id, employee_id, year, month, work_seconds (BIGINT),
-    work_hour (DOUBLE). Blank or non-positive spans count 8 hours.
+    work_hour (DOUBLE). Blank or non-positive spans count 8 hours; with
+    `both_blank_twice` a row whose both times are blank counts 16, which
+    is what the original three-way UNION ALL computes, here in one pass.
     """
     d = parse_date("date")
     return timesheets.select(
@@ -37,46 +40,41 @@ def timesheet_hours(timesheets: DataFrame) -> DataFrame:
         "employee_id",
         year_of(d).alias("year"),
         month_of(d).alias("month"),
-        work_seconds("date", "checkin", "checkout").alias("work_seconds"),
+        work_seconds("date", "checkin", "checkout", both_blank_twice).alias("work_seconds"),
     ).withColumn("work_hour", seconds_to_hours("work_seconds"))
 
 
-def _midnight(date_col: str):
-    return parse_date(date_col).cast("timestamp_ntz")
-
-
 def timesheet_cleansing(timesheets: DataFrame) -> DataFrame:
-    """Typed timesheets as the three-way UNION ALL of the original SQL.
+    """Typed timesheets with the rows of the original three-way UNION ALL.
 
     Complete rows, rows without checkout (checkout null) and rows without
-    checkin (checkin null). A row with both times blank is in both of the
-    last two branches, its blank half read as midnight of its date.
+    checkin (checkin null). A row with both times blank belongs to both of
+    the last two branches and so gives two rows, its blank half read as
+    midnight of its date. Computed in one scan: each input row yields an
+    array of one or two (checkin, checkout) pairs that is exploded.
     """
-    date = parse_date("date")
     present_in = ~is_blank("checkin")
     present_out = ~is_blank("checkout")
-    full = timesheets.filter(present_in & present_out).select(
-        "timesheet_id",
-        "employee_id",
-        date.alias("date"),
-        parse_clock("date", "checkin").alias("checkin"),
-        parse_clock("date", "checkout").alias("checkout"),
+    cin = parse_clock("date", "checkin")
+    cout = parse_clock("date", "checkout")
+    midnight = parse_date("date").cast("timestamp_ntz")
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    first = F.when(present_in & present_out, F.struct(cin.alias("i"), cout.alias("o"))).when(
+        ~present_out, F.struct(F.coalesce(cin, midnight).alias("i"), null_ts.alias("o"))
     )
-    no_checkout = timesheets.filter(~present_out).select(
+    second = F.when(~present_in, F.struct(null_ts.alias("i"), F.coalesce(cout, midnight).alias("o")))
+    return timesheets.select(
         "timesheet_id",
         "employee_id",
-        date.alias("date"),
-        F.coalesce(parse_clock("date", "checkin"), _midnight("date")).alias("checkin"),
-        F.lit(None).cast("timestamp_ntz").alias("checkout"),
-    )
-    no_checkin = timesheets.filter(~present_in).select(
+        parse_date("date").alias("date"),
+        F.explode(F.array_compact(F.array(first, second))).alias("_t"),
+    ).select(
         "timesheet_id",
         "employee_id",
-        date.alias("date"),
-        F.lit(None).cast("timestamp_ntz").alias("checkin"),
-        F.coalesce(parse_clock("date", "checkout"), _midnight("date")).alias("checkout"),
+        "date",
+        F.col("_t.i").alias("checkin"),
+        F.col("_t.o").alias("checkout"),
     )
-    return full.unionByName(no_checkout).unionByName(no_checkin)
 
 
 def timesheet_bad(cleansed: DataFrame) -> DataFrame:

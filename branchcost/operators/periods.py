@@ -34,14 +34,19 @@ from branchcost.schemas import PERIOD_KEY, SALARY_PERIOD_COLUMNS
 PAIR_COLUMNS = ["year", "month", "employe_id", "branch_id", "salary"]
 
 
-def period_list(timesheets: DataFrame) -> DataFrame:
-    """Distinct (year, month) of the timesheet dates, ordered."""
+def period_list(timesheets: DataFrame, ordered: bool = False) -> DataFrame:
+    """Distinct (year, month) of the timesheet dates; sorted with `ordered`.
+
+    Only the date column is read, and the partial distinct before the
+    shuffle leaves one row per month and input partition. Sorting is left
+    to the caller that needs it: inside a join it would only add a
+    range-partitioning job.
+    """
     d = parse_date("date")
-    return (
-        timesheets.select(year_of(d).alias("year"), month_of(d).alias("month"))
-        .distinct()
-        .orderBy(F.col("year").asc_nulls_last(), F.col("month").asc_nulls_last())
-    )
+    periods = timesheets.select(year_of(d).alias("year"), month_of(d).alias("month")).distinct()
+    if ordered:
+        periods = periods.orderBy(F.col("year").asc_nulls_last(), F.col("month").asc_nulls_last())
+    return periods
 
 
 def _employee_dates(employees_ready: DataFrame) -> DataFrame:
@@ -58,8 +63,11 @@ def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -
     """periods LEFT JOIN employees ON join <= day 28 AND resign > day 1.
 
     Planned as a broadcast nested-loop join that streams the employees
-    against the broadcast period list; periods that no employee covers are
-    added back by an anti-join on (year, month).
+    against the broadcast period list. Periods that no employee covers are
+    added back by an anti-join on (year, month); which periods are covered
+    is decided on the distinct (first month, last month) spans of the
+    employees, a set bounded by the square of the month count, so this
+    second pass does not emit employee x period pairs.
     """
     p = F.broadcast(
         periods.select(
@@ -74,7 +82,18 @@ def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -
     pairs = e.join(p, cond, "inner").select(
         F.col("_py").alias("year"), F.col("_pm").alias("month"), "employe_id", "branch_id", "salary"
     )
-    empty = periods.join(pairs.select(*PERIOD_KEY).distinct(), PERIOD_KEY, "left_anti").select(
+    spans = F.broadcast(
+        e.select(
+            first_month_employed(F.col("_join")).alias("_first"),
+            last_month_employed(F.col("_resign")).alias("_last"),
+        ).distinct()
+    )
+    starts = periods.select("year", "month", month_start("year", "month").alias("_s"))
+    covered = (
+        starts.join(spans, (spans["_first"] <= starts["_s"]) & (spans["_last"] >= starts["_s"]), "left_semi")
+        .select(*PERIOD_KEY)
+    )
+    empty = periods.join(covered, PERIOD_KEY, "left_anti").select(
         "year",
         "month",
         F.lit(None).cast("int").alias("employe_id"),
@@ -85,8 +104,10 @@ def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -
 
 
 def _period_bounds(periods: DataFrame) -> tuple[Column, Column]:
+    """First and last month of the period list, as one scalar subquery."""
     starts = periods.select(month_start("year", "month").alias("_s"))
-    return starts.select(F.min("_s")).scalar(), starts.select(F.max("_s")).scalar()
+    bounds = starts.select(F.struct(F.min("_s").alias("lo"), F.max("_s").alias("hi"))).scalar()
+    return bounds.getField("lo"), bounds.getField("hi")
 
 
 def employee_months(periods: DataFrame, employees_ready: DataFrame) -> DataFrame:

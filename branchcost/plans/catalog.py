@@ -37,14 +37,13 @@ from branchcost.operators import (
     timesheet_employee,
     timesheet_good,
     timesheet_hours,
-    timesheet_hours_literal,
     timesheets_delta,
     timesheets_in_period,
     work_hour_by_branch_month,
 )
 from branchcost.plans.jobs import full_load, run_current_period, run_incremental, salary_by_period
 from branchcost.schemas import BRANCH_SALARY, EMPLOYEE_COLUMNS, EMPLOYEES, TIMESHEET_COLUMNS, TIMESHEETS
-from branchcost.session import ensure_checkpoint_dir
+from branchcost.session import ensure_checkpoint_dir, materialize
 from branchcost.sinks.writers import (
     append_rows,
     reload_months,
@@ -110,7 +109,7 @@ def q_branch_salary_full(spark, sf_dir):
 
 def q_branch_salary_union_literal(spark, sf_dir):
     emp, ts = _inputs(spark, sf_dir)
-    return branch_salary(timesheet_hours_literal(ts), dedup_employees(emp))
+    return branch_salary(timesheet_hours(ts, both_blank_twice=True), dedup_employees(emp))
 
 
 def q_branch_salary_self_join(spark, sf_dir):
@@ -170,7 +169,7 @@ def q_branch_salary_month(spark, sf_dir):
 
 
 def q_period_list(spark, sf_dir):
-    return period_list(load_timesheets(spark, sf_dir))
+    return period_list(load_timesheets(spark, sf_dir), ordered=True)
 
 
 def q_period_employee_range_join(spark, sf_dir):
@@ -276,7 +275,7 @@ def q_sink_staging_append(spark, sf_dir):
     path = scratch_dir(spark, "staging-employees")
     write_full_overwrite(staged_employees(emp), path)
     staged = spark.read.schema(EMPLOYEES).parquet(path)
-    delta = employees_delta(emp, staged).checkpoint()
+    delta = materialize(employees_delta(emp, staged), "employees-delta")
     append_rows(delta, path)
     return spark.read.schema(EMPLOYEES).parquet(path).select(*EMPLOYEE_COLUMNS)
 

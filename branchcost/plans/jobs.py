@@ -25,7 +25,7 @@ from branchcost.operators import (
     timesheets_in_period,
 )
 from branchcost.schemas import EMPLOYEES, TIMESHEETS
-from branchcost.session import ensure_checkpoint_dir
+from branchcost.session import ensure_checkpoint_dir, materialize
 from branchcost.sinks.writers import (
     append_rows,
     reload_months,
@@ -82,12 +82,12 @@ def run_incremental(
     """
     ensure_checkpoint_dir(spark)
     staged_emp = read_or_empty(spark, staging_employees_path, EMPLOYEES)
-    new_emp = employees_delta(source_employees, staged_emp).checkpoint()
+    new_emp = materialize(employees_delta(source_employees, staged_emp), "employees-delta")
     if not new_emp.isEmpty():
         append_rows(new_emp, staging_employees_path)
 
     staged_ts = read_or_empty(spark, staging_timesheets_path, TIMESHEETS)
-    ts_delta = timesheets_delta(source_timesheets, staged_ts).checkpoint()
+    ts_delta = materialize(timesheets_delta(source_timesheets, staged_ts), "timesheets-delta")
     if ts_delta.isEmpty():
         return JobStatus(False, "no new data")
     reload_months(ts_delta, staging_timesheets_path, materialize=False)

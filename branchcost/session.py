@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the engine relies on: UTC for every date/time function,
 # ANSI so malformed text fails instead of turning into null, AQE so joins
@@ -62,3 +63,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="branchcost-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write `df` as Parquet in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but columnar: a later job
+    that reads the result (for example one that overwrites a table `df`
+    was computed from) reads these files, not the original inputs, and a
+    lost executor is recovered from them.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/branchcost-materialized/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

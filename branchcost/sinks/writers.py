@@ -4,9 +4,14 @@ Result and timesheet staging tables are partitioned by (year, month), so
 that a job that recomputes some months rewrites only those partitions
 (dynamic partition overwrite) and a period filter prunes partitions on
 read. A writer that replaces data it also reads first materialises its
-input with a reliable `checkpoint()` in the cluster's checkpoint folder,
+input as a Parquet table in the cluster's checkpoint folder (`materialize`),
 so the write never reads files it is deleting and a lost executor is
-recomputed from the checkpoint, not from the half-replaced table.
+recomputed from those files, not from the half-replaced table.
+
+Partitioned writes carry a REBALANCE hint on (year, month): AQE then
+packs small months into one file each and splits a month that holds a
+large share of the rows into several tasks, instead of one task per
+month or one file per task and month.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from pyspark.sql import functions as F
 
 from branchcost.operators import merge_branch_salary
 from branchcost.schemas import BRANCH_SALARY, PERIOD_KEY
-from branchcost.session import ensure_checkpoint_dir
+from branchcost.session import materialize
 from branchcost.sources import read_or_empty, with_period_columns
 
 
@@ -24,6 +29,13 @@ def _dynamic(writer):
     return writer.option("partitionOverwriteMode", "dynamic")
 
 
+def _by_month(df: DataFrame):
+    return df.hint("rebalance", *PERIOD_KEY).write.partitionBy(*PERIOD_KEY)
+
+
+_materialize = materialize
+
+
 def write_full_overwrite(df: DataFrame, path: str) -> None:
     """Replace the whole table (truncate + insert). `df` must not read `path`."""
     df.write.mode("overwrite").parquet(path)
@@ -31,7 +43,7 @@ def write_full_overwrite(df: DataFrame, path: str) -> None:
 
 def write_partitioned_overwrite(df: DataFrame, path: str) -> None:
     """Replace the whole table, partitioned by (year, month)."""
-    df.write.mode("overwrite").partitionBy(*PERIOD_KEY).parquet(path)
+    _by_month(df).mode("overwrite").parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -48,9 +60,8 @@ def reload_months(df: DataFrame, path: str, date_col: str = "date", materialize:
     """
     staged = with_period_columns(df, date_col)
     if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        staged = staged.checkpoint()
-    _dynamic(staged.write.mode("overwrite").partitionBy(*PERIOD_KEY)).parquet(path)
+        staged = _materialize(staged, "months")
+    _dynamic(_by_month(staged).mode("overwrite")).parquet(path)
 
 
 def replace_periods(result: DataFrame, path: str) -> None:
@@ -58,7 +69,7 @@ def replace_periods(result: DataFrame, path: str) -> None:
 
     Branches of those months that are absent from `result` disappear.
     """
-    _dynamic(result.write.mode("overwrite").partitionBy(*PERIOD_KEY)).parquet(path)
+    _dynamic(_by_month(result).mode("overwrite")).parquet(path)
 
 
 def upsert_branch_salary(delta: DataFrame, path: str) -> None:
@@ -70,13 +81,12 @@ def upsert_branch_salary(delta: DataFrame, path: str) -> None:
     the delta stay.
     """
     spark = delta.sparkSession
-    ensure_checkpoint_dir(spark)
-    delta = delta.select(*BRANCH_SALARY.fieldNames()).checkpoint()
+    delta = _materialize(delta.select(*BRANCH_SALARY.fieldNames()), "delta")
     existing = read_or_empty(spark, path, BRANCH_SALARY)
     months = delta.select(*PERIOD_KEY).distinct()
     touched = existing.join(months, PERIOD_KEY, "left_semi")
-    merged = merge_branch_salary(touched, delta).checkpoint()
-    _dynamic(merged.write.mode("overwrite").partitionBy(*PERIOD_KEY)).parquet(path)
+    merged = _materialize(merge_branch_salary(touched, delta), "merged")
+    _dynamic(_by_month(merged).mode("overwrite")).parquet(path)
 
 
 def write_ordered(df: DataFrame, path: str, *cols: str) -> None:

@@ -16,6 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from branchcost.sources.readers import spread_small_scan
+
+LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
+
 # Fixed values of the bindings.
 EPOCH = "1995-01-01"  # day zero of generated join and resign dates
 BASE_SALARY = 5_000_000
@@ -26,13 +30,17 @@ CHECKOUT_BASE_SECONDS = 50_400  # 14:00:00
 OVERNIGHT_CHECKOUT_SECONDS = 18_000  # 05:00:00
 
 
+def _two_digits(n: Column) -> Column:
+    return F.lpad(n.cast("long").cast("string"), 2, "0")
+
+
 def _hms(seconds: Column) -> Column:
-    """HH:mm:ss text of a second-of-day count."""
-    return F.format_string(
-        "%02d:%02d:%02d",
-        (seconds / 3600).cast("long"),
-        ((seconds % 3600) / 60).cast("long"),
-        seconds % 60,
+    """HH:mm:ss text of a second-of-day count (codegen-friendly, no format_string)."""
+    return F.concat_ws(
+        ":",
+        _two_digits(F.floor(seconds / 3600)),
+        _two_digits(F.floor((seconds % 3600) / 60)),
+        _two_digits(seconds % 60),
     )
 
 
@@ -86,7 +94,8 @@ def load_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_timesheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timesheets_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    lineitem = read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    return timesheets_from_lineitem(spread_small_scan(lineitem, "l_orderkey", "l_linenumber"))
 
 
 # SQL text of the same bindings, for an independent engine (DuckDB dialect).

@@ -58,6 +58,44 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
+def _parse_bytes(text: str) -> int:
+    text = text.strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
+    return int(float(text.rstrip("kmgt")) * scale)
+
+
+def _total_bytes(spark: SparkSession, files: list[str]) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan that cannot use the cluster's cores.
+
+    A Parquet split is a row group, so a small table written as one file
+    with one row group is read by one task however many cores there are,
+    and every narrow step after the scan (parsing, partial aggregation)
+    runs in that task. When the scan has fewer files than cores *and* its
+    bytes fit in fewer than `cores` partitions, its rows are hash-spread on
+    `keys` (round-robin without keys). A large table is never reshuffled:
+    it arrives in many files or row groups and is split by the scan itself.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= cores:
+        return df
+    max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    if _total_bytes(spark, files) > cores * max_split:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+
+
 def with_period_columns(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Add integer year and month derived from a yyyy-MM-dd text column."""
     d = F.to_date(F.col(date_col), "yyyy-MM-dd")
