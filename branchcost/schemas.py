@@ -29,6 +29,12 @@ TIMESHEETS = T.StructType(
     ]
 )
 
+# Timesheet staging table: raw columns plus its (year, month) partition columns.
+STAGED_TIMESHEETS = T.StructType(
+    TIMESHEETS.fields
+    + [T.StructField("year", T.IntegerType(), True), T.StructField("month", T.IntegerType(), True)]
+)
+
 # Result of the full, incremental and current-period jobs.
 BRANCH_SALARY = T.StructType(
     [

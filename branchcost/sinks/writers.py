@@ -81,7 +81,7 @@ def upsert_branch_salary(delta: DataFrame, path: str) -> None:
     the delta stay.
     """
     spark = delta.sparkSession
-    delta = _materialize(delta.select(*BRANCH_SALARY.fieldNames()), "delta")
+    delta = delta.select(*BRANCH_SALARY.fieldNames())
     existing = read_or_empty(spark, path, BRANCH_SALARY)
     months = delta.select(*PERIOD_KEY).distinct()
     touched = existing.join(months, PERIOD_KEY, "left_semi")
