@@ -1 +1,5 @@
 """Streaming form of the incremental load (file stream of timesheets)."""
+
+from branchcost.streaming.incremental import process_batch, start_incremental_stream, timesheet_file_stream
+
+__all__ = ["process_batch", "start_incremental_stream", "timesheet_file_stream"]

@@ -155,3 +155,19 @@ def test_csv_round_trip_restores_blanks(spark, tmp_table_dir):
     emp.write.option("header", True).csv(os.path.join(tmp_table_dir, "emp"))
     assert _rows(read_timesheets_csv(spark, os.path.join(tmp_table_dir, "ts"))) == _rows(ts)
     assert _rows(read_employees_csv(spark, os.path.join(tmp_table_dir, "emp"))) == _rows(emp)
+
+
+def test_cli_runs_jobs_on_csv_input(spark, tmp_table_dir):
+    from branchcost.plans.cli import main
+
+    emp_csv = os.path.join(tmp_table_dir, "employees.csv")
+    ts_csv = os.path.join(tmp_table_dir, "timesheets.csv")
+    golden_employees(spark).write.option("header", True).csv(emp_csv)
+    golden_timesheets(spark).write.option("header", True).csv(ts_csv)
+    result = os.path.join(tmp_table_dir, "branch_salary")
+    assert main(["full-load", "--employees", emp_csv, "--timesheets", ts_csv, "--result", result]) == 0
+    assert _rows(_read_result(spark, result)) == _rows(full_load(golden_employees(spark), golden_timesheets(spark)))
+    period = os.path.join(tmp_table_dir, "period")
+    args = ["current-period", "--employees", emp_csv, "--timesheets", ts_csv, "--result", period]
+    assert main(args + ["--year", "2019", "--month", "9"]) == 0
+    assert {(r.year, r.month) for r in _read_result(spark, period).collect()} == {(2019, 9)}
