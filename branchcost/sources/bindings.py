@@ -20,6 +20,11 @@ from branchcost.sources.readers import spread_small_scan
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 
+# Types of the source columns the bindings read; passing them skips schema
+# inference (a footer read per query) and fails fast if a type changes.
+LINEITEM_INPUT = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_shipdate TIMESTAMP_NTZ"
+SUPPLIER_INPUT = "s_suppkey BIGINT, s_nationkey INT"
+
 # Fixed values of the bindings.
 EPOCH = "1995-01-01"  # day zero of generated join and resign dates
 BASE_SALARY = 5_000_000
@@ -85,16 +90,17 @@ def timesheets_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return employees_from_supplier(read_table(spark, sf_dir, "supplier"))
+    return employees_from_supplier(read_table(spark, sf_dir, "supplier", SUPPLIER_INPUT))
 
 
 def load_timesheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    lineitem = read_table(spark, sf_dir, "lineitem", LINEITEM_INPUT)
     return timesheets_from_lineitem(spread_small_scan(lineitem, "l_orderkey", "l_linenumber"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,26 +66,33 @@ def _parse_bytes(text: str) -> int:
     return int(float(text.rstrip("kmgt")) * scale)
 
 
-def _total_bytes(spark: SparkSession, files: list[str]) -> int:
+def _file_stats(spark: SparkSession, files: list[str]) -> list[tuple[str, int, int]]:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
+    stats = []
     for f in files:
         p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
+        st = p.getFileSystem(conf).getFileStatus(p)
+        stats.append((f, st.getLen(), st.getModificationTime()))
+    return stats
+
+
+_SPREAD_COPIES: dict[tuple, str] = {}
 
 
 def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that cannot use the cluster's cores.
+    """Re-lay out a small scan that cannot use the cluster's cores.
 
     A Parquet split is a row group, so a small table written as one file
-    with one row group is read by one task however many cores there are,
-    and every narrow step after the scan (parsing, partial aggregation)
-    runs in that task. When the scan has fewer files than cores *and* its
-    bytes fit in fewer than `cores` partitions, its rows are hash-spread on
-    `keys` (round-robin without keys). A large table is never reshuffled:
-    it arrives in many files or row groups and is split by the scan itself.
+    with one row group is read by one task however many cores there are;
+    every narrow step after the scan, and every filter Catalyst pushes
+    towards it (a `repartition` is no barrier to pushdown), then runs in
+    that task. When the scan has fewer files than cores *and* its bytes fit
+    in fewer than `cores` splits, the selected columns are written once as
+    `cores` files (hash-spread on `keys`) in the checkpoint folder and read
+    from there; later calls in the session reuse the copy while the source
+    files keep their size and modification time. A large table is returned
+    untouched: it arrives in many files or row groups and the scan splits it.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
@@ -91,9 +100,19 @@ def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
     if not files or len(files) >= cores:
         return df
     max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if _total_bytes(spark, files) > cores * max_split:
+    stats = _file_stats(spark, files)
+    if sum(size for _, size, _ in stats) > cores * max_split:
         return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+    key = (spark.sparkContext.applicationId, tuple(sorted(stats)), tuple(df.columns), keys, cores)
+    path = _SPREAD_COPIES.get(key)
+    if path is None or not table_exists(spark, path):
+        from branchcost.session import ensure_checkpoint_dir
+
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/branchcost-spread/{uuid.uuid4().hex}"
+        spread = df.repartition(cores, *keys) if keys else df.repartition(cores)
+        spread.write.parquet(path)
+        _SPREAD_COPIES[key] = path
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def with_period_columns(df: DataFrame, date_col: str = "date") -> DataFrame:
