@@ -75,10 +75,15 @@ def run_incremental(
     1. employees joining after the staged maximum join date are appended
        to the employee staging table;
     2. timesheets dated from the first day of the staged maximum date's
-       month on form the delta, and replace those months in the timesheet
-       staging table;
+       month on form the delta (a snapshot written to the checkpoint folder);
     3. branch_salary of the delta (against the staged employees) is upserted
-       into the result by (branch_id, year, month).
+       into the result by (branch_id, year, month);
+    4. the delta's months are replaced in the timesheet staging table.
+
+    The staging table that defines the watermark is updated last, so a job
+    that dies at any step and is run again sees the same watermark and
+    delta, and every write it repeats (append of nothing new, upsert of the
+    same keys, overwrite of the same months) leaves the same end state.
     """
     ensure_checkpoint_dir(spark)
     staged_emp = read_or_empty(spark, staging_employees_path, EMPLOYEES)
@@ -90,11 +95,11 @@ def run_incremental(
     ts_delta = materialize(timesheets_delta(source_timesheets, staged_ts), "timesheets-delta")
     if ts_delta.isEmpty():
         return JobStatus(False, "no new data")
-    reload_months(ts_delta, staging_timesheets_path, materialize=False)
 
     employees = read_or_empty(spark, staging_employees_path, EMPLOYEES)
     delta = branch_salary(timesheet_hours(ts_delta), dedup_employees(employees))
     upsert_branch_salary(delta, result_path)
+    reload_months(ts_delta, staging_timesheets_path, materialize=False)
     return JobStatus(True)
 
 

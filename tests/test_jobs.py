@@ -171,3 +171,28 @@ def test_cli_runs_jobs_on_csv_input(spark, tmp_table_dir):
     args = ["current-period", "--employees", emp_csv, "--timesheets", ts_csv, "--result", period]
     assert main(args + ["--year", "2019", "--month", "9"]) == 0
     assert {(r.year, r.month) for r in _read_result(spark, period).collect()} == {(2019, 9)}
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("failing_step", ["upsert_branch_salary", "reload_months"])
+def test_incremental_rerun_after_failure(spark, tmp_table_dir, monkeypatch, failing_step):
+    import branchcost.plans.jobs as jobs_module
+
+    emp, ts = load_employees(spark, SF_SMALL), load_timesheets(spark, SF_SMALL)
+    first = ts.filter(F.col("date") <= F.lit("1996-03-10"))
+    _replay(spark, emp, first, [None], tmp_table_dir)
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(jobs_module, failing_step, dies)
+    try:
+        _replay(spark, emp, ts, [None], tmp_table_dir)  # delta spans many months; dies at the last step
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    result, _, staging_ts, _ = _replay(spark, emp, ts, [None], tmp_table_dir)
+    assert _rows(_read_result(spark, result)) == _rows(full_load(emp, ts))
+    assert read_partitioned(spark, staging_ts, TIMESHEETS).count() == ts.count()
