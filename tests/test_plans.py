@@ -75,3 +75,18 @@ def test_watermark_reads_only_the_latest_partition(spark, tmp_table_dir):
         if line.startswith("PartitionFilters") and "year" in line and "subquery" in line.lower()
     ]
     assert pruned, "the watermark's date scan is not pruned to the latest partition"
+
+
+def test_upsert_reads_only_touched_months(spark, tmp_table_dir):
+    from branchcost.operators import merge_branch_salary
+    from branchcost.schemas import BRANCH_SALARY, PERIOD_KEY
+    from branchcost.sinks.writers import write_partitioned_overwrite
+    from branchcost.sources import read_or_empty
+
+    emp, ts = load_employees(spark, SF_SMALL), load_timesheets(spark, SF_SMALL)
+    path = os.path.join(tmp_table_dir, "result")
+    write_partitioned_overwrite(full_load(emp, ts), path)
+    delta = full_load(emp, ts.filter(F.col("date") >= "2001-01-01"))
+    existing = read_or_empty(spark, path, BRANCH_SALARY)
+    touched = existing.join(delta.select(*PERIOD_KEY).distinct(), PERIOD_KEY, "left_semi")
+    assert "dynamicpruning" in plan(merge_branch_salary(touched, delta), "simple")
