@@ -13,8 +13,7 @@ becomes a timesheet.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from branchcost.sources.readers import spread_small_scan
 
@@ -35,58 +34,48 @@ CHECKOUT_BASE_SECONDS = 50_400  # 14:00:00
 OVERNIGHT_CHECKOUT_SECONDS = 18_000  # 05:00:00
 
 
-def _two_digits(n: Column) -> Column:
-    return F.lpad(n.cast("long").cast("string"), 2, "0")
-
-
-def _hms(seconds: Column) -> Column:
-    """HH:mm:ss text of a second-of-day count (codegen-friendly, no format_string)."""
-    return F.concat_ws(
-        ":",
-        _two_digits(F.floor(seconds / 3600)),
-        _two_digits(F.floor((seconds % 3600) / 60)),
-        _two_digits(seconds % 60),
-    )
+def _hms(seconds: str) -> str:
+    """Spark SQL text: HH:mm:ss of a second-of-day expression (no format_string, which is slow)."""
+    parts = [f"{seconds} div 3600", f"{seconds} % 3600 div 60", f"{seconds} % 60"]
+    return "concat_ws(':', " + ", ".join(f"lpad(CAST({p} AS STRING), 2, '0')" for p in parts) + ")"
 
 
 def employees_from_supplier(supplier: DataFrame) -> DataFrame:
-    """Employee rows: base suppliers, a raised copy of every 7th, an exact copy of every 11th."""
-    k = F.col("s_suppkey")
-    join_offset = (k * 37 % 1800).cast("int")
-    epoch = F.lit(EPOCH).cast("date")
-    salary = (F.lit(BASE_SALARY) + F.lit(SALARY_STEP) * (k % 20)).cast("int")
-    variants = F.array_compact(
-        F.array(
-            salary,
-            F.when(k % 7 == 0, salary + F.lit(RAISE)),
-            F.when(k % 11 == 0, salary),
-        )
-    )
-    resign = F.date_format(F.date_add(epoch, join_offset + 400 + (k % 300).cast("int")), "yyyy-MM-dd")
-    return supplier.filter(k % 10 != 9).select(
-        k.cast("int").alias("employe_id"),
-        F.col("s_nationkey").cast("int").alias("branch_id"),
-        F.explode(variants).alias("salary"),
-        F.date_format(F.date_add(epoch, join_offset), "yyyy-MM-dd").alias("join_date"),
-        F.when(k % 4 == 1, resign).otherwise(F.lit("")).alias("resign_date"),
+    """Employee rows: base suppliers, a raised copy of every 7th, an exact copy of every 11th.
+
+    One scan of `supplier`; the copies come from an `explode` of one to
+    three salaries per supplier row. Written as Spark SQL expressions, which
+    cost a handful of JVM calls to build instead of one per function.
+    """
+    salary = f"CAST({BASE_SALARY} + {SALARY_STEP} * (s_suppkey % 20) AS INT)"
+    join_offset = "CAST(s_suppkey * 37 % 1800 AS INT)"
+    resign_offset = f"{join_offset} + 400 + CAST(s_suppkey % 300 AS INT)"
+    return supplier.filter("s_suppkey % 10 <> 9").selectExpr(
+        "CAST(s_suppkey AS INT) AS employe_id",
+        "CAST(s_nationkey AS INT) AS branch_id",
+        f"explode(array_compact(array({salary},"
+        f" CASE WHEN s_suppkey % 7 = 0 THEN {salary} + {RAISE} END,"
+        f" CASE WHEN s_suppkey % 11 = 0 THEN {salary} END))) AS salary",
+        f"date_format(date_add(DATE'{EPOCH}', {join_offset}), 'yyyy-MM-dd') AS join_date",
+        f"CASE WHEN s_suppkey % 4 = 1"
+        f" THEN date_format(date_add(DATE'{EPOCH}', {resign_offset}), 'yyyy-MM-dd') ELSE '' END AS resign_date",
     )
 
 
 def timesheets_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """One timesheet per lineitem row."""
-    okey, pkey, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    checkin_s = F.lit(CHECKIN_BASE_SECONDS) + F.lit(600) * (pkey % 18)
+    """One timesheet per lineitem row (Spark SQL expressions, see above)."""
+    checkin_s = f"({CHECKIN_BASE_SECONDS} + 600 * (l_partkey % 18))"
     checkout_s = (
-        F.when(line == 7, F.lit(OVERNIGHT_CHECKOUT_SECONDS).cast("long"))
-        .when((line == 6) & (okey % 5 == 0), checkin_s)
-        .otherwise(F.lit(CHECKOUT_BASE_SECONDS) + F.lit(36) * (okey % 600))
+        f"(CASE WHEN l_linenumber = 7 THEN {OVERNIGHT_CHECKOUT_SECONDS}"
+        f" WHEN l_linenumber = 6 AND l_orderkey % 5 = 0 THEN {checkin_s}"
+        f" ELSE {CHECKOUT_BASE_SECONDS} + 36 * (l_orderkey % 600) END)"
     )
-    return lineitem.select(
-        (okey * 10 + line).cast("long").alias("timesheet_id"),
-        F.col("l_suppkey").cast("int").alias("employee_id"),
-        F.date_format(F.col("l_shipdate"), "yyyy-MM-dd").alias("date"),
-        F.when(okey % 23 == 0, F.lit("")).otherwise(_hms(checkin_s)).alias("checkin"),
-        F.when(pkey % 29 == 0, F.lit("")).otherwise(_hms(checkout_s)).alias("checkout"),
+    return lineitem.selectExpr(
+        "CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS timesheet_id",
+        "CAST(l_suppkey AS INT) AS employee_id",
+        "date_format(l_shipdate, 'yyyy-MM-dd') AS date",
+        f"CASE WHEN l_orderkey % 23 = 0 THEN '' ELSE {_hms(checkin_s)} END AS checkin",
+        f"CASE WHEN l_partkey % 29 = 0 THEN '' ELSE {_hms(checkout_s)} END AS checkout",
     )
 
 
