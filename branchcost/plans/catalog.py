@@ -43,7 +43,7 @@ from branchcost.operators import (
 )
 from branchcost.plans.jobs import full_load, run_current_period, run_incremental, salary_by_period
 from branchcost.schemas import BRANCH_SALARY, EMPLOYEE_COLUMNS, EMPLOYEES, TIMESHEET_COLUMNS, TIMESHEETS
-from branchcost.session import ensure_checkpoint_dir, materialize
+from branchcost.session import ensure_checkpoint_dir, snapshot
 from branchcost.sinks.writers import (
     append_rows,
     reload_months,
@@ -275,8 +275,8 @@ def q_sink_staging_append(spark, sf_dir):
     path = scratch_dir(spark, "staging-employees")
     write_full_overwrite(staged_employees(emp), path)
     staged = spark.read.schema(EMPLOYEES).parquet(path)
-    delta = materialize(employees_delta(emp, staged), "employees-delta")
-    append_rows(delta, path)
+    with snapshot(employees_delta(emp, staged), "employees-delta") as delta:
+        append_rows(delta, path)
     return spark.read.schema(EMPLOYEES).parquet(path).select(*EMPLOYEE_COLUMNS)
 
 

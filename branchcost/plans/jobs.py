@@ -25,7 +25,7 @@ from branchcost.operators import (
     timesheets_in_period,
 )
 from branchcost.schemas import EMPLOYEES, STAGED_TIMESHEETS
-from branchcost.session import ensure_checkpoint_dir, materialize
+from branchcost.session import ensure_checkpoint_dir, snapshot
 from branchcost.sinks.writers import (
     append_rows,
     reload_months,
@@ -75,7 +75,8 @@ def run_incremental(
     1. employees joining after the staged maximum join date are appended
        to the employee staging table;
     2. timesheets dated from the first day of the staged maximum date's
-       month on form the delta (a snapshot written to the checkpoint folder);
+       month on form the delta (a snapshot in the checkpoint folder, removed
+       when the job ends);
     3. branch_salary of the delta (against the staged employees) is upserted
        into the result by (branch_id, year, month);
     4. the delta's months are replaced in the timesheet staging table.
@@ -87,19 +88,18 @@ def run_incremental(
     """
     ensure_checkpoint_dir(spark)
     staged_emp = read_or_empty(spark, staging_employees_path, EMPLOYEES)
-    new_emp = materialize(employees_delta(source_employees, staged_emp), "employees-delta")
-    if not new_emp.isEmpty():
-        append_rows(new_emp, staging_employees_path)
+    with snapshot(employees_delta(source_employees, staged_emp), "employees-delta") as new_emp:
+        if not new_emp.isEmpty():
+            append_rows(new_emp, staging_employees_path)
 
     staged_ts = read_or_empty(spark, staging_timesheets_path, STAGED_TIMESHEETS)
-    ts_delta = materialize(timesheets_delta(source_timesheets, staged_ts), "timesheets-delta")
-    if ts_delta.isEmpty():
-        return JobStatus(False, "no new data")
-
-    employees = read_or_empty(spark, staging_employees_path, EMPLOYEES)
-    delta = branch_salary(timesheet_hours(ts_delta), dedup_employees(employees))
-    upsert_branch_salary(delta, result_path)
-    reload_months(ts_delta, staging_timesheets_path, materialize=False)
+    with snapshot(timesheets_delta(source_timesheets, staged_ts), "timesheets-delta") as ts_delta:
+        if ts_delta.isEmpty():
+            return JobStatus(False, "no new data")
+        employees = read_or_empty(spark, staging_employees_path, EMPLOYEES)
+        delta = branch_salary(timesheet_hours(ts_delta), dedup_employees(employees))
+        upsert_branch_salary(delta, result_path)
+        reload_months(ts_delta, staging_timesheets_path, materialize=False)
     return JobStatus(True)
 
 

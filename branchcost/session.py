@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,16 +67,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write `df` as Parquet in the shared checkpoint folder and read it back.
+def _delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
-    Cuts the lineage like a reliable checkpoint, but columnar: a later job
-    that reads the result (for example one that overwrites a table `df`
-    was computed from) reads these files, not the original inputs, and a
-    lost executor is recovered from them.
+
+@contextmanager
+def snapshot(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """Write `df` as Parquet in the shared checkpoint folder; yield it read back.
+
+    Cuts the lineage like a reliable checkpoint, but columnar: a later step
+    that reads the snapshot (for example a write that overwrites a table
+    `df` was computed from) reads these files, not the original inputs, and
+    a lost executor is recovered from them. The snapshot is the job's own
+    intermediate data and is deleted when the block ends; every action that
+    reads it must run inside the block.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/branchcost-materialized/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/branchcost-snapshots/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete_path(spark, path)

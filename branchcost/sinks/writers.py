@@ -4,7 +4,7 @@ Result and timesheet staging tables are partitioned by (year, month), so
 that a job that recomputes some months rewrites only those partitions
 (dynamic partition overwrite) and a period filter prunes partitions on
 read. A writer that replaces data it also reads first materialises its
-input as a Parquet table in the cluster's checkpoint folder (`materialize`),
+input as a Parquet table in the cluster's checkpoint folder (`snapshot`),
 so the write never reads files it is deleting and a lost executor is
 recomputed from those files, not from the half-replaced table.
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from branchcost.operators import merge_branch_salary
 from branchcost.schemas import BRANCH_SALARY, PERIOD_KEY
-from branchcost.session import materialize
+from branchcost.session import snapshot
 from branchcost.sources import read_or_empty, with_period_columns
 
 
@@ -33,9 +33,6 @@ def _by_month(df: DataFrame):
     return df.hint("rebalance", *PERIOD_KEY).write.partitionBy(*PERIOD_KEY)
 
 
-_materialize = materialize
-
-
 def write_full_overwrite(df: DataFrame, path: str) -> None:
     """Replace the whole table (truncate + insert). `df` must not read `path`."""
     df.write.mode("overwrite").parquet(path)
@@ -59,9 +56,11 @@ def reload_months(df: DataFrame, path: str, date_col: str = "date", materialize:
     read `path`.
     """
     staged = with_period_columns(df, date_col)
-    if materialize:
-        staged = _materialize(staged, "months")
-    _dynamic(_by_month(staged).mode("overwrite")).parquet(path)
+    if not materialize:
+        _dynamic(_by_month(staged).mode("overwrite")).parquet(path)
+        return
+    with snapshot(staged, "months") as frozen:
+        _dynamic(_by_month(frozen).mode("overwrite")).parquet(path)
 
 
 def replace_periods(result: DataFrame, path: str) -> None:
@@ -85,8 +84,8 @@ def upsert_branch_salary(delta: DataFrame, path: str) -> None:
     existing = read_or_empty(spark, path, BRANCH_SALARY)
     months = delta.select(*PERIOD_KEY).distinct()
     touched = existing.join(months, PERIOD_KEY, "left_semi")
-    merged = _materialize(merge_branch_salary(touched, delta), "merged")
-    _dynamic(_by_month(merged).mode("overwrite")).parquet(path)
+    with snapshot(merge_branch_salary(touched, delta), "merged") as merged:
+        _dynamic(_by_month(merged).mode("overwrite")).parquet(path)
 
 
 def write_ordered(df: DataFrame, path: str, *cols: str) -> None:

@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from branchcost.functions import null_to_blank
 from branchcost.operators import branch_salary, dedup_employees, timesheet_hours, timesheets_delta
 from branchcost.schemas import PERIOD_KEY, STAGED_TIMESHEETS, TIMESHEET_COLUMNS, TIMESHEETS
-from branchcost.session import ensure_checkpoint_dir, materialize
+from branchcost.session import ensure_checkpoint_dir, snapshot
 from branchcost.sinks.writers import upsert_branch_salary
 from branchcost.sources import read_or_empty, with_period_columns
 
@@ -52,20 +52,21 @@ def process_batch(
     staged = read_or_empty(spark, staging_path, STREAM_STAGED_TIMESHEETS)
     earlier = staged.filter(F.col(BATCH_COLUMN) != F.lit(batch_id))
     fresh = timesheets_delta(batch.select(*TIMESHEET_COLUMNS), earlier)
-    fresh = materialize(with_period_columns(fresh).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long")), "stream")
-    if fresh.isEmpty():
-        return False
-    (
-        fresh.hint("rebalance", *PERIOD_KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PERIOD_KEY, BATCH_COLUMN)
-        .parquet(staging_path)
-    )
-    months = fresh.select(*PERIOD_KEY).distinct()
-    month_rows = read_or_empty(spark, staging_path, STREAM_STAGED_TIMESHEETS).join(
-        F.broadcast(months), PERIOD_KEY, "left_semi"
-    )
+    fresh = with_period_columns(fresh).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
+    with snapshot(fresh, "stream-batch") as frozen:
+        if frozen.isEmpty():
+            return False
+        (
+            frozen.hint("rebalance", *PERIOD_KEY)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PERIOD_KEY, BATCH_COLUMN)
+            .parquet(staging_path)
+        )
+    staged = read_or_empty(spark, staging_path, STREAM_STAGED_TIMESHEETS)
+    # months of this micro-batch, from its own staged partitions (pruned on `batch`)
+    months = staged.filter(F.col(BATCH_COLUMN) == F.lit(batch_id)).select(*PERIOD_KEY).distinct()
+    month_rows = staged.join(F.broadcast(months), PERIOD_KEY, "left_semi")
     delta = branch_salary(timesheet_hours(month_rows), dedup_employees(employees))
     upsert_branch_salary(delta, result_path)
     return True

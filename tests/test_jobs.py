@@ -196,3 +196,13 @@ def test_incremental_rerun_after_failure(spark, tmp_table_dir, monkeypatch, fail
     result, _, staging_ts, _ = _replay(spark, emp, ts, [None], tmp_table_dir)
     assert _rows(_read_result(spark, result)) == _rows(full_load(emp, ts))
     assert read_partitioned(spark, staging_ts, TIMESHEETS).count() == ts.count()
+
+
+def test_jobs_remove_their_snapshots(spark, tmp_table_dir):
+    from branchcost.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/") + "/branchcost-snapshots"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    _replay(spark, golden_employees(spark), golden_timesheets(spark), ["2019-08-22", None], tmp_table_dir)
+    after = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert after - before == set()
