@@ -78,6 +78,7 @@ def _file_stats(spark: SparkSession, files: list[str]) -> list[tuple[str, int, i
 
 
 _SPREAD_COPIES: dict[tuple, str] = {}
+SPREAD_MAX_BYTES = 1 << 30  # never copy more than 1 GiB, whatever the core count
 
 
 def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
@@ -88,11 +89,14 @@ def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
     every narrow step after the scan, and every filter Catalyst pushes
     towards it (a `repartition` is no barrier to pushdown), then runs in
     that task. When the scan has fewer files than cores *and* its bytes fit
-    in fewer than `cores` splits, the selected columns are written once as
-    `cores` files (hash-spread on `keys`) in the checkpoint folder and read
-    from there; later calls in the session reuse the copy while the source
-    files keep their size and modification time. A large table is returned
-    untouched: it arrives in many files or row groups and the scan splits it.
+    in fewer than `cores` splits *and* it is under SPREAD_MAX_BYTES, the
+    selected columns are written once as `cores` files (hash-spread on
+    `keys`) in the checkpoint folder and read from there; later calls in the
+    session reuse the copy while the source files keep their size and
+    modification time. Anything larger is returned untouched: a large table
+    arrives in many files or row groups and the scan splits it, and the
+    absolute cap keeps a big cluster (thousands of cores) from copying a
+    large single file that is already split by its row groups.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
@@ -101,7 +105,7 @@ def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
         return df
     max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     stats = _file_stats(spark, files)
-    if sum(size for _, size, _ in stats) > cores * max_split:
+    if sum(size for _, size, _ in stats) > min(cores * max_split, SPREAD_MAX_BYTES):
         return df
     key = (spark.sparkContext.applicationId, tuple(sorted(stats)), tuple(df.columns), keys, cores)
     path = _SPREAD_COPIES.get(key)

@@ -90,3 +90,16 @@ def test_upsert_reads_only_touched_months(spark, tmp_table_dir):
     existing = read_or_empty(spark, path, BRANCH_SALARY)
     touched = existing.join(delta.select(*PERIOD_KEY).distinct(), PERIOD_KEY, "left_semi")
     assert "dynamicpruning" in plan(merge_branch_salary(touched, delta), "simple")
+
+
+def test_scan_relayout_only_for_small_under_split_inputs(spark, monkeypatch):
+    import branchcost.sources.readers as readers
+    from branchcost.sources import read_table
+
+    lineitem = read_table(spark, SF_SMALL, "lineitem").select("l_orderkey")
+    spread = readers.spread_small_scan(lineitem, "l_orderkey")
+    assert len(spread.inputFiles()) > 1  # one small file, re-laid out as one file per core
+    monkeypatch.setattr(readers, "SPREAD_MAX_BYTES", 1)
+    assert readers.spread_small_scan(read_table(spark, SF_SMALL, "orders").select("o_orderkey")).inputFiles() == (
+        read_table(spark, SF_SMALL, "orders").inputFiles()
+    )
