@@ -130,7 +130,10 @@ def employee_months(periods: DataFrame, employees_ready: DataFrame) -> DataFrame
     an open-ended employment expands only over the span of the data.
     """
     lo, hi = _period_bounds(periods)
-    e = _employee_dates(employees_ready).filter(F.col("_join").isNotNull() & F.col("_resign").isNotNull())
+    # greatest/least skip nulls: without periods (null bounds) nothing may expand
+    e = _employee_dates(employees_ready).filter(
+        F.col("_join").isNotNull() & F.col("_resign").isNotNull() & lo.isNotNull() & hi.isNotNull()
+    )
     first = F.greatest(first_month_employed(F.col("_join")), lo)
     last = F.least(last_month_employed(F.col("_resign")), hi)
     months = (

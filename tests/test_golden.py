@@ -120,3 +120,12 @@ def test_employees_loaded_twice_dedup_to_the_same_rows(spark):
     # every kept row carries the highest salary of its id
     top = {r.employe_id: r.top for r in emp.groupBy("employe_id").agg(F.max("salary").alias("top")).collect()}
     assert all(row[2] == top[row[0]] for row in once)
+
+
+def test_no_timesheets_gives_no_periods_and_expands_nothing(spark):
+    from branchcost.operators import employee_months
+
+    emp = employees_period_ready(golden_employees(spark))
+    no_ts = golden_timesheets(spark).filter(F.lit(False))
+    assert employee_months(period_list(no_ts), emp).count() == 0
+    assert salary_by_period(golden_employees(spark), no_ts).count() == 0
