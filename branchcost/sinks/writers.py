@@ -83,7 +83,19 @@ def upsert_branch_salary(delta: DataFrame, path: str) -> None:
     delta = delta.select(*BRANCH_SALARY.fieldNames())
     existing = read_or_empty(spark, path, BRANCH_SALARY)
     months = delta.select(*PERIOD_KEY).distinct()
+    # equality semi-join: planned as dynamic partition pruning of the scan
     touched = existing.join(months, PERIOD_KEY, "left_semi")
+    # rows of a null (year, month) partition (timesheets without a date) are
+    # matched null-safely; the isNull filter prunes the scan to that partition
+    null_month = F.col("year").isNull() | F.col("month").isNull()
+    nm = months.filter(null_month).select(*[F.col(c).alias(f"_n_{c}") for c in PERIOD_KEY])
+    null_rows = existing.filter(null_month)
+    null_rows = null_rows.join(
+        nm,
+        null_rows["year"].eqNullSafe(nm["_n_year"]) & null_rows["month"].eqNullSafe(nm["_n_month"]),
+        "left_semi",
+    )
+    touched = touched.unionByName(null_rows)
     with snapshot(merge_branch_salary(touched, delta), "merged") as merged:
         _dynamic(_by_month(merged).mode("overwrite")).parquet(path)
 

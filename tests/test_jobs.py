@@ -206,3 +206,15 @@ def test_jobs_remove_their_snapshots(spark, tmp_table_dir):
     _replay(spark, golden_employees(spark), golden_timesheets(spark), ["2019-08-22", None], tmp_table_dir)
     after = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     assert after - before == set()
+
+
+def test_upsert_merges_the_null_month_partition(spark, tmp_table_dir):
+    path = os.path.join(tmp_table_dir, "result")
+    first = spark.createDataFrame(
+        [(1, None, None, 8.0, 5, 1.0), (2, None, None, 8.0, 6, 1.0), (1, 2019, 8, 1.0, 5, 5.0)], BRANCH_SALARY
+    )
+    upsert_branch_salary(first, path)
+    upsert_branch_salary(spark.createDataFrame([(1, None, None, 16.0, 5, 2.0)], BRANCH_SALARY), path)
+    assert _rows(_read_result(spark, path)) == sorted(
+        [(1, None, None, 16.0, 5, 2.0), (2, None, None, 8.0, 6, 1.0), (1, 2019, 8, 1.0, 5, 5.0)], key=str
+    )
