@@ -129,3 +129,15 @@ def test_no_timesheets_gives_no_periods_and_expands_nothing(spark):
     no_ts = golden_timesheets(spark).filter(F.lit(False))
     assert employee_months(period_list(no_ts), emp).count() == 0
     assert salary_by_period(golden_employees(spark), no_ts).count() == 0
+
+
+def test_sql_views_give_the_job_results(spark):
+    from branchcost.plans.views import register_views
+
+    register_views(spark, golden_employees(spark), golden_timesheets(spark))
+    rows = spark.sql(
+        "SELECT branch_id, year, month, total_work_hour, total_salary, salary_per_hour FROM branch_salary"
+    ).collect()
+    assert {(r[0], r[1], r[2]): (r[3], r[4], r[5]) for r in rows} == EXPECTED_BRANCH_SALARY
+    got = {tuple(r) for r in spark.sql("SELECT year, month, branch_id, `sum` FROM salary_period").collect()}
+    assert got == EXPECTED_SALARY_PERIOD
