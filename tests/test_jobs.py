@@ -218,3 +218,25 @@ def test_upsert_merges_the_null_month_partition(spark, tmp_table_dir):
     assert _rows(_read_result(spark, path)) == sorted(
         [(1, None, None, 16.0, 5, 2.0), (2, None, None, 8.0, 6, 1.0), (1, 2019, 8, 1.0, 5, 5.0)], key=str
     )
+
+
+def test_cli_incremental_and_salary_period(spark, tmp_table_dir, capsys):
+    from branchcost.plans.cli import main
+
+    emp_csv = os.path.join(tmp_table_dir, "employees.csv")
+    ts_csv = os.path.join(tmp_table_dir, "timesheets.csv")
+    golden_employees(spark).write.option("header", True).csv(emp_csv)
+    golden_timesheets(spark).write.option("header", True).csv(ts_csv)
+    args = [
+        "incremental", "--employees", emp_csv, "--timesheets", ts_csv,
+        "--result", os.path.join(tmp_table_dir, "result"),
+        "--staging-employees", os.path.join(tmp_table_dir, "se"),
+        "--staging-timesheets", os.path.join(tmp_table_dir, "st"),
+    ]
+    assert main(args) == 0 and main(args) == 0  # a second run with nothing new changes nothing
+    expected = _rows(full_load(golden_employees(spark), golden_timesheets(spark)))
+    assert _rows(_read_result(spark, os.path.join(tmp_table_dir, "result"))) == expected
+    period = os.path.join(tmp_table_dir, "salary_period")
+    assert main(["salary-period", "--employees", emp_csv, "--timesheets", ts_csv, "--result", period]) == 0
+    got = {tuple(r) for r in spark.read.schema(SALARY_PERIOD).parquet(period).collect()}
+    assert got == {tuple(r) for r in salary_by_period(golden_employees(spark), golden_timesheets(spark)).collect()}
