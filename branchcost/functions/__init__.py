@@ -9,6 +9,7 @@ from branchcost.functions.columns import (
     is_blank,
     last_month_employed,
     month_of,
+    month_of_text,
     month_start,
     null_to_blank,
     parse_clock,
@@ -16,6 +17,7 @@ from branchcost.functions.columns import (
     seconds_to_hours,
     work_seconds,
     year_of,
+    year_of_text,
 )
 
 __all__ = [
@@ -27,6 +29,7 @@ __all__ = [
     "is_blank",
     "last_month_employed",
     "month_of",
+    "month_of_text",
     "month_start",
     "null_to_blank",
     "parse_clock",
@@ -34,4 +37,5 @@ __all__ = [
     "seconds_to_hours",
     "work_seconds",
     "year_of",
+    "year_of_text",
 ]

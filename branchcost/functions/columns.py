@@ -1,7 +1,11 @@
 """Column expressions shared by the operators.
 
-All of them are built-in Spark expressions, so they stay inside
-whole-stage codegen; none of them is a UDF.
+Each helper takes column names and returns one built-in Spark expression,
+written as Spark SQL text and turned into a Column by `F.expr`: the same
+expression tree as the equivalent `pyspark.sql.functions` chain (it stays
+inside whole-stage codegen; none of it is a UDF), but built with one JVM
+call instead of dozens, which matters when every query rebuilds its plan.
+The `*_sql` functions return the text, for composing larger expressions.
 """
 
 from __future__ import annotations
@@ -11,7 +15,6 @@ from pyspark.sql import functions as F
 
 # Fixed values of the payroll rules.
 DATE_FORMAT = "yyyy-MM-dd"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DEFAULT_WORK_SECONDS = 8 * 3600  # 8 hours when a time is missing or not after checkin
 STILL_EMPLOYED_DATE = "2900-01-01"  # resign date used for employees who have not resigned
 EMPTY_WATERMARK_DATE = "1900-01-01"  # high-water mark of an empty staging table
@@ -19,57 +22,79 @@ LAST_JOIN_DAY = 28  # joining after this day of the month skips the month
 FIRST_RESIGN_DAY = 1  # resigning on this day of the month skips the month
 
 
-def col_of(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def q(name: str) -> str:
+    """Quoted column reference."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def is_blank(c: Column | str) -> Column:
-    """True for '' and for null: a CSV reader turns an empty field into null."""
-    c = col_of(c)
-    return c.isNull() | (c == F.lit(""))
-
+def blank_sql(c: str) -> str:
+    return f"({q(c)} IS NULL OR {q(c)} = '')"
 
-def blank_to_null(c: Column | str) -> Column:
-    c = col_of(c)
-    return F.when(~is_blank(c), c)
 
+def date_sql(c: str) -> str:
+    """Text date (yyyy-MM-dd) to DATE; blank gives null.
 
-def null_to_blank(c: Column | str) -> Column:
-    return F.coalesce(col_of(c), F.lit(""))
+    An ANSI cast rather than a pattern parse: several times cheaper per row,
+    and malformed text still fails the job.
+    """
+    return f"(CASE WHEN NOT {blank_sql(c)} THEN CAST({q(c)} AS DATE) END)"
 
 
-def parse_date(c: Column | str) -> Column:
-    """Text date (yyyy-MM-dd) to DATE; blank gives null.
+def clock_sql(date: str, clock: str) -> str:
+    """Date text plus HH:mm:ss text to TIMESTAMP_NTZ; null when either is blank.
 
-    An ANSI cast rather than a pattern parse: it is several times cheaper
-    per row and still fails the job on malformed text.
+    TIMESTAMP_NTZ has no time zone, so no daylight-saving change can bend a
+    span. Parsed by an ANSI cast: malformed text fails the job.
     """
-    c = col_of(c)
-    return F.when(~is_blank(c), c.cast("date"))
+    return (
+        f"(CASE WHEN NOT {blank_sql(date)} AND NOT {blank_sql(clock)}"
+        f" THEN CAST(concat({q(date)}, ' ', {q(clock)}) AS TIMESTAMP_NTZ) END)"
+    )
 
 
-def parse_date_strict(c: Column | str) -> Column:
-    """Text date to DATE with the exact yyyy-MM-dd pattern (for cold paths)."""
-    c = col_of(c)
-    return F.when(~is_blank(c), F.to_date(c, DATE_FORMAT))
+def work_seconds_sql(date: str, checkin: str, checkout: str, both_blank_twice: bool = False) -> str:
+    cin, cout = clock_sql(date, checkin), clock_sql(date, checkout)
+    seconds = (
+        f"(CASE WHEN {cin} IS NULL OR {cout} IS NULL OR {cout} <= {cin}"
+        f" THEN CAST({DEFAULT_WORK_SECONDS} AS BIGINT) ELSE timestampdiff(SECOND, {cin}, {cout}) END)"
+    )
+    if both_blank_twice:
+        seconds = (
+            f"(CASE WHEN {blank_sql(checkin)} AND {blank_sql(checkout)}"
+            f" THEN CAST({2 * DEFAULT_WORK_SECONDS} AS BIGINT) ELSE {seconds} END)"
+        )
+    return seconds
 
 
-def parse_clock(date: Column | str, clock: Column | str) -> Column:
-    """Date text plus HH:mm:ss text to TIMESTAMP_NTZ; null when either is blank.
+def is_blank(c: str) -> Column:
+    """True for '' and for null: a CSV reader turns an empty field into null."""
+    return F.expr(blank_sql(c))
+
+
+def blank_to_null(c: str) -> Column:
+    return F.expr(f"CASE WHEN NOT {blank_sql(c)} THEN {q(c)} END")
 
-    TIMESTAMP_NTZ has no time zone, so no daylight-saving change can bend
-    a span. Parsed by an ANSI cast: malformed text fails the job.
-    """
-    date, clock = col_of(date), col_of(clock)
-    return F.when(
-        ~is_blank(date) & ~is_blank(clock),
-        F.concat(date, F.lit(" "), clock).cast("timestamp_ntz"),
-    )
 
+def null_to_blank(c: str) -> Column:
+    return F.expr(f"coalesce({q(c)}, '')")
 
-def work_seconds(
-    date: Column | str, checkin: Column | str, checkout: Column | str, both_blank_twice: bool = False
-) -> Column:
+
+def parse_date(c: str) -> Column:
+    """Text date (yyyy-MM-dd) to DATE; blank gives null (see `date_sql`)."""
+    return F.expr(date_sql(c))
+
+
+def parse_date_strict(c: str) -> Column:
+    """Text date to DATE with the exact yyyy-MM-dd pattern (for cold paths)."""
+    return F.expr(f"CASE WHEN NOT {blank_sql(c)} THEN to_date({q(c)}, '{DATE_FORMAT}') END")
+
+
+def parse_clock(date: str, clock: str) -> Column:
+    """Date text plus HH:mm:ss text to TIMESTAMP_NTZ (see `clock_sql`)."""
+    return F.expr(clock_sql(date, clock))
+
+
+def work_seconds(date: str, checkin: str, checkout: str, both_blank_twice: bool = False) -> Column:
     """Whole seconds worked in one timesheet row.
 
     8 hours when a time is blank or checkout is not after checkin,
@@ -77,50 +102,60 @@ def work_seconds(
     counts 8 hours once, or twice with `both_blank_twice` (the result of
     the original three-way UNION ALL, where such a row is in two branches).
     """
-    cin = parse_clock(date, checkin)
-    cout = parse_clock(date, checkout)
-    seconds = F.when(
-        cin.isNull() | cout.isNull() | (cout <= cin), F.lit(DEFAULT_WORK_SECONDS).cast("long")
-    ).otherwise(F.timestamp_diff("SECOND", cin, cout))
-    if both_blank_twice:
-        seconds = F.when(
-            is_blank(checkin) & is_blank(checkout), F.lit(2 * DEFAULT_WORK_SECONDS).cast("long")
-        ).otherwise(seconds)
-    return seconds
+    return F.expr(work_seconds_sql(date, checkin, checkout, both_blank_twice))
 
 
 def seconds_to_hours(seconds: Column | str) -> Column:
     """Hours as DOUBLE from a whole-second total, divided once."""
-    return col_of(seconds).cast("double") / F.lit(3600.0)
+    c = F.col(seconds) if isinstance(seconds, str) else seconds
+    return c.cast("double") / F.lit(3600.0)
+
+
+def year_of(c: str) -> Column:
+    """Year (INT) of a DATE or TIMESTAMP column."""
+    return F.expr(f"CAST(year({q(c)}) AS INT)")
 
 
-def year_of(d: Column | str) -> Column:
-    return F.year(col_of(d)).cast("int")
+def month_of(c: str) -> Column:
+    """Month (INT) of a DATE or TIMESTAMP column."""
+    return F.expr(f"CAST(month({q(c)}) AS INT)")
 
 
-def month_of(d: Column | str) -> Column:
-    return F.month(col_of(d)).cast("int")
+def year_of_text(c: str) -> Column:
+    """Year (INT) of a yyyy-MM-dd text column; null when blank."""
+    return F.expr(f"CAST(year({date_sql(c)}) AS INT)")
 
 
-def month_start(year: Column | str, month: Column | str) -> Column:
-    return F.make_date(col_of(year), col_of(month), F.lit(1))
+def month_of_text(c: str) -> Column:
+    """Month (INT) of a yyyy-MM-dd text column; null when blank."""
+    return F.expr(f"CAST(month({date_sql(c)}) AS INT)")
 
 
-def first_month_employed(join_date: Column) -> Column:
+def month_start(year: str, month: str) -> Column:
+    return F.expr(f"make_date({q(year)}, {q(month)}, 1)")
+
+
+def first_month_employed(join_date: str) -> Column:
     """First day of the first month in which an employee counts.
 
-    An employee counts in a month when the join date is on or before the
-    28th of that month.
+    An employee counts in a month when the join date (a DATE column) is on
+    or before the 28th of that month.
     """
-    start = F.trunc(join_date, "MM")
-    return F.when(F.dayofmonth(join_date) <= LAST_JOIN_DAY, start).otherwise(F.add_months(start, 1))
+    j = q(join_date)
+    return F.expr(
+        f"CASE WHEN dayofmonth({j}) <= {LAST_JOIN_DAY} THEN trunc({j}, 'MM')"
+        f" ELSE add_months(trunc({j}, 'MM'), 1) END"
+    )
 
 
-def last_month_employed(resign_date: Column) -> Column:
+def last_month_employed(resign_date: str) -> Column:
     """First day of the last month in which an employee counts.
 
-    An employee counts in a month when the resign date is after the 1st of
-    that month; null means still employed and gives null (open end).
+    An employee counts in a month when the resign date (a DATE column) is
+    after the 1st of that month.
     """
-    start = F.trunc(resign_date, "MM")
-    return F.when(F.dayofmonth(resign_date) > FIRST_RESIGN_DAY, start).otherwise(F.add_months(start, -1))
+    r = q(resign_date)
+    return F.expr(
+        f"CASE WHEN dayofmonth({r}) > {FIRST_RESIGN_DAY} THEN trunc({r}, 'MM')"
+        f" ELSE add_months(trunc({r}, 'MM'), -1) END"
+    )

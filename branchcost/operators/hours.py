@@ -16,11 +16,13 @@ from branchcost.functions import (
     DEFAULT_WORK_SECONDS,
     is_blank,
     month_of,
+    month_of_text,
     parse_clock,
     parse_date,
     seconds_to_hours,
     work_seconds,
     year_of,
+    year_of_text,
 )
 
 CLEANSED_COLUMNS = ["timesheet_id", "employee_id", "date", "checkin", "checkout"]
@@ -34,12 +36,11 @@ def timesheet_hours(timesheets: DataFrame, both_blank_twice: bool = False) -> Da
     `both_blank_twice` a row whose both times are blank counts 16, which
     is what the original three-way UNION ALL computes, here in one pass.
     """
-    d = parse_date("date")
     return timesheets.select(
         "timesheet_id",
         "employee_id",
-        year_of(d).alias("year"),
-        month_of(d).alias("month"),
+        year_of_text("date").alias("year"),
+        month_of_text("date").alias("month"),
         work_seconds("date", "checkin", "checkout", both_blank_twice).alias("work_seconds"),
     ).withColumn("work_hour", seconds_to_hours("work_seconds"))
 

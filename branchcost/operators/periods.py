@@ -29,9 +29,11 @@ from branchcost.functions import (
     first_month_employed,
     last_month_employed,
     month_of,
+    month_of_text,
     month_start,
     parse_date,
     year_of,
+    year_of_text,
 )
 from branchcost.schemas import PERIOD_KEY, SALARY_PERIOD_COLUMNS
 
@@ -46,8 +48,7 @@ def period_list(timesheets: DataFrame, ordered: bool = False) -> DataFrame:
     to the caller that needs it: inside a join it would only add a
     range-partitioning job.
     """
-    d = parse_date("date")
-    periods = timesheets.select(year_of(d).alias("year"), month_of(d).alias("month")).distinct()
+    periods = timesheets.select(year_of_text("date").alias("year"), month_of_text("date").alias("month")).distinct()
     if ordered:
         periods = periods.orderBy(F.col("year").asc_nulls_last(), F.col("month").asc_nulls_last())
     return periods
@@ -98,8 +99,8 @@ def period_employee_range_join(periods: DataFrame, employees_ready: DataFrame) -
     e = _employee_dates(employees_ready)
     spans = F.broadcast(
         e.select(
-            first_month_employed(F.col("_join")).alias("_first"),
-            last_month_employed(F.col("_resign")).alias("_last"),
+            first_month_employed("_join").alias("_first"),
+            last_month_employed("_resign").alias("_last"),
         ).distinct()
     )
     starts = periods.select("year", "month", month_start("year", "month").alias("_s"))
@@ -134,8 +135,8 @@ def employee_months(periods: DataFrame, employees_ready: DataFrame) -> DataFrame
     e = _employee_dates(employees_ready).filter(
         F.col("_join").isNotNull() & F.col("_resign").isNotNull() & lo.isNotNull() & hi.isNotNull()
     )
-    first = F.greatest(first_month_employed(F.col("_join")), lo)
-    last = F.least(last_month_employed(F.col("_resign")), hi)
+    first = F.greatest(first_month_employed("_join"), lo)
+    last = F.least(last_month_employed("_resign"), hi)
     months = (
         e.select("employe_id", "branch_id", "salary", first.alias("_first"), last.alias("_last"))
         .filter(F.col("_first") <= F.col("_last"))
