@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the engine relies on: UTC for every date/time function,
 # ANSI so malformed text fails instead of turning into null, AQE so joins
-# and shuffles are re-planned on runtime sizes.
+# and shuffles are re-planned on runtime sizes. The partition overwrite mode
+# is not set here: each writer states static or dynamic itself, so the
+# user's own writes keep the session's semantics.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -39,8 +39,11 @@ def write_full_overwrite(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned_overwrite(df: DataFrame, path: str) -> None:
-    """Replace the whole table, partitioned by (year, month)."""
-    _by_month(df).mode("overwrite").parquet(path)
+    """Replace the whole table, partitioned by (year, month) (truncate + insert).
+
+    Static overwrite: months absent from `df` disappear too.
+    """
+    _by_month(df).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

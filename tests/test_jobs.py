@@ -240,3 +240,16 @@ def test_cli_incremental_and_salary_period(spark, tmp_table_dir, capsys):
     assert main(["salary-period", "--employees", emp_csv, "--timesheets", ts_csv, "--result", period]) == 0
     got = {tuple(r) for r in spark.read.schema(SALARY_PERIOD).parquet(period).collect()}
     assert got == {tuple(r) for r in salary_by_period(golden_employees(spark), golden_timesheets(spark)).collect()}
+
+
+def test_full_load_replaces_the_whole_table(spark, tmp_table_dir):
+    emp, ts = golden_employees(spark), golden_timesheets(spark)
+    path = os.path.join(tmp_table_dir, "result")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")  # a user's session setting
+    try:
+        run_full_load(emp, ts, path)
+        august = ts.filter(F.col("date") < F.lit("2019-09-01"))
+        run_full_load(emp, august, path)  # September is no longer in the input: it must go
+        assert _rows(_read_result(spark, path)) == _rows(full_load(emp, august))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
