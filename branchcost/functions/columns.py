@@ -52,11 +52,26 @@ def clock_sql(date: str, clock: str) -> str:
     )
 
 
+def second_of_day_sql(ts: str) -> str:
+    """Seconds since midnight of a TIMESTAMP_NTZ expression (no time zone involved)."""
+    return f"(hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}))"
+
+
+def span_seconds_sql(start: str, end: str) -> str:
+    """Wall-clock seconds from `start` to `end`, two TIMESTAMP_NTZ of one date.
+
+    Computed from the clock fields, not with timestampdiff: Spark evaluates
+    timestampdiff on TIMESTAMP_NTZ through the session time zone, which
+    would bend a span across a daylight-saving change.
+    """
+    return f"CAST({second_of_day_sql(end)} - {second_of_day_sql(start)} AS BIGINT)"
+
+
 def work_seconds_sql(date: str, checkin: str, checkout: str, both_blank_twice: bool = False) -> str:
     cin, cout = clock_sql(date, checkin), clock_sql(date, checkout)
     seconds = (
         f"(CASE WHEN {cin} IS NULL OR {cout} IS NULL OR {cout} <= {cin}"
-        f" THEN CAST({DEFAULT_WORK_SECONDS} AS BIGINT) ELSE timestampdiff(SECOND, {cin}, {cout}) END)"
+        f" THEN CAST({DEFAULT_WORK_SECONDS} AS BIGINT) ELSE {span_seconds_sql(cin, cout)} END)"
     )
     if both_blank_twice:
         seconds = (

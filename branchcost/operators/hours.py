@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from branchcost.functions.columns import span_seconds_sql
 from branchcost.functions import (
     DEFAULT_WORK_SECONDS,
     is_blank,
@@ -96,9 +97,7 @@ def timesheet_hours_literal(timesheets: DataFrame) -> DataFrame:
     """
     cleansed = timesheet_cleansing(timesheets)
     bad = timesheet_bad(cleansed).withColumn("work_seconds", F.lit(DEFAULT_WORK_SECONDS).cast("long"))
-    good = timesheet_good(cleansed).withColumn(
-        "work_seconds", F.timestamp_diff("SECOND", F.col("checkin"), F.col("checkout"))
-    )
+    good = timesheet_good(cleansed).withColumn("work_seconds", F.expr(span_seconds_sql("checkin", "checkout")))
     return (
         bad.unionByName(good)
         .select(

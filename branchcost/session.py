@@ -14,13 +14,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Session settings the engine relies on: UTC for every date/time function,
-# ANSI so malformed text fails instead of turning into null, AQE so joins
-# and shuffles are re-planned on runtime sizes. The partition overwrite mode
-# is not set here: each writer states static or dynamic itself, so the
-# user's own writes keep the session's semantics.
+# Session settings the engine relies on: ANSI so malformed text fails
+# instead of turning into null, AQE so joins and shuffles are re-planned on
+# runtime sizes (all Spark 4 defaults, set in case a cluster changed them).
+#
+# Not set, on purpose: the time zone (dates and clock times are DATE /
+# TIMESTAMP_NTZ and spans come from clock fields, so no result depends on
+# it; local sessions built here use UTC all the same) and the partition
+# overwrite mode (each writer states static or dynamic itself), so the
+# user's own queries and writes keep the session's semantics.
 ENGINE_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -35,6 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BRANCHCOST_DRIVER_MEMORY", "8g"))
     )
     for key, value in ENGINE_CONF.items():

@@ -73,7 +73,7 @@ def timesheets_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(
         "CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS timesheet_id",
         "CAST(l_suppkey AS INT) AS employee_id",
-        "date_format(l_shipdate, 'yyyy-MM-dd') AS date",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS date",  # yyyy-MM-dd, no time zone involved
         f"CASE WHEN l_orderkey % 23 = 0 THEN '' ELSE {_hms(checkin_s)} END AS checkin",
         f"CASE WHEN l_partkey % 29 = 0 THEN '' ELSE {_hms(checkout_s)} END AS checkout",
     )

@@ -141,3 +141,21 @@ def test_sql_views_give_the_job_results(spark):
     assert {(r[0], r[1], r[2]): (r[3], r[4], r[5]) for r in rows} == EXPECTED_BRANCH_SALARY
     got = {tuple(r) for r in spark.sql("SELECT year, month, branch_id, `sum` FROM salary_period").collect()}
     assert got == EXPECTED_SALARY_PERIOD
+
+
+def test_hours_do_not_depend_on_the_session_time_zone(spark):
+    """A shift across a daylight-saving change counts its wall-clock span."""
+    from branchcost.operators import timesheet_hours, timesheet_hours_literal
+
+    ts = spark.createDataFrame(
+        [(1, 1, "2019-03-10", "01:30:00", "03:30:00"), (2, 1, "2019-11-03", "00:30:00", "02:30:00")],
+        golden_timesheets(spark).schema,
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Europe/Berlin", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r.work_seconds for r in timesheet_hours(ts).orderBy("timesheet_id").collect()] == [7200, 7200]
+            assert sorted(r.work_seconds for r in timesheet_hours_literal(ts).collect()) == [7200, 7200]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
