@@ -5,10 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchcost.functions import null_to_blank
+from branchcost.functions import month_of_text, null_to_blank, year_of_text
 from branchcost.schemas import EMPLOYEES, TIMESHEETS
 
 
@@ -120,6 +119,8 @@ def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def with_period_columns(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """Add integer year and month derived from a yyyy-MM-dd text column."""
-    d = F.to_date(F.col(date_col), "yyyy-MM-dd")
-    return df.withColumn("year", F.year(d).cast("int")).withColumn("month", F.month(d).cast("int"))
+    """Add integer year and month derived from a yyyy-MM-dd text column.
+
+    Same parsing as the operators: a blank date gives a null period.
+    """
+    return df.withColumn("year", year_of_text(date_col)).withColumn("month", month_of_text(date_col))
