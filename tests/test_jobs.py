@@ -253,3 +253,14 @@ def test_full_load_replaces_the_whole_table(spark, tmp_table_dir):
         assert _rows(_read_result(spark, path)) == _rows(full_load(emp, august))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+
+
+def test_monthly_increments_equal_full_load(spark, tmp_table_dir):
+    """One incremental run per month-end, as a scheduled job would, over one year."""
+    emp = load_employees(spark, SF_SMALL)
+    year = load_timesheets(spark, SF_SMALL).filter(F.col("date").startswith("1998-"))
+    cuts = [f"1998-{m:02d}-31" for m in range(1, 13)]
+    result, _, staging_ts, statuses = _replay(spark, emp, year, cuts, tmp_table_dir)
+    assert all(s.wrote for s in statuses)
+    assert _rows(_read_result(spark, result)) == _rows(full_load(emp, year))
+    assert read_partitioned(spark, staging_ts, TIMESHEETS).count() == year.count()
