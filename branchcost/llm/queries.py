@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from branchcost.llm import mixing, url_filter
+from branchcost.llm import decontaminate, mixing, quality, toxicity, url_filter
 from branchcost.llm.common import table
+from branchcost.llm.labelled import hash_remainder
 
 #: The site rules that op3 applies.
 SITE_RULES = [
@@ -18,6 +20,41 @@ SITE_RULES = [
 ]
 
 
+def _scored(docs: DataFrame, score, held_out) -> DataFrame:
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels whose hash remainder modulo 5 is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = hash_remainder(F.col("doc_id"), 5)
+    model = toxicity.train_model(docs, table(spark, sf_dir, "labels"), remainder != 0)
+    return _scored(docs, toxicity.score_column(docs, model), remainder == 0)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels whose hash remainder modulo 3 is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = hash_remainder(F.col("doc_id"), 3)
+    model = quality.train_model(docs, table(spark, sf_dir, "labels"), remainder != 1)
+    return _scored(docs, quality.score_column(docs, model), remainder == 1)
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words found in every document."""
+    hit = F.col("hit")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"), "hit").select(
+        "doc_id",
+        hit["n_words"].alias("n_words"),
+        hit["n_hit"].alias("n_hit"),
+        F.size(hit["items"]).cast("long").alias("n_items"),
+        decontaminate.items_digest(hit["items"]).alias("items_sha256"),
+        decontaminate.is_contaminated(hit).alias("contaminated"),
+    )
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL."""
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), "page_id", "url", SITE_RULES)
@@ -30,7 +67,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_url_filter": op3_url_filter,
+    "op4_quality": op4_quality,
+    "op6_decontaminate": op6_decontaminate,
     "op8_mix_sources": op8_mix_sources,
 }
 
