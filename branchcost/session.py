@@ -7,6 +7,7 @@ the caller's session. `build_session` is for tests, bench and local runs.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -72,6 +73,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers, which may not have it installed.
+
+    Once per application: a zip of the package goes out with Spark's files.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_branchcost_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="branchcost-"), "branchcost_package")
+    sc.addPyFile(shutil.make_archive(base, "zip", root_dir=root, base_dir="branchcost"))
+    sc._branchcost_shipped = True
+
+
 def _delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
