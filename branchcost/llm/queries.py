@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchcost.llm import decontaminate, mixing, quality, toxicity, url_filter
+from branchcost.llm import decontaminate, mixing, quality, secrets, toxicity, url_filter
 from branchcost.llm.common import table
 from branchcost.llm.labelled import hash_remainder
 
@@ -66,12 +66,28 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    kinds = ("assign", "access", "hex")
+    count = {f"n_{k}": F.size(secrets.of_kinds(spans, k)).cast("long") for k in kinds}
+    found = secrets.scan_secrets(docs, "spans").withColumns(count)
+    return found.select(
+        "doc_id",
+        *count,
+        F.sha2(secrets.joined(spans, kinds).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
     "op6_decontaminate": op6_decontaminate,
     "op8_mix_sources": op8_mix_sources,
+    "op9_secrets": op9_secrets,
 }
 
 OP3_SQL = r"""
