@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchcost.llm import decontaminate, mixing, quality, secrets, toxicity, url_filter
+from branchcost.llm import decontaminate, mixing, quality, secrets, toxicity, url_filter, warc
 from branchcost.llm.common import table
 from branchcost.llm.labelled import hash_remainder
 
@@ -20,6 +20,14 @@ SITE_RULES = [
 ]
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per page, written to archives and read back."""
+    records = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def _scored(docs: DataFrame, score, held_out) -> DataFrame:
     scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -83,6 +91,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
     "op6_decontaminate": op6_decontaminate,
