@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchcost.llm import decontaminate, mixing, quality, secrets, toxicity, url_filter, warc
+from branchcost.llm import decontaminate, mixing, near_dup, quality, secrets, toxicity, url_filter, warc
 from branchcost.llm.common import table
 from branchcost.llm.labelled import hash_remainder
 
@@ -68,6 +68,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), "page_id", "url", SITE_RULES)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
     "op6_decontaminate": op6_decontaminate,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_mix_sources": op8_mix_sources,
     "op9_secrets": op9_secrets,
 }
