@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchcost.llm import decontaminate, mixing, near_dup, quality, secrets, toxicity, url_filter, warc
+from branchcost.llm import decontaminate, mixing, near_dup, quality, secrets, suffix_dedup, toxicity, url_filter, warc
 from branchcost.llm.common import table
 from branchcost.llm.labelled import hash_remainder
 
@@ -94,6 +94,14 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 50 bytes leave of every document."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -103,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mix_sources": op8_mix_sources,
     "op9_secrets": op9_secrets,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 OP3_SQL = r"""
