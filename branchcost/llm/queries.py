@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchcost.llm import decontaminate, mixing, near_dup, quality, secrets, suffix_dedup, toxicity, url_filter, warc
+from branchcost.llm import ann, decontaminate, mixing, near_dup, quality, secrets, suffix_dedup, toxicity, url_filter, warc
 from branchcost.llm.common import table
 from branchcost.llm.labelled import hash_remainder
 
@@ -49,6 +49,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, quality.score_column(docs, model), remainder == 1)
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words found in every document."""
     hit = F.col("hit")
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
+    "op5_nearest": op5_nearest,
     "op6_decontaminate": op6_decontaminate,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mix_sources": op8_mix_sources,
