@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from branchcost.llm.common import SPACE_FREE, stage_table
+from branchcost.llm.common import SPACE_FREE, free_name, stage_table
 
 #: Weights dealt to the sources in code-point order, null last, repeating.
 WEIGHTS = (3, 1, 2)
@@ -137,3 +137,36 @@ def mix_sources(
         (F.col("epochs") * F.col("size") + head).alias("taken"),
         "epochs",
     )
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """The documents that the mix takes words of, with two columns more: words and repeats.
+
+    The first (`mix_taken`) is the number of words taken, repeats included;
+    the second (`mix_epochs`) how often the whole text is repeated, the
+    remaining words being the head of one more repeat. (A column of these
+    names in `docs` makes the new one start with an underscore.) Rows that
+    agree in id, source and size are matched with their shares one by one.
+    """
+    taken, epochs = free_name(docs, "mix_taken"), free_name(docs, "mix_epochs")
+    size, place = free_name(docs, "mix_size"), free_name(docs, "mix_place")
+    numbered = docs.withColumn(size, word_count(F.col(text_col)))
+    numbered = numbered.withColumn(
+        place, F.row_number().over(Window.partitionBy(id_col, source_col, size).orderBy(F.xxhash64(text_col)))
+    )
+    shares = mix_sources(docs, id_col, text_col, source_col, **options).select(
+        F.col("doc_id").alias("_m_id"),
+        F.col("source").alias("_m_source"),
+        F.col("size").alias("_m_size"),
+        F.col("taken").alias("_m_taken"),
+        F.col("epochs").alias("_m_epochs"),
+    )
+    shares = shares.withColumn(
+        "_m_place",
+        F.row_number().over(Window.partitionBy("_m_id", "_m_source", "_m_size").orderBy(F.desc("_m_taken"))),
+    ).where("_m_taken > 0")
+    left = numbered.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("_d_id"), F.col(source_col).alias("_d_source"), F.col(size).alias("_d_size"), F.col(place).alias("_d_place"))
+    on = [F.col(f"_d_{c}").eqNullSafe(F.col(f"_m_{c}")) for c in ("id", "source", "size", "place")]
+    return left.join(shares, on).select("doc.*", F.col("_m_taken").alias(taken), F.col("_m_epochs").alias(epochs))

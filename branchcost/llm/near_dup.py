@@ -77,7 +77,7 @@ def super_minhash(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndar
         order = np.tile(np.arange(m, dtype=np.uint8), (len(e), 1))  # a permutation per element, made as it is walked
         row = np.arange(len(e))
         for j in range(m):
-            u = _mix(e[row] + _U(j + 1) * _U(0x9E3779B97F4A7C15))
+            u = _mix(e[row] + _U((j + 1) * 0x9E3779B97F4A7C15 % 2**64))
             r = (u >> _U(11)).astype(np.float64) * 2.0**-53
             k = j + (_mix(u) % _U(m - j)).astype(np.int64)
             at = order[row, k]
