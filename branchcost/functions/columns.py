@@ -14,7 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the payroll rules.
-DATE_FORMAT = "yyyy-MM-dd"
+DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\\z"  # as it stands in a SQL literal
+CLOCK_PATTERN = r"^[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\\z"
 DEFAULT_WORK_SECONDS = 8 * 3600  # 8 hours when a time is missing or not after checkin
 STILL_EMPLOYED_DATE = "2900-01-01"  # resign date used for employees who have not resigned
 EMPTY_WATERMARK_DATE = "1900-01-01"  # high-water mark of an empty staging table
@@ -32,23 +33,27 @@ def blank_sql(c: str) -> str:
 
 
 def date_sql(c: str) -> str:
-    """Text date (yyyy-MM-dd) to DATE; blank gives null.
+    """Text date (yyyy-MM-dd) to DATE; blank gives null, anything else fails the job.
 
-    An ANSI cast rather than a pattern parse: several times cheaper per row,
-    and malformed text still fails the job.
+    The cast alone would take partial dates and trailing text.
     """
-    return f"(CASE WHEN NOT {blank_sql(c)} THEN CAST({q(c)} AS DATE) END)"
+    return (
+        f"(CASE WHEN {blank_sql(c)} THEN NULL WHEN {q(c)} RLIKE '{DATE_PATTERN}' THEN CAST({q(c)} AS DATE)"
+        f" ELSE raise_error(concat('malformed date: ', {q(c)})) END)"
+    )
 
 
 def clock_sql(date: str, clock: str) -> str:
     """Date text plus HH:mm:ss text to TIMESTAMP_NTZ; null when either is blank.
 
     TIMESTAMP_NTZ has no time zone, so no daylight-saving change can bend a
-    span. Parsed by an ANSI cast: malformed text fails the job.
+    span. Malformed text in either column fails the job.
     """
     return (
-        f"(CASE WHEN NOT {blank_sql(date)} AND NOT {blank_sql(clock)}"
-        f" THEN CAST(concat({q(date)}, ' ', {q(clock)}) AS TIMESTAMP_NTZ) END)"
+        f"(CASE WHEN {blank_sql(date)} OR {blank_sql(clock)} THEN NULL"
+        f" WHEN {q(date)} RLIKE '{DATE_PATTERN}' AND {q(clock)} RLIKE '{CLOCK_PATTERN}'"
+        f" THEN CAST(concat({q(date)}, ' ', {q(clock)}) AS TIMESTAMP_NTZ)"
+        f" ELSE raise_error(concat('malformed date or time: ', {q(date)}, ' ', {q(clock)})) END)"
     )
 
 
@@ -99,11 +104,6 @@ def parse_date(c: str) -> Column:
     return F.expr(date_sql(c))
 
 
-def parse_date_strict(c: str) -> Column:
-    """Text date to DATE with the exact yyyy-MM-dd pattern (for cold paths)."""
-    return F.expr(f"CASE WHEN NOT {blank_sql(c)} THEN to_date({q(c)}, '{DATE_FORMAT}') END")
-
-
 def parse_clock(date: str, clock: str) -> Column:
     """Date text plus HH:mm:ss text to TIMESTAMP_NTZ (see `clock_sql`)."""
     return F.expr(clock_sql(date, clock))

@@ -31,7 +31,6 @@ from branchcost.operators.incremental import (
 )
 from branchcost.operators.periods import (
     employee_months,
-    employee_periods,
     period_employee_exploded,
     period_employee_range_join,
     period_list,
@@ -49,7 +48,6 @@ __all__ = [
     "employee_month",
     "employee_month_seconds",
     "employee_months",
-    "employee_periods",
     "employees_delta",
     "employees_period_ready",
     "high_water_mark",

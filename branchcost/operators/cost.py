@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from branchcost.functions import seconds_to_hours
 from branchcost.schemas import BRANCH_SALARY_COLUMNS, BRANCH_SALARY_KEY
+from branchcost.session import materialize
 
 
 def employee_month_seconds(hours: DataFrame) -> DataFrame:
@@ -42,8 +43,14 @@ def attach_employee(left: DataFrame, employees_dedup: DataFrame) -> DataFrame:
 
 
 def timesheet_employee(hours: DataFrame, employees_dedup: DataFrame) -> DataFrame:
-    """Every timesheet row with its employee's branch and salary (row level)."""
-    return attach_employee(hours, employees_dedup).select(
+    """Every timesheet row with its employee's branch and salary (row level).
+
+    The deduplicated employees are written once and read back, so that both
+    sides of the join come from plain shuffles: with the dedup window between
+    shuffle and join, the adaptive skew join would not split the timesheets
+    of one employee with very many.
+    """
+    return attach_employee(hours, materialize(employees_dedup, "employees")).select(
         "timesheet_id", "employee_id", "branch_id", "salary", "year", "month", "work_hour"
     )
 
@@ -82,7 +89,7 @@ def branch_salary_month(hours: DataFrame, employees_dedup: DataFrame) -> DataFra
 
 
 def branch_salary(hours: DataFrame, employees_dedup: DataFrame) -> DataFrame:
-    """branch_id, year, month, total_work_hour, total_salary, salary_per_hour.
+    """branch_id, year, month, total_work_hour, total_salary, cost_per_hour.
 
     A null branch keeps its hours but gets null salary figures, as an
     equality join on a null branch finds no salary row.
@@ -95,16 +102,16 @@ def branch_salary(hours: DataFrame, employees_dedup: DataFrame) -> DataFrame:
             seconds_to_hours(F.sum("work_seconds")).alias("total_work_hour"),
             F.sum(salary).alias("total_salary"),
         )
-        .withColumn("salary_per_hour", F.col("total_salary") / F.col("total_work_hour"))
+        .withColumn("cost_per_hour", F.col("total_salary") / F.col("total_work_hour"))
         .select(*BRANCH_SALARY_COLUMNS)
     )
 
 
 def branch_salary_self_join(hours: DataFrame, employees_dedup: DataFrame) -> DataFrame:
-    """The original plan shape: hours per branch-month left-joined to salary per branch-month.
+    """Hours per branch-month left-joined to salary per branch-month.
 
-    Kept to check the two-level form against; it shuffles the joined rows
-    twice and joins two aggregates, so jobs use `branch_salary`.
+    Two aggregates of the same pre-aggregate, kept to check the two-level
+    form against; jobs use `branch_salary`.
     """
     work = work_hour_by_branch_month(hours, employees_dedup)
     pay = branch_salary_month(hours, employees_dedup).select(
@@ -113,6 +120,6 @@ def branch_salary_self_join(hours: DataFrame, employees_dedup: DataFrame) -> Dat
     cond = [work[c] == pay[f"_p_{c}"] for c in BRANCH_SALARY_KEY]
     return (
         work.join(pay, cond, "left")
-        .withColumn("salary_per_hour", F.col("total_salary") / F.col("total_work_hour"))
+        .withColumn("cost_per_hour", F.col("total_salary") / F.col("total_work_hour"))
         .select(*BRANCH_SALARY_COLUMNS)
     )

@@ -1,15 +1,19 @@
 """High-water marks, deltas, the current-period filter and the result merge.
 
-A high-water mark is a one-row aggregate used as a scalar subquery: Spark
-runs it as its own small job and inlines the value, so the delta filter
-is a plain predicate on the streamed source, with no join.
+A high-water mark is a one-row aggregate. Its value becomes a literal in
+the delta's filter, so the filter is pushed to the source's scan and later
+steps do not read the staging table again.
+
+Text ranges on date columns go by the year only ('2019' <= date): dates are
+strict yyyy-MM-dd, so a year's dates sort together as text, and malformed
+text of that year stays in reach of the parser, which stops the job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from branchcost.functions import EMPTY_WATERMARK_DATE, parse_date
@@ -21,21 +25,22 @@ def max_date_or_default(date_text: str) -> Column:
     return F.coalesce(F.max(parse_date(date_text)), F.lit(EMPTY_WATERMARK_DATE).cast("date"))
 
 
-def high_water_mark(staged: DataFrame, date_text: str) -> Column:
-    """Scalar-subquery column of the staged table's latest date.
+def high_water_mark(staged: DataFrame, date_text: str) -> dt.date:
+    """Latest date of the staged table, 1900-01-01 when it is empty.
 
-    On a staging table partitioned by (year, month) only the latest
-    partition is read for the date: its (year, month) comes from a first
-    subquery over the partition columns, which Spark answers from the file
-    listing and footers, and the second subquery's filter on the partition
-    columns prunes every other month.
+    A one-row result, brought to the driver so that the delta's filters hold
+    a literal, which reaches the source's scan. On a staging table
+    partitioned by (year, month) the latest partition is found first, on the
+    partition columns alone (Spark answers distinct partition values from
+    the file listing), and only that partition is read for the date.
     """
     if {"year", "month"} <= set(staged.columns):
-        latest = staged.select(F.max(F.struct("year", "month")).alias("_ym")).scalar()
-        staged = staged.filter(
-            (F.col("year") == latest.getField("year")) & (F.col("month") == latest.getField("month"))
-        )
-    return staged.select(max_date_or_default(date_text)).scalar()
+        keys = staged.select("year", "month").where("year IS NOT NULL AND month IS NOT NULL").distinct()
+        last = keys.orderBy(F.desc("year"), F.desc("month")).first()
+        if last is None:
+            return dt.date.fromisoformat(EMPTY_WATERMARK_DATE)
+        staged = staged.filter((F.col("year") == last["year"]) & (F.col("month") == last["month"]))
+    return staged.select(max_date_or_default(date_text)).first()[0]
 
 
 def high_water_marks(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -56,7 +61,10 @@ def employees_delta(source: DataFrame, staged: DataFrame) -> DataFrame:
     As in the original job, rows joining on the watermark day itself and
     updates to old rows are not picked up.
     """
-    return source.filter(parse_date("join_date") > high_water_mark(staged, "join_date"))
+    mark = high_water_mark(staged, "join_date")
+    return source.filter(
+        (F.col("join_date") >= F.lit(f"{mark.year:04d}")) & (parse_date("join_date") > F.lit(mark))
+    )
 
 
 def timesheets_delta(source: DataFrame, staged: DataFrame) -> DataFrame:
@@ -65,33 +73,40 @@ def timesheets_delta(source: DataFrame, staged: DataFrame) -> DataFrame:
     Whole months are taken because salary per month depends on every
     timesheet of the month; rows older than that month are dropped.
     """
-    floor = F.trunc(high_water_mark(staged, "date"), "MM")
-    return source.filter(parse_date("date") >= floor)
+    floor = high_water_mark(staged, "date").replace(day=1)
+    cond = (F.col("date") >= F.lit(f"{floor.year:04d}")) & (parse_date("date") >= F.lit(floor))
+    if {"year", "month"} <= set(source.columns):
+        # a partitioned source: older months are not read
+        cond = cond & (
+            (F.col("year") > floor.year) | ((F.col("year") == floor.year) & (F.col("month") >= floor.month))
+        )
+    return source.filter(cond)
 
 
-def current_period() -> tuple[int, int]:
-    today = dt.date.today()
-    return today.year, today.month
+def current_period(spark: SparkSession, year: int | None = None, month: int | None = None) -> tuple[int, int]:
+    """(year, month) of `current_date()` in the session's time zone; either part may be given."""
+    today = spark.range(1).select(F.current_date()).first()[0]
+    return year or today.year, month or today.month
 
 
 def timesheets_in_period(timesheets: DataFrame, year: int, month: int) -> DataFrame:
     """Timesheets of one (year, month).
 
-    The text range on `date` pushes down to the Parquet scan (and prunes
-    row groups); the parsed comparison keeps the filter exact; on a table
-    partitioned by (year, month) the partition columns prune directories.
+    The text range of the year reaches the Parquet scan; within it every date
+    is parsed, so a malformed one stops the job as it does in a full load
+    instead of falling out of a narrower text range. On a table partitioned
+    by (year, month) the partition columns prune to the one month.
     """
     first = dt.date(year, month, 1)
     nxt = dt.date(year + (month == 12), month % 12 + 1, 1)
     d = parse_date("date")
     cond = (
-        (F.col("date") >= F.lit(first.isoformat()))
-        & (F.col("date") < F.lit(nxt.isoformat()))
-        & (F.year(d) == year)
-        & (F.month(d) == month)
+        (F.col("date") >= F.lit(f"{year:04d}"))
+        & (F.col("date") < F.lit(f"{year + 1:04d}"))
+        & (d >= F.lit(first))
+        & (d < F.lit(nxt))
     )
     if {"year", "month"} <= set(timesheets.columns):
-        # partitioned staging table: prune to the one month directory
         cond = cond & (F.col("year") == year) & (F.col("month") == month)
     return timesheets.filter(cond)
 

@@ -12,7 +12,6 @@ session's checkpoint directory and return the table read back.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +42,7 @@ from branchcost.operators import (
 )
 from branchcost.plans.jobs import full_load, run_current_period, run_incremental, salary_by_period
 from branchcost.schemas import BRANCH_SALARY, EMPLOYEE_COLUMNS, EMPLOYEES, TIMESHEET_COLUMNS, TIMESHEETS
-from branchcost.session import ensure_checkpoint_dir, snapshot
+from branchcost.session import scratch_path, snapshot
 from branchcost.sinks.writers import (
     append_rows,
     reload_months,
@@ -67,12 +66,6 @@ PLANTED_ROW = (-1, 1999, 6, 1.0, 1, 1.0)  # existing result row of a branch abse
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/branchcost-scratch/{name}-{uuid.uuid4().hex}"
-
-
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return load_employees(spark, sf_dir), load_timesheets(spark, sf_dir)
 
@@ -225,7 +218,7 @@ def q_branch_salary_lookup(spark, sf_dir):
 
 
 def _seed_result(spark, emp, ts) -> str:
-    path = scratch_dir(spark, "result")
+    path = scratch_path(spark, "result")
     write_partitioned_overwrite(existing_result(spark, emp, ts), path)
     return path
 
@@ -234,8 +227,8 @@ def q_branch_salary_upsert(spark, sf_dir):
     """Incremental job over staged tables; the planted row survives the upsert."""
     emp, ts = _inputs(spark, sf_dir)
     result = _seed_result(spark, emp, ts)
-    staging_emp = scratch_dir(spark, "staging-employees")
-    staging_ts = scratch_dir(spark, "staging-timesheets")
+    staging_emp = scratch_path(spark, "staging-employees")
+    staging_ts = scratch_path(spark, "staging-timesheets")
     write_full_overwrite(staged_employees(emp), staging_emp)
     reload_months(staged_timesheets(ts), staging_ts, materialize=False)
     run_incremental(spark, emp, ts, staging_emp, staging_ts, result)
@@ -251,20 +244,20 @@ def q_branch_salary_period_replace(spark, sf_dir):
 
 
 def q_employees_csv_scan(spark, sf_dir):
-    path = scratch_dir(spark, "employees-csv")
+    path = scratch_path(spark, "employees-csv")
     load_employees(spark, sf_dir).write.option("header", True).csv(path)
     return read_employees_csv(spark, path)
 
 
 def q_timesheets_csv_scan(spark, sf_dir):
-    path = scratch_dir(spark, "timesheets-csv")
+    path = scratch_path(spark, "timesheets-csv")
     load_timesheets(spark, sf_dir).write.option("header", True).csv(path)
     return read_timesheets_csv(spark, path)
 
 
 def q_sink_full_overwrite(spark, sf_dir):
     emp, ts = _inputs(spark, sf_dir)
-    path = scratch_dir(spark, "full")
+    path = scratch_path(spark, "full")
     write_partitioned_overwrite(full_load(emp, ts), path)
     write_partitioned_overwrite(full_load(emp, ts), path)
     return read_partitioned(spark, path, BRANCH_SALARY)
@@ -272,7 +265,7 @@ def q_sink_full_overwrite(spark, sf_dir):
 
 def q_sink_staging_append(spark, sf_dir):
     emp = load_employees(spark, sf_dir)
-    path = scratch_dir(spark, "staging-employees")
+    path = scratch_path(spark, "staging-employees")
     write_full_overwrite(staged_employees(emp), path)
     staged = spark.read.schema(EMPLOYEES).parquet(path)
     with snapshot(employees_delta(emp, staged), "employees-delta") as delta:
@@ -282,7 +275,7 @@ def q_sink_staging_append(spark, sf_dir):
 
 def q_sink_staging_month_reload(spark, sf_dir):
     ts = load_timesheets(spark, sf_dir)
-    path = scratch_dir(spark, "staging-timesheets")
+    path = scratch_path(spark, "staging-timesheets")
     reload_months(staged_timesheets(ts), path, materialize=False)
     staged = read_partitioned(spark, path, TIMESHEETS)
     reload_months(timesheets_delta(ts, staged), path)

@@ -7,7 +7,9 @@
     python -m branchcost current-period --employees E --timesheets T --result R [--year Y --month M]
 
 Inputs ending in `.csv` (or a folder given with --format csv) are read as
-CSV with a header row; anything else as Parquet. The session comes from
+CSV with a header row, `table:name` as a catalog table, anything else as
+Parquet; results and staging may be `table:name` as well. --year and --month
+default to the current ones, each alone. The session comes from
 `SparkSession.builder.getOrCreate()`, so spark-submit settings apply.
 """
 
@@ -21,14 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from branchcost.plans import jobs
 from branchcost.schemas import EMPLOYEES, TIMESHEETS
 from branchcost.session import apply_engine_conf, ensure_checkpoint_dir
-from branchcost.sources import read_employees_csv, read_timesheets_csv
+from branchcost.sources import read_employees_csv, read_timesheets_csv, table_name
 
 
 def _read(spark: SparkSession, path: str, fmt: str | None, kind: str) -> DataFrame:
+    schema = EMPLOYEES if kind == "employees" else TIMESHEETS
+    if table_name(path):
+        return spark.table(table_name(path)).select(*schema.fieldNames())
     is_csv = fmt == "csv" or (fmt is None and path.lower().endswith(".csv"))
     if is_csv:
         return read_employees_csv(spark, path) if kind == "employees" else read_timesheets_csv(spark, path)
-    schema = EMPLOYEES if kind == "employees" else TIMESHEETS
     return spark.read.schema(schema).parquet(path)
 
 

@@ -3,7 +3,8 @@ by high-water mark, and reload of the current month.
 
 Each job builds one DataFrame plan from the operators and ends in one
 write. Inputs are DataFrames (read from CSV, Parquet or a catalog by the
-caller); staging and result tables are paths.
+caller); staging and result tables are paths, or catalog names written
+`table:name`.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from branchcost.operators import (
     timesheets_in_period,
 )
 from branchcost.schemas import EMPLOYEES, STAGED_TIMESHEETS
-from branchcost.session import ensure_checkpoint_dir, snapshot
+from branchcost.session import snapshot
 from branchcost.sinks.writers import (
     append_rows,
     reload_months,
@@ -75,10 +76,10 @@ def run_incremental(
     1. employees joining after the staged maximum join date are appended
        to the employee staging table;
     2. timesheets dated from the first day of the staged maximum date's
-       month on form the delta (a snapshot in the checkpoint folder, removed
-       when the job ends);
-    3. branch_salary of the delta (against the staged employees) is upserted
-       into the result by (branch_id, year, month);
+       month on form the delta, a filter with a literal on the source;
+    3. branch_salary of the delta (against the staged employees), written
+       once to the checkpoint folder while the job runs, is upserted into
+       the result by (branch_id, year, month);
     4. the delta's months are replaced in the timesheet staging table.
 
     The staging table that defines the watermark is updated last, so a job
@@ -86,18 +87,17 @@ def run_incremental(
     delta, and every write it repeats (append of nothing new, upsert of the
     same keys, overwrite of the same months) leaves the same end state.
     """
-    ensure_checkpoint_dir(spark)
     staged_emp = read_or_empty(spark, staging_employees_path, EMPLOYEES)
-    with snapshot(employees_delta(source_employees, staged_emp), "employees-delta") as new_emp:
-        if not new_emp.isEmpty():
-            append_rows(new_emp, staging_employees_path)
-
-    staged_ts = read_or_empty(spark, staging_timesheets_path, STAGED_TIMESHEETS)
-    with snapshot(timesheets_delta(source_timesheets, staged_ts), "timesheets-delta") as ts_delta:
-        if ts_delta.isEmpty():
+    new_emp = employees_delta(source_employees, staged_emp)
+    if not new_emp.isEmpty():
+        append_rows(new_emp, staging_employees_path)
+
+    # the floor is a literal by now: neither the delta nor the result below reads the staging table
+    ts_delta = timesheets_delta(source_timesheets, read_or_empty(spark, staging_timesheets_path, STAGED_TIMESHEETS))
+    employees = read_or_empty(spark, staging_employees_path, EMPLOYEES)
+    with snapshot(branch_salary(timesheet_hours(ts_delta), dedup_employees(employees)), "delta") as delta:
+        if delta.isEmpty():
             return JobStatus(False, "no new data")
-        employees = read_or_empty(spark, staging_employees_path, EMPLOYEES)
-        delta = branch_salary(timesheet_hours(ts_delta), dedup_employees(employees))
         upsert_branch_salary(delta, result_path)
         reload_months(ts_delta, staging_timesheets_path, materialize=False)
     return JobStatus(True)
@@ -110,9 +110,8 @@ def run_current_period(
     year: int | None = None,
     month: int | None = None,
 ) -> JobStatus:
-    """Recompute one month (default: the current one) and replace it in the result."""
-    if year is None or month is None:
-        year, month = current_period()
+    """Recompute one month and replace it in the result; year and month default to the current ones, each alone."""
+    year, month = current_period(source_timesheets.sparkSession, year, month)
     ts = timesheets_in_period(source_timesheets, year, month)
     if ts.isEmpty():
         return JobStatus(False, "no new data")

@@ -1,9 +1,13 @@
-"""Independent SQL (DuckDB dialect) for every registered query.
+"""DuckDB statements for every registered query, from the payroll rules.
 
-Written from the rules, not from the Spark plans: the full load keeps the
-original self-join of two aggregates, the period job keeps the range
-join, and the incremental keys spell out the staged and delta sets. Each
-text starts with the bindings CTEs (`employees`, `timesheets`).
+Three building blocks, each a common table expression over the bindings
+(`employees`, `timesheets`):
+
+* `worked`: seconds per timesheet, and their year and month;
+* `person`: one row per employee id (`DISTINCT ON`, highest salary first);
+* `cost`: totals per employee and month first, then per branch.
+
+Employment months are counted as month numbers (year * 12 + month).
 """
 
 from __future__ import annotations
@@ -11,256 +15,175 @@ from __future__ import annotations
 from branchcost.plans.catalog import EMPLOYEE_CUT, PERIOD, PLANTED_ROW, TIMESHEET_CUT
 from branchcost.sources.bindings import BINDINGS_SQL
 
-DATE = "CAST(strptime({c}, '%Y-%m-%d') AS DATE)"
-CLOCK = "strptime({d} || ' ' || {t}, '%Y-%m-%d %H:%M:%S')"
-
-
-def _date(c: str) -> str:
-    return DATE.format(c=c)
+EIGHT_HOURS = 8 * 3600
 
 
-def _clock(d: str, t: str) -> str:
-    return CLOCK.format(d=d, t=t)
+def day(c: str) -> str:
+    return f"strptime({c}, '%Y-%m-%d')::DATE"
 
 
-def _blank(c: str) -> str:
-    return f"({c} IS NULL OR {c} = '')"
+def moment(clock: str) -> str:
+    """Date and clock text to a timestamp; null when the clock is blank."""
+    return f"strptime(date || ' ' || nullif({clock}, ''), '%Y-%m-%d %H:%M:%S')"
 
 
-def hours_ctes(src: str = "timesheets", out: str = "timesheet_hour") -> str:
-    """Single-pass hours: 8 h when a time is blank or checkout <= checkin."""
-    return f""", {out}_typed AS (
-    SELECT timesheet_id, employee_id, {_date('date')} AS d,
-           CASE WHEN {_blank('checkin')} THEN NULL ELSE {_clock('date', 'checkin')} END AS cin,
-           CASE WHEN {_blank('checkout')} THEN NULL ELSE {_clock('date', 'checkout')} END AS cout
-    FROM {src}
-), {out} AS (
+def worked(name: str, source: str = "timesheets", both_blank: int = EIGHT_HOURS) -> str:
+    span = f"date_diff('second', {moment('checkin')}, {moment('checkout')})"
+    return f""", {name} AS (
     SELECT timesheet_id, employee_id,
-           CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
-           CAST(CASE WHEN cin IS NULL OR cout IS NULL OR cout <= cin THEN 28800
-                     ELSE date_diff('second', cin, cout) END AS BIGINT) AS work_seconds
-    FROM {out}_typed
+           year({day('date')})::INTEGER AS year, month({day('date')})::INTEGER AS month,
+           (CASE WHEN checkin = '' AND checkout = '' THEN {both_blank}
+                 WHEN {span} > 0 THEN {span} ELSE {EIGHT_HOURS} END)::BIGINT AS work_seconds
+    FROM {source}
 )"""
 
 
-def cleansing_ctes(src: str = "timesheets") -> str:
-    """The three-way UNION ALL; a blank half of a both-blank row reads as midnight."""
-    midnight = f"CAST({_date('date')} AS TIMESTAMP)"
-    return f""", timesheet_cleansing AS (
-    SELECT timesheet_id, employee_id, {_date('date')} AS date,
-           {_clock('date', 'checkin')} AS checkin, {_clock('date', 'checkout')} AS checkout
-    FROM {src} WHERE NOT {_blank('checkout')} AND NOT {_blank('checkin')}
-    UNION ALL
-    SELECT timesheet_id, employee_id, {_date('date')},
-           CASE WHEN {_blank('checkin')} THEN {midnight} ELSE {_clock('date', 'checkin')} END,
-           CAST(NULL AS TIMESTAMP)
-    FROM {src} WHERE {_blank('checkout')}
-    UNION ALL
-    SELECT timesheet_id, employee_id, {_date('date')},
-           CAST(NULL AS TIMESTAMP),
-           CASE WHEN {_blank('checkout')} THEN {midnight} ELSE {_clock('date', 'checkout')} END
-    FROM {src} WHERE {_blank('checkin')}
-), timesheet_bad AS (
-    SELECT * FROM timesheet_cleansing WHERE checkin IS NULL
-    UNION ALL
-    SELECT * FROM timesheet_cleansing WHERE checkout IS NULL
-    UNION ALL
-    SELECT * FROM timesheet_cleansing WHERE checkout IS NOT NULL AND checkin IS NOT NULL AND checkout <= checkin
-), timesheet_good AS (
-    SELECT * FROM timesheet_cleansing WHERE checkout IS NOT NULL AND checkout > checkin
-), timesheet_hour AS (
-    SELECT timesheet_id, employee_id, CAST(year(date) AS INTEGER) AS year,
-           CAST(month(date) AS INTEGER) AS month, CAST(28800 AS BIGINT) AS work_seconds
-    FROM timesheet_bad
-    UNION ALL
-    SELECT timesheet_id, employee_id, CAST(year(date) AS INTEGER), CAST(month(date) AS INTEGER),
-           CAST(date_diff('second', checkin, checkout) AS BIGINT)
-    FROM timesheet_good
+def person(name: str, source: str = "employees") -> str:
+    return f""", {name} AS (
+    SELECT DISTINCT ON (employe_id) employe_id, branch_id, salary, join_date, resign_date
+    FROM {source}
+    ORDER BY employe_id, salary DESC NULLS LAST, branch_id NULLS LAST, join_date NULLS LAST, resign_date NULLS LAST
 )"""
 
 
-def dedup_ctes(src: str = "employees", out: str = "employees_cleansing") -> str:
-    return f""", {out} AS (
-    SELECT employe_id, branch_id, salary, join_date, resign_date FROM (
-        SELECT *, row_number() OVER (
-            PARTITION BY employe_id
-            ORDER BY salary DESC NULLS LAST, branch_id ASC NULLS LAST,
-                     join_date ASC NULLS LAST, resign_date ASC NULLS LAST) AS rnum
-        FROM {src}) a
-    WHERE rnum = 1
+def person_month(name: str, hours: str, people: str) -> str:
+    """One row per employee id and month: seconds, branch and salary."""
+    return f""", {name} AS (
+    SELECT w.employee_id, w.year, w.month, p.branch_id, p.salary, w.total AS work_seconds
+    FROM (SELECT employee_id, year, month, sum(work_seconds) AS total FROM {hours} GROUP BY ALL) w
+    LEFT JOIN {people} p ON p.employe_id = w.employee_id
 )"""
 
 
-def branch_salary_ctes(hours: str = "timesheet_hour", emp: str = "employees_cleansing", p: str = "") -> str:
-    """Original shape: hours per branch-month LEFT JOIN salary per branch-month -> {p}result."""
-    return f""", {p}timesheet_employee AS (
-    SELECT a.timesheet_id, a.employee_id, b.branch_id, b.salary, a.year, a.month, a.work_seconds
-    FROM {hours} a LEFT JOIN {emp} b ON a.employee_id = b.employe_id
-), {p}timesheet_work_hour AS (
-    SELECT branch_id, year, month, CAST(sum(work_seconds) AS DOUBLE) / 3600.0 AS total_work_hour
-    FROM {p}timesheet_employee GROUP BY 1, 2, 3
-), {p}timesheet_branch AS (
-    SELECT DISTINCT branch_id, year, month, employee_id, salary FROM {p}timesheet_employee
-), {p}branch_salary AS (
-    SELECT branch_id, year, month, count(employee_id) AS total_employee,
-           CAST(sum(salary) AS BIGINT) AS total_salary
-    FROM {p}timesheet_branch GROUP BY 1, 2, 3
-), {p}result AS (
-    SELECT a.branch_id, a.year, a.month, a.total_work_hour, b.total_salary,
-           b.total_salary / a.total_work_hour AS salary_per_hour
-    FROM {p}timesheet_work_hour a LEFT JOIN {p}branch_salary b
-      ON a.branch_id = b.branch_id AND a.year = b.year AND a.month = b.month
+def cost(name: str, months: str) -> str:
+    return f""", {name} AS (
+    SELECT branch_id, year, month, total_work_hour, total_salary,
+           total_salary / total_work_hour AS cost_per_hour
+    FROM (
+        SELECT branch_id, year, month, sum(work_seconds)::DOUBLE / 3600.0 AS total_work_hour,
+               (sum(salary) FILTER (branch_id IS NOT NULL))::BIGINT AS total_salary
+        FROM {months} GROUP BY branch_id, year, month
+    )
 )"""
 
 
-def period_ctes() -> str:
+def chain(prefix: str, timesheets: str, employees: str) -> str:
+    """All of the above for one pair of inputs: `{prefix}_cost` and what it is made of."""
     return (
-        dedup_ctes()
-        + f""", time_range AS (
-    SELECT DISTINCT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
-    FROM (SELECT {_date('date')} AS d FROM timesheets) t
-), employee_ AS (
-    SELECT employe_id, branch_id, salary, join_date,
-           CASE WHEN {_blank('resign_date')} THEN '2900-01-01' ELSE resign_date END AS resign_date
-    FROM employees_cleansing
-), time_salary AS (
-    SELECT a.year, a.month, b.employe_id, b.branch_id, b.salary
-    FROM time_range a LEFT JOIN employee_ b
-      ON {_date('b.join_date')} <= make_date(a.year, a.month, 28)
-     AND {_date('b.resign_date')} > make_date(a.year, a.month, 1)
-)"""
+        worked(f"{prefix}_worked", timesheets)
+        + person(f"{prefix}_person", employees)
+        + person_month(f"{prefix}_months", f"{prefix}_worked", f"{prefix}_person")
+        + cost(f"{prefix}_cost", f"{prefix}_months")
     )
 
 
-def staged_ctes() -> str:
-    """Staged tables, the watermark deltas and the existing / delta results."""
-    y, m = PERIOD
-    planted = ", ".join(str(v) for v in PLANTED_ROW)
-    return (
-        f""", staged_ts AS (
-    SELECT * FROM timesheets WHERE date <= '{TIMESHEET_CUT}'
-), staged_emp AS (
-    SELECT * FROM employees WHERE join_date <= '{EMPLOYEE_CUT}'
-), emp_delta AS (
-    SELECT * FROM employees
-    WHERE {_date('join_date')} > (
-        SELECT coalesce(max({_date('join_date')}), DATE '1900-01-01') FROM staged_emp)
-), ts_delta AS (
-    SELECT * FROM timesheets
-    WHERE {_date('date')} >= (
-        SELECT date_trunc('month', coalesce(max({_date('date')}), DATE '1900-01-01')) FROM staged_ts)
-), emp_after AS (
-    SELECT * FROM staged_emp UNION ALL SELECT * FROM emp_delta
-), ts_period AS (
-    SELECT * FROM timesheets WHERE year({_date('date')}) = {y} AND month({_date('date')}) = {m}
+#: Rows with their blanks told apart: a row without both times counts as both kinds.
+KINDS = f""", kinds AS (
+    SELECT timesheet_id, employee_id, {day('date')} AS date, kind,
+           CASE WHEN kind <> 'no checkin' THEN coalesce({moment('checkin')}, {day('date')}::TIMESTAMP) END AS checkin,
+           CASE WHEN kind <> 'no checkout' THEN coalesce({moment('checkout')}, {day('date')}::TIMESTAMP) END AS checkout
+    FROM timesheets, (VALUES ('both'), ('no checkin'), ('no checkout')) AS k(kind)
+    WHERE CASE kind WHEN 'both' THEN checkin <> '' AND checkout <> ''
+                    WHEN 'no checkin' THEN checkin = '' ELSE checkout = '' END
 )"""
-        + dedup_ctes("staged_emp", "staged_emp_clean")
-        + dedup_ctes("emp_after", "emp_after_clean")
-        + dedup_ctes("employees", "employees_cleansing")
-        + hours_ctes("staged_ts", "staged_hour")
-        + hours_ctes("ts_delta", "delta_hour")
-        + hours_ctes("ts_period", "period_hour")
-        + branch_salary_ctes("staged_hour", "staged_emp_clean", "old_")
-        + branch_salary_ctes("delta_hour", "emp_after_clean", "new_")
-        + branch_salary_ctes("period_hour", "employees_cleansing", "per_")
-        + f""", existing AS (
-    SELECT * FROM old_result
-    UNION ALL
-    SELECT {planted}
+KIND_COLUMNS = "timesheet_id, employee_id, date, checkin, checkout"
+
+#: Calendar of the timesheets and the months in which each employee counts.
+EMPLOYMENT = (
+    person("person")
+    + f""", ready AS (
+    SELECT * REPLACE (coalesce(nullif(resign_date, ''), '2900-01-01') AS resign_date) FROM person
+), calendar AS (
+    SELECT DISTINCT year({day('date')})::INTEGER AS year, month({day('date')})::INTEGER AS month FROM timesheets
+), tenure AS (
+    SELECT employe_id, branch_id, salary,
+           year(f) * 12 + month(f) + (day(f) > 28)::INTEGER AS first_month,
+           year(l) * 12 + month(l) - (day(l) <= 1)::INTEGER AS last_month
+    FROM (SELECT *, {day('join_date')} AS f, {day('resign_date')} AS l FROM ready)
+), employed AS (
+    SELECT c.year, c.month, t.employe_id, t.branch_id, t.salary
+    FROM calendar c LEFT JOIN tenure t ON c.year * 12 + c.month BETWEEN t.first_month AND t.last_month
 )"""
-    )
-
-
-KEY_MATCH = """d.branch_id IS NOT DISTINCT FROM e.branch_id
-      AND d.year IS NOT DISTINCT FROM e.year AND d.month IS NOT DISTINCT FROM e.month"""
-
-BRANCH_SALARY_SELECT = "SELECT branch_id, year, month, total_work_hour, total_salary, salary_per_hour FROM result"
-
-
-def _q(*parts: str) -> str:
-    return BINDINGS_SQL + "".join(parts)
+)
+
+
+def latest(column: str, source: str) -> str:
+    return f"(SELECT coalesce(max({day(column)}), DATE '1900-01-01') FROM {source})"
+
+
+#: The incremental keys: what is staged, what is new, and the results of both.
+INCREMENT = (
+    f""", staged_timesheets AS (
+    FROM timesheets WHERE date <= '{TIMESHEET_CUT}'
+), staged_employees AS (
+    FROM employees WHERE join_date <= '{EMPLOYEE_CUT}'
+), new_employees AS (
+    FROM employees WHERE {day('join_date')} > {latest('join_date', 'staged_employees')}
+), new_timesheets AS (
+    FROM timesheets WHERE {day('date')} >= date_trunc('month', {latest('date', 'staged_timesheets')})
+), known_employees AS (
+    FROM staged_employees UNION ALL FROM new_employees
+), month_timesheets AS (
+    FROM timesheets WHERE date LIKE '{PERIOD[0]:04d}-{PERIOD[1]:02d}-%'
+)"""
+    + chain("before", "staged_timesheets", "staged_employees")
+    + chain("delta", "new_timesheets", "known_employees")
+    + chain("period", "month_timesheets", "employees")
+    + f""", existing AS (
+    FROM before_cost UNION ALL VALUES ({', '.join(map(str, PLANTED_ROW))})
+)"""
+)
+SAME_KEY = "(d.branch_id, d.year, d.month) IS NOT DISTINCT FROM (e.branch_id, e.year, e.month)"
 
 
 def oracle_sql() -> dict[str, str]:
-    y, m = PERIOD
-    full = _q(hours_ctes(), dedup_ctes(), branch_salary_ctes(), "\n" + BRANCH_SALARY_SELECT)
-    stages = _q(hours_ctes(), dedup_ctes(), branch_salary_ctes())
-    return {
-        "branch_salary_full": full,
-        "branch_salary_union_literal": _q(
-            cleansing_ctes(), dedup_ctes(), branch_salary_ctes(), "\n" + BRANCH_SALARY_SELECT
-        ),
-        "branch_salary_self_join": full,
-        "timesheet_cleansing": _q(cleansing_ctes(), "\nSELECT * FROM timesheet_cleansing"),
-        "timesheet_bad": _q(cleansing_ctes(), "\nSELECT * FROM timesheet_bad"),
-        "timesheet_good": _q(cleansing_ctes(), "\nSELECT * FROM timesheet_good"),
-        "timesheet_work_hours": _q(
-            hours_ctes(),
-            "\nSELECT timesheet_id, employee_id, year, month, work_seconds,"
-            " CAST(work_seconds AS DOUBLE) / 3600.0 AS work_hour FROM timesheet_hour",
-        ),
-        "employees_dedup": _q(dedup_ctes(), "\nSELECT * FROM employees_cleansing"),
-        "employees_duplicate_ids": _q(
-            "\nSELECT employe_id, count(*) AS n FROM employees GROUP BY employe_id HAVING count(*) > 1"
-        ),
-        "employees_period_ready": _q(period_ctes(), "\nSELECT * FROM employee_"),
-        "timesheet_employee": stages
-        + "\nSELECT timesheet_id, employee_id, branch_id, salary, year, month,"
-        " CAST(work_seconds AS DOUBLE) / 3600.0 AS work_hour FROM timesheet_employee",
-        "work_hour_by_branch_month": stages + "\nSELECT * FROM timesheet_work_hour",
-        "salary_base_distinct": stages + "\nSELECT * FROM timesheet_branch",
-        "branch_salary_month": stages + "\nSELECT * FROM branch_salary",
-        "period_list": _q(period_ctes(), "\nSELECT * FROM time_range ORDER BY year, month"),
-        "period_employee_range_join": _q(period_ctes(), "\nSELECT * FROM time_salary"),
-        "period_employee_exploded": _q(period_ctes(), "\nSELECT * FROM time_salary"),
-        "salary_period": _q(
-            period_ctes(),
-            """
-SELECT year, month, branch_id, CAST(sum(salary) AS BIGINT) AS "sum"
-FROM time_salary GROUP BY 1, 2, 3
-ORDER BY year, month, branch_id NULLS LAST""",
-        ),
-        "high_water_marks": _q(
-            f"""
-SELECT 'employees' AS table_name,
-       coalesce(max({_date('join_date')}), DATE '1900-01-01') AS max_date
-FROM employees WHERE join_date <= '{EMPLOYEE_CUT}'
-UNION ALL
-SELECT 'timesheets', coalesce(max({_date('date')}), DATE '1900-01-01')
-FROM timesheets WHERE date <= '{TIMESHEET_CUT}'
-UNION ALL
-SELECT 'timesheets_empty', coalesce(max({_date('date')}), DATE '1900-01-01')
-FROM timesheets WHERE date < '1900-01-01'"""
-        ),
-        "employees_delta": _q(staged_ctes(), "\nSELECT * FROM emp_delta"),
-        "timesheets_delta": _q(staged_ctes(), "\nSELECT * FROM ts_delta"),
-        "timesheets_current_period": _q(staged_ctes(), "\nSELECT * FROM ts_period"),
-        "branch_salary_lookup": _q(
-            staged_ctes(),
-            f"""
-SELECT * FROM existing e
-WHERE EXISTS (SELECT 1 FROM new_result d WHERE {KEY_MATCH})""",
-        ),
-        "branch_salary_upsert": _q(
-            staged_ctes(),
-            f"""
-SELECT * FROM existing e
-WHERE NOT EXISTS (SELECT 1 FROM new_result d WHERE {KEY_MATCH})
-UNION ALL
-SELECT branch_id, year, month, total_work_hour, total_salary, salary_per_hour FROM new_result""",
-        ),
-        "branch_salary_period_replace": _q(
-            staged_ctes(),
-            f"""
-SELECT * FROM existing WHERE NOT coalesce(year = {y} AND month = {m}, false)
-UNION ALL
-SELECT branch_id, year, month, total_work_hour, total_salary, salary_per_hour FROM per_result""",
-        ),
-        "employees_csv_scan": _q("\nSELECT * FROM employees"),
-        "timesheets_csv_scan": _q("\nSELECT * FROM timesheets"),
-        "sink_full_overwrite": full,
-        "sink_staging_append": _q(
-            staged_ctes(), "\nSELECT * FROM staged_emp UNION ALL SELECT * FROM emp_delta"
-        ),
-        "sink_staging_month_reload": _q("\nSELECT * FROM timesheets"),
+    year, month = PERIOD
+    full = chain("all", "timesheets", "employees")
+    literal = (
+        worked("w", both_blank=2 * EIGHT_HOURS) + person("p") + person_month("m", "w", "p") + cost("c", "m")
+    )
+    hours = "work_seconds::DOUBLE / 3600.0 AS work_hour"
+    touched = f"EXISTS (FROM delta_cost d WHERE {SAME_KEY})"
+    texts = {
+        "branch_salary_full": full + "FROM all_cost",
+        "branch_salary_union_literal": literal + "FROM c",
+        "branch_salary_self_join": full + "FROM all_cost",
+        "timesheet_cleansing": f"{KINDS} SELECT {KIND_COLUMNS} FROM kinds",
+        "timesheet_bad": f"{KINDS} SELECT {KIND_COLUMNS} FROM kinds WHERE kind <> 'both' OR checkout <= checkin",
+        "timesheet_good": f"{KINDS} SELECT {KIND_COLUMNS} FROM kinds WHERE kind = 'both' AND checkout > checkin",
+        "timesheet_work_hours": worked("w") + f"SELECT *, {hours} FROM w",
+        "employees_dedup": person("p") + "FROM p",
+        "employees_duplicate_ids": " SELECT employe_id, count(*) AS n FROM employees GROUP BY 1 HAVING n > 1",
+        "employees_period_ready": EMPLOYMENT + "FROM ready",
+        "timesheet_employee": worked("w") + person("p") + f"""
+SELECT w.timesheet_id, w.employee_id, p.branch_id, p.salary, w.year, w.month, {hours}
+FROM w LEFT JOIN p ON p.employe_id = w.employee_id""",
+        "work_hour_by_branch_month": full + "SELECT branch_id, year, month, total_work_hour FROM all_cost",
+        "salary_base_distinct": full + "SELECT branch_id, year, month, employee_id, salary FROM all_months",
+        "branch_salary_month": full + """
+SELECT branch_id, year, month, count(employee_id) AS total_employee, sum(salary)::BIGINT AS total_salary
+FROM all_months GROUP BY ALL""",
+        "period_list": EMPLOYMENT + "FROM calendar ORDER BY year, month",
+        "period_employee_range_join": EMPLOYMENT + "FROM employed",
+        "period_employee_exploded": EMPLOYMENT + "FROM employed",
+        "salary_period": EMPLOYMENT + """
+SELECT year, month, branch_id, sum(salary)::BIGINT AS "sum" FROM employed
+GROUP BY ALL ORDER BY year, month, branch_id NULLS LAST""",
+        "high_water_marks": INCREMENT + f"""
+SELECT 'employees' AS table_name, {latest('join_date', 'staged_employees')} AS max_date
+UNION ALL SELECT 'timesheets', {latest('date', 'staged_timesheets')}
+UNION ALL SELECT 'timesheets_empty', {latest('date', "(FROM timesheets WHERE date < '1900-01-01')")}""",
+        "employees_delta": INCREMENT + "FROM new_employees",
+        "timesheets_delta": INCREMENT + "FROM new_timesheets",
+        "timesheets_current_period": INCREMENT + "FROM month_timesheets",
+        "branch_salary_lookup": INCREMENT + f"FROM existing e WHERE {touched}",
+        "branch_salary_upsert": INCREMENT + f"FROM existing e WHERE NOT {touched} UNION ALL FROM delta_cost",
+        "branch_salary_period_replace": INCREMENT + f"""
+FROM existing WHERE (year, month) IS DISTINCT FROM ({year}, {month}) UNION ALL FROM period_cost""",
+        "employees_csv_scan": " FROM employees",
+        "timesheets_csv_scan": " FROM timesheets",
+        "sink_full_overwrite": full + "FROM all_cost",
+        "sink_staging_append": INCREMENT + "FROM known_employees",
+        "sink_staging_month_reload": " FROM timesheets",
     }
+    return {key: f"{BINDINGS_SQL}{text}" for key, text in texts.items()}

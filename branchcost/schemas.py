@@ -43,7 +43,7 @@ BRANCH_SALARY = T.StructType(
         T.StructField("month", T.IntegerType(), True),
         T.StructField("total_work_hour", T.DoubleType(), True),
         T.StructField("total_salary", T.LongType(), True),
-        T.StructField("salary_per_hour", T.DoubleType(), True),
+        T.StructField("cost_per_hour", T.DoubleType(), True),
     ]
 )
 

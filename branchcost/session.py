@@ -6,6 +6,7 @@ the caller's session. `build_session` is for tests, bench and local runs.
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -59,8 +60,9 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is
-    unset (a local test run) is a scratch folder chosen here.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session,
+    whose driver and tasks share one machine, may leave it unset; then a
+    temporary folder is chosen here, and removed when Python ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,7 +70,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="branchcost-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -87,12 +92,35 @@ def ship_package(spark: SparkSession) -> None:
     sc._branchcost_shipped = True
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, deleted when the driver's Python ends.
+
+    For tables that a lazy result still reads; what a job is done with is
+    deleted at once (`snapshot`).
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/branchcost-scratch/{name}-{uuid.uuid4().hex}"
+    atexit.register(_delete_if_running, spark, path)
+    return path
+
+
+def _delete_if_running(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        delete_path(spark, path)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write `df` as Parquet in a scratch folder and read it back, for a lazy result."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def snapshot(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
     """Write `df` as Parquet in the shared checkpoint folder; yield it read back.
@@ -111,4 +139,4 @@ def snapshot(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        _delete_path(spark, path)
+        delete_path(spark, path)

@@ -1,5 +1,7 @@
 """Writers for staging and result tables.
 
+A target is a path, or a catalog table written ``table:name``.
+
 Result and timesheet staging tables are partitioned by (year, month), so
 that a job that recomputes some months rewrites only those partitions
 (dynamic partition overwrite) and a period filter prunes partitions on
@@ -16,26 +18,40 @@ month or one file per task and month.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from branchcost.operators import merge_branch_salary
 from branchcost.schemas import BRANCH_SALARY, PERIOD_KEY
 from branchcost.session import snapshot
-from branchcost.sources import read_or_empty, with_period_columns
+from branchcost.sources import read_or_empty, table_name, with_period_columns
 
 
-def _dynamic(writer):
-    return writer.option("partitionOverwriteMode", "dynamic")
+def _save(writer: DataFrameWriter, target: str) -> None:
+    """Write to a path, or to a catalog table when the target is ``table:name``."""
+    if table_name(target):
+        writer.format("parquet").saveAsTable(table_name(target))
+    else:
+        writer.parquet(target)
 
 
-def _by_month(df: DataFrame):
+def _by_month(df: DataFrame) -> DataFrameWriter:
     return df.hint("rebalance", *PERIOD_KEY).write.partitionBy(*PERIOD_KEY)
 
 
+def _replace_months(df: DataFrame, target: str) -> None:
+    """Replace the (year, month) partitions present in `df`; others stay."""
+    name = table_name(target)
+    if name and df.sparkSession.catalog.tableExists(name):
+        rows = df.select(*df.sparkSession.table(name).columns).hint("rebalance", *PERIOD_KEY)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    else:
+        _save(_by_month(df).mode("overwrite").option("partitionOverwriteMode", "dynamic"), target)
+
+
 def write_full_overwrite(df: DataFrame, path: str) -> None:
     """Replace the whole table (truncate + insert). `df` must not read `path`."""
-    df.write.mode("overwrite").parquet(path)
+    _save(df.write.mode("overwrite"), path)
 
 
 def write_partitioned_overwrite(df: DataFrame, path: str) -> None:
@@ -43,12 +59,12 @@ def write_partitioned_overwrite(df: DataFrame, path: str) -> None:
 
     Static overwrite: months absent from `df` disappear too.
     """
-    _by_month(df).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    _save(_by_month(df).mode("overwrite").option("partitionOverwriteMode", "static"), path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
     """Append to a staging table (employees)."""
-    df.write.mode("append").parquet(path)
+    _save(df.write.mode("append"), path)
 
 
 def reload_months(df: DataFrame, path: str, date_col: str = "date", materialize: bool = True) -> None:
@@ -60,10 +76,10 @@ def reload_months(df: DataFrame, path: str, date_col: str = "date", materialize:
     """
     staged = with_period_columns(df, date_col)
     if not materialize:
-        _dynamic(_by_month(staged).mode("overwrite")).parquet(path)
+        _replace_months(staged, path)
         return
     with snapshot(staged, "months") as frozen:
-        _dynamic(_by_month(frozen).mode("overwrite")).parquet(path)
+        _replace_months(frozen, path)
 
 
 def replace_periods(result: DataFrame, path: str) -> None:
@@ -71,7 +87,7 @@ def replace_periods(result: DataFrame, path: str) -> None:
 
     Branches of those months that are absent from `result` disappear.
     """
-    _dynamic(_by_month(result).mode("overwrite")).parquet(path)
+    _replace_months(result, path)
 
 
 def upsert_branch_salary(delta: DataFrame, path: str) -> None:
@@ -100,9 +116,9 @@ def upsert_branch_salary(delta: DataFrame, path: str) -> None:
     )
     touched = touched.unionByName(null_rows)
     with snapshot(merge_branch_salary(touched, delta), "merged") as merged:
-        _dynamic(_by_month(merged).mode("overwrite")).parquet(path)
+        _replace_months(merged, path)
 
 
 def write_ordered(df: DataFrame, path: str, *cols: str) -> None:
     """Overwrite with rows sorted by `cols` (nulls last) across output files."""
-    df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).write.mode("overwrite").parquet(path)
+    _save(df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).write.mode("overwrite"), path)

@@ -14,6 +14,7 @@ from branchcost.sources.readers import (
     read_partitioned,
     read_timesheets_csv,
     table_exists,
+    table_name,
     with_period_columns,
 )
 
@@ -28,6 +29,7 @@ __all__ = [
     "read_table",
     "read_timesheets_csv",
     "table_exists",
+    "table_name",
     "timesheets_from_lineitem",
     "with_period_columns",
 ]

@@ -7,16 +7,15 @@ projection; the derived tables keep the source's size and partitioning.
 
 The modulo terms below give the payroll data its shape (repeated
 employees, resigned employees, timesheets without an employee, blank and
-overnight times); they do not thin out the work: every lineitem row
-becomes a timesheet.
+overnight times); they do not thin out the work: every supplier row becomes
+an employee and every lineitem row a timesheet. Timesheets without an
+employee carry a negative id, which no supplier has.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from branchcost.sources.readers import spread_small_scan
-
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 
 # Types of the source columns the bindings read; passing them skips schema
@@ -50,7 +49,7 @@ def employees_from_supplier(supplier: DataFrame) -> DataFrame:
     salary = f"CAST({BASE_SALARY} + {SALARY_STEP} * (s_suppkey % 20) AS INT)"
     join_offset = "CAST(s_suppkey * 37 % 1800 AS INT)"
     resign_offset = f"{join_offset} + 400 + CAST(s_suppkey % 300 AS INT)"
-    return supplier.filter("s_suppkey % 10 <> 9").selectExpr(
+    return supplier.selectExpr(
         "CAST(s_suppkey AS INT) AS employe_id",
         "CAST(s_nationkey AS INT) AS branch_id",
         f"explode(array_compact(array({salary},"
@@ -72,7 +71,7 @@ def timesheets_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
     return lineitem.selectExpr(
         "CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS timesheet_id",
-        "CAST(l_suppkey AS INT) AS employee_id",
+        "CAST(CASE WHEN l_partkey % 10 = 9 THEN -l_suppkey ELSE l_suppkey END AS INT) AS employee_id",
         "CAST(CAST(l_shipdate AS DATE) AS STRING) AS date",  # yyyy-MM-dd, no time zone involved
         f"CASE WHEN l_orderkey % 23 = 0 THEN '' ELSE {_hms(checkin_s)} END AS checkin",
         f"CASE WHEN l_partkey % 29 = 0 THEN '' ELSE {_hms(checkout_s)} END AS checkout",
@@ -90,7 +89,7 @@ def load_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_timesheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem", LINEITEM_INPUT)
-    return timesheets_from_lineitem(spread_small_scan(lineitem, "l_orderkey", "l_linenumber"))
+    return timesheets_from_lineitem(lineitem)
 
 
 # SQL text of the same bindings, for an independent engine (DuckDB dialect).
@@ -107,7 +106,6 @@ WITH emp_base AS (
                               + CAST(s_suppkey * 37 % 1800 + 400 + s_suppkey % 300 AS INTEGER), '%Y-%m-%d')
                 ELSE '' END AS resign_date
     FROM supplier
-    WHERE s_suppkey % 10 <> 9
 ), employees AS (
     SELECT employe_id, branch_id, salary, join_date, resign_date FROM emp_base
     UNION ALL
@@ -127,7 +125,7 @@ WITH emp_base AS (
     FROM ts_base
 ), timesheets AS (
     SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS timesheet_id,
-           CAST(l_suppkey AS INTEGER) AS employee_id,
+           CAST(CASE WHEN l_partkey % 10 = 9 THEN -l_suppkey ELSE l_suppkey END AS INTEGER) AS employee_id,
            strftime(l_shipdate, '%Y-%m-%d') AS date,
            CASE WHEN l_orderkey % 23 = 0 THEN ''
                 ELSE printf('%02d:%02d:%02d', ci // 3600, (ci % 3600) // 60, ci % 60) END AS checkin,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,13 +10,26 @@ from branchcost.schemas import EMPLOYEES, TIMESHEETS
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    # Explicit schema (no inference pass over the files) and FAILFAST, so a
-    # malformed row stops the job instead of turning into nulls.
+    """CSV with a header row, its columns taken by name, in any order.
+
+    The header of one file gives the order; Spark checks every file's header
+    against it (`enforceSchema` off), so files that disagree stop the job,
+    as does a missing column. Further columns are ignored. FAILFAST: a
+    malformed row stops the job instead of turning into nulls.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    wanted = {f.name: f.dataType for f in schema.fields}
+    missing = [name for name in wanted if name not in header]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header}")
+    as_found = T.StructType([T.StructField(c, wanted.get(c, T.StringType()), True) for c in header])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(as_found)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(path)
+        .select(*wanted)
     )
 
 
@@ -34,8 +45,15 @@ def read_timesheets_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("checkin", null_to_blank("checkin")).withColumn("checkout", null_to_blank("checkout"))
 
 
+def table_name(target: str) -> str | None:
+    """Catalog name of a target written ``table:name``; None for a path."""
+    return target.removeprefix("table:") if target.startswith("table:") else None
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when `path` holds a readable table (a committed directory)."""
+    """True when `path` holds a readable table (a committed directory or a catalog table)."""
+    if table_name(path):
+        return spark.catalog.tableExists(table_name(path))
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -50,6 +68,8 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
     Partition columns come back last from a directory scan; the schema is
     passed so no inference pass runs and an empty table still has columns.
     """
+    if table_name(path):
+        return spark.table(table_name(path)).select(*schema.fieldNames())
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
@@ -59,65 +79,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-def _parse_bytes(text: str) -> int:
-    text = text.strip().lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
-    return int(float(text.rstrip("kmgt")) * scale)
-
-
-def _file_stats(spark: SparkSession, files: list[str]) -> list[tuple[str, int, int]]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    stats = []
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        stats.append((f, st.getLen(), st.getModificationTime()))
-    return stats
-
-
-_SPREAD_COPIES: dict[tuple, str] = {}
-SPREAD_MAX_BYTES = 1 << 30  # never copy more than 1 GiB, whatever the core count
-
-
-def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Re-lay out a small scan that cannot use the cluster's cores.
-
-    A Parquet split is a row group, so a small table written as one file
-    with one row group is read by one task however many cores there are;
-    every narrow step after the scan, and every filter Catalyst pushes
-    towards it (a `repartition` is no barrier to pushdown), then runs in
-    that task. When the scan has fewer files than cores *and* its bytes fit
-    in fewer than `cores` splits *and* it is under SPREAD_MAX_BYTES, the
-    selected columns are written once as `cores` files (hash-spread on
-    `keys`) in the checkpoint folder and read from there; later calls in the
-    session reuse the copy while the source files keep their size and
-    modification time. Anything larger is returned untouched: a large table
-    arrives in many files or row groups and the scan splits it, and the
-    absolute cap keeps a big cluster (thousands of cores) from copying a
-    large single file that is already split by its row groups.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    stats = _file_stats(spark, files)
-    if sum(size for _, size, _ in stats) > min(cores * max_split, SPREAD_MAX_BYTES):
-        return df
-    key = (spark.sparkContext.applicationId, tuple(sorted(stats)), tuple(df.columns), keys, cores)
-    path = _SPREAD_COPIES.get(key)
-    if path is None or not table_exists(spark, path):
-        from branchcost.session import ensure_checkpoint_dir
-
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/branchcost-spread/{uuid.uuid4().hex}"
-        spread = df.repartition(cores, *keys) if keys else df.repartition(cores)
-        spread.write.parquet(path)
-        _SPREAD_COPIES[key] = path
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def with_period_columns(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Add integer year and month derived from a yyyy-MM-dd text column.
 

@@ -26,7 +26,7 @@ from fixtures import (
 )
 
 KEY = ["branch_id", "year", "month"]
-VALUES = ["total_work_hour", "total_salary", "salary_per_hour"]
+VALUES = ["total_work_hour", "total_salary", "cost_per_hour"]
 
 
 def test_branch_salary_golden(spark):
@@ -136,7 +136,7 @@ def test_sql_views_give_the_job_results(spark):
 
     register_views(spark, golden_employees(spark), golden_timesheets(spark))
     rows = spark.sql(
-        "SELECT branch_id, year, month, total_work_hour, total_salary, salary_per_hour FROM branch_salary"
+        "SELECT branch_id, year, month, total_work_hour, total_salary, cost_per_hour FROM branch_salary"
     ).collect()
     assert {(r[0], r[1], r[2]): (r[3], r[4], r[5]) for r in rows} == EXPECTED_BRANCH_SALARY
     got = {tuple(r) for r in spark.sql("SELECT year, month, branch_id, `sum` FROM salary_period").collect()}

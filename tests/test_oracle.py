@@ -29,5 +29,5 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_entry_smoke(spark):
     df = entry_module.entry(spark)
-    assert df.columns == ["branch_id", "year", "month", "total_work_hour", "total_salary", "salary_per_hour"]
-    assert df.count() == 826
+    assert df.columns == ["branch_id", "year", "month", "total_work_hour", "total_salary", "cost_per_hour"]
+    assert df.count() == 907

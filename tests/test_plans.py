@@ -4,12 +4,17 @@ import contextlib
 import io
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from branchcost.operators import (
+    dedup_employees,
     employees_period_ready,
+    period_employee_exploded,
     period_employee_range_join,
     period_list,
+    timesheet_employee,
+    timesheet_hours,
     timesheets_delta,
     timesheets_in_period,
 )
@@ -46,12 +51,46 @@ def test_salary_period_expands_and_sums_map_side(spark):
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-def test_range_join_broadcasts_only_the_period_list(spark):
+def _executed(df):
+    """Final adaptive plan of a query that has run."""
+    df.write.format("noop").mode("overwrite").save()
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """No broadcast joins and low thresholds, as large inputs would have them."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_employee_is_split_in_the_row_level_join(spark, no_broadcast):
+    emp = load_employees(spark, SF_SMALL)
+    ts = load_timesheets(spark, SF_SMALL).withColumn("employee_id", F.expr("IF(timesheet_id % 5 < 4, 1, employee_id)"))
+    hot = timesheet_employee(timesheet_hours(ts.repartition(8, "timesheet_id")), dedup_employees(emp))
+    rows, p = _executed(hot)
+    assert len(rows) == 6000
+    assert "skew=true" in p.split("Initial Plan")[0], p
+
+
+def test_period_join_streams_the_employees(spark, no_broadcast):
     emp, ts = load_employees(spark, SF_SMALL), load_timesheets(spark, SF_SMALL)
-    p = plan(period_employee_range_join(period_list(ts), employees_period_ready(emp)), "simple")
-    bnlj = [line for line in p.splitlines() if "BroadcastNestedLoopJoin" in line]
-    assert bnlj and all("BuildRight, Inner" in line or "LeftSemi" in line for line in bnlj)
-    assert "CartesianProduct" not in p
+    for join in (period_employee_range_join, period_employee_exploded):
+        p = plan(join(period_list(ts), employees_period_ready(emp)), "simple")
+        assert "NestedLoop" not in p and "CartesianProduct" not in p
+        assert "Inner" in p and "LeftOuter" not in p
 
 
 def test_period_filter_prunes_partitions_and_pushes_down(spark, tmp_table_dir):
@@ -60,21 +99,19 @@ def test_period_filter_prunes_partitions_and_pushes_down(spark, tmp_table_dir):
     staged = read_partitioned(spark, path, STAGED_TIMESHEETS)
     p = plan(timesheets_in_period(staged, 1999, 6))
     assert "PartitionFilters: [isnotnull(year" in p and "(year#" in p and "= 1999)" in p
-    assert "GreaterThanOrEqual(date,1999-06-01)" in p and "LessThan(date,1999-07-01)" in p
+    assert "GreaterThanOrEqual(date,1999)" in p and "LessThan(date,2000)" in p
 
 
-def test_watermark_reads_only_the_latest_partition(spark, tmp_table_dir):
+def test_delta_filter_is_a_literal_pushed_to_the_source(spark, tmp_table_dir):
     path = os.path.join(tmp_table_dir, "staging")
     ts = load_timesheets(spark, SF_SMALL)
     reload_months(ts.filter(F.col("date") <= "1999-06-17"), path, materialize=False)
     staged = read_partitioned(spark, path, STAGED_TIMESHEETS)
-    p = plan(timesheets_delta(ts, staged))
-    pruned = [
-        line
-        for line in p.splitlines()
-        if line.startswith("PartitionFilters") and "year" in line and "subquery" in line.lower()
-    ]
-    assert pruned, "the watermark's date scan is not pruned to the latest partition"
+    source_path = os.path.join(tmp_table_dir, "source")
+    ts.write.parquet(source_path)
+    p = plan(timesheets_delta(spark.read.parquet(source_path), staged))
+    assert "GreaterThanOrEqual(date,1999)" in p and "1999-06-01" in p
+    assert "Subquery" not in p and p.count("Scan parquet") == 1  # the staging table is not part of the plan
 
 
 def test_upsert_reads_only_touched_months(spark, tmp_table_dir):
@@ -90,16 +127,3 @@ def test_upsert_reads_only_touched_months(spark, tmp_table_dir):
     existing = read_or_empty(spark, path, BRANCH_SALARY)
     touched = existing.join(delta.select(*PERIOD_KEY).distinct(), PERIOD_KEY, "left_semi")
     assert "dynamicpruning" in plan(merge_branch_salary(touched, delta), "simple")
-
-
-def test_scan_relayout_only_for_small_under_split_inputs(spark, monkeypatch):
-    import branchcost.sources.readers as readers
-    from branchcost.sources import read_table
-
-    lineitem = read_table(spark, SF_SMALL, "lineitem").select("l_orderkey")
-    spread = readers.spread_small_scan(lineitem, "l_orderkey")
-    assert len(spread.inputFiles()) > 1  # one small file, re-laid out as one file per core
-    monkeypatch.setattr(readers, "SPREAD_MAX_BYTES", 1)
-    assert readers.spread_small_scan(read_table(spark, SF_SMALL, "orders").select("o_orderkey")).inputFiles() == (
-        read_table(spark, SF_SMALL, "orders").inputFiles()
-    )
