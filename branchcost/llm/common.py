@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +39,24 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of `stage_table` that nothing reads any more.
+
+    Also lets the driver collect its garbage, upon which Spark removes the
+    shuffle files of the steps that made them; otherwise the disk would hold
+    those of all steps of a long job at once.
+    """
+    for t in tables:
+        spark = t.sparkSession
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.stage_path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def free_name(df: DataFrame, base: str) -> str:

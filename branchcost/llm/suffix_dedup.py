@@ -6,25 +6,27 @@ in a document with a smaller id. No task sees the corpus as a whole:
 1. *Anchors.* Of the 31 positions in a 50-byte window, the one whose 20-byte
    hash is smallest is the window's anchor. It depends on the window's bytes
    alone, so equal windows have equal anchors, and about one position in 16
-   is one. Tasks send the anchors of a block of documents, packed per hash
-   bucket, and learn which ones occur in several documents. An anchor that
-   several documents of a block share is sent once for the block, so a
-   passage in a third of all documents is a few entries per block.
-2. *Segments.* For each such anchor, the stretch of text under the windows
-   it serves (50 to 80 bytes) is cut out. Equal segments are counted before
-   the shuffle and become one row with the smallest document id.
-3. *Suffix arrays.* The distinct segments of an anchor meet in one block.
-   Anchors with more than `HOT` distinct segments are dealt out as single
-   windows by their own hash instead. Over the concatenated segments of a
-   block a suffix array is built by two-stage sorting; neighbours with a
-   common prefix of 50 bytes are equal windows, and each group's smallest id
-   tells which windows of a segment occur in a smaller document.
-4. The verdicts are joined back to the occurrences of the segments (a plain
-   join, so that frequent segments are split), the removed runs are gathered
-   per document and joined to the texts.
-
-The result is exact: hashes only bring equal windows together, and the
-suffix array compares the bytes.
+   is one. The stretch of text under the windows an anchor serves (50 to 80
+   bytes) is its segment. Tasks send, packed per hash bucket, 48 bits of the
+   anchor's and 48 bits of the segment's hash for a block of documents.
+2. *Equal segments.* Of the documents with one segment only the smallest
+   counts; in all others the segment goes. A block of documents settles this
+   for itself and sends each segment once, so a passage in a third of all
+   documents is one entry per block. Where an anchor has several distinct
+   segments in several documents, those need their bytes compared: they are
+   cut out of the smallest document of each.
+3. *Suffix arrays.* The segments of an anchor meet in one block of text.
+   Over a block a suffix array is built by two-stage sorting; neighbours with
+   a common prefix of 50 bytes are equal windows, and each group's smallest
+   id tells which windows occur in a smaller document. Anchors with more than
+   `HOT` distinct segments (say, a common line before all kinds of text) are
+   dealt out as single windows by the windows' own hashes instead, and a
+   block of documents that sees more than `BLOCK_HOT` says so without sending
+   them.
+4. The removed runs are gathered per document and joined to the texts.
+
+Segments and single windows are matched by 96 and 128 bits of hash, windows
+within segments by their bytes.
 """
 
 from __future__ import annotations
@@ -33,11 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchcost.llm.common import stage_table
+from branchcost.llm.common import release, stage_table
 
 LENGTH = 50
 GRAM = 20
@@ -47,10 +50,12 @@ BLOCK_TEXT = 8 << 20  # bytes of text whose anchors are sent together
 BUCKET_TEXT = 24 << 20  # bytes of text per anchor bucket
 BLOCK_SEGMENTS = 2 << 20  # bytes of segments per suffix array
 HOT = 2_000
+BLOCK_HOT = 200
 
 _U = np.uint64
 _ODD = 0xD6E8FEB86659FD93
 _LOW20 = _U((1 << 20) - 1)
+_MASK48 = _U((1 << 48) - 1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -64,10 +69,12 @@ _INV = _powers(pow(_ODD, -1, 1 << 64), PIECE + LENGTH)
 
 
 def window_anchors(data: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For pieces of a text: (offset of the piece, anchor hashes, first window, last window + 1).
+    """For pieces of a text: (offset of the piece, marks, first window, last window + 1).
 
-    Windows are numbered by their start within the piece; every window of
-    the text lies in exactly one piece.
+    One row of `marks` per anchor: 48 bits of its hash, 48 bits of its
+    segment's. Windows are numbered by their start within the piece; every
+    window of the text lies in exactly one piece. (A segment cut by the end
+    of a piece is two segments; they are as good as one.)
     """
     for lo in range(0, max(0, len(data) - LENGTH + 1), PIECE - LENGTH + 1):
         raw = np.frombuffer(data, np.uint8, min(PIECE, len(data) - lo), lo)
@@ -78,9 +85,7 @@ def window_anchors(data: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
         np.cumsum(code, out=prefix[1:])
         h = prefix[GRAM:] - prefix[:-GRAM]
         h *= _INV[: len(h)]
-        h ^= h >> _U(31)
-        h *= _U(0x9E3779B97F4A7C15)
-        h ^= h >> _U(29)
+        _finish(h)
         # the position in the low bits: the least key is the least hash, first of equals
         low = (h & ~_LOW20) | np.arange(len(h), dtype=np.uint64)
         for step in (1, 2, 4, 8):
@@ -88,7 +93,16 @@ def window_anchors(data: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
         low = np.minimum(low[: -(SPREAD - 16)], low[SPREAD - 16 :])
         at = (low & _LOW20).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        yield lo, h[at[first]], first, np.append(first[1:], len(at))
+        last = np.append(first[1:], len(at))
+        segment = (prefix[last + LENGTH - 1] - prefix[first]) * _INV[first] + (last - first).astype(np.uint64)
+        yield lo, np.stack([h[at[first]], _finish(segment)], 1) & _MASK48, first, last
+
+
+def _finish(h: np.ndarray) -> np.ndarray:
+    h ^= h >> _U(31)
+    h *= _U(0x9E3779B97F4A7C15)
+    h ^= h >> _U(29)
+    return h
 
 
 def two_stage_suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
@@ -214,115 +228,199 @@ def least_ids(segments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     return [of_window[s : s + n - LENGTH + 1] for s, n in zip(starts, sizes)]
 
 
-def _anchor_packets(n_buckets: int):
-    def flush(docs: list[int], hashes: list[np.ndarray]) -> pd.DataFrame:
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        d = np.repeat(np.array(docs, np.int64), [len(x) for x in hashes])
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        keep = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])) if len(h) else np.zeros(0, bool)
-        h, d = h[keep], d[keep]
-        if not len(h):
-            return pd.DataFrame({"bucket": [], "doc": [], "hashes": [], "ids": []})
-        head = np.append(True, h[1:] != h[:-1])
-        size = np.diff(np.append(np.flatnonzero(head), len(h)))
-        several = np.repeat(size > 1, size)
-        rows = []
-        # known to be shared: straight to the documents
-        for doc, own in _by_document(d[several], h[several]):
-            rows.append((-1, doc, own.tobytes(), None))
-        # one entry for each hash: to its bucket
-        h, d = h[head], d[head]
-        bucket = (h % _U(n_buckets)).astype(np.int64)
+def _pack(marks: np.ndarray) -> bytes:
+    """Marks (n, 2) as 12 bytes each."""
+    return np.ascontiguousarray(marks, "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").astype(np.uint64).reshape(-1, 2)
+
+
+#: What is to be done with a segment of a document.
+GONE, COMPARE, SINGLE = "gone", "compare", "single"
+#: In place of a segment's hash: the anchor is hot.
+_HOT_MARK = _MASK48
+PACKET = "bucket bigint, docs binary, marks binary, owners binary, kind string"
+VERDICT = "doc bigint, kind string, marks binary"
+
+
+def _heads(values: np.ndarray) -> np.ndarray:
+    return np.append(True, values[1:] != values[:-1]) if len(values) else np.zeros(0, bool)
+
+
+def _by_document(d: np.ndarray, marks: np.ndarray, kind: str) -> Iterator[tuple[int, str, bytes]]:
+    order = np.argsort(d, kind="stable")
+    d, marks = d[order], marks[order]
+    cuts = np.flatnonzero(_heads(d))
+    for lo, hi in zip(cuts, np.append(cuts[1:], len(d))):
+        yield int(d[lo]), kind, _pack(marks[lo:hi])
+
+
+def _settle(marks: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted marks and documents, and which of them are the first of their segment."""
+    order = np.lexsort((d, marks[:, 1], marks[:, 0]))
+    marks, d = marks[order], d[order]
+    new = _heads(marks[:, 0]) | _heads(marks[:, 1])
+    keep = new | _heads(d)
+    return marks[keep], d[keep], new[keep]
+
+
+def _per_anchor(marks: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sorted marks: segments, smallest and largest document of each one's anchor."""
+    at = np.flatnonzero(_heads(marks[:, 0]))
+    size = np.diff(np.append(at, len(d)))
+    spread = lambda x: np.repeat(x, size)
+    return spread(size), spread(np.minimum.reduceat(d, at)), spread(np.maximum.reduceat(d, at))
+
+
+def _anchor_packets(n_buckets: int, block_hot: int):
+    """Map function: blocks of documents to packets of their marks.
+
+    A packet names its documents (`docs`) and, for each mark, the number of
+    the document that has it (`owners`). A packet without owners is a
+    verdict (`kind`) on marks of the one document named.
+    """
+
+    def flush(docs: list[int], found: list[np.ndarray]) -> pd.DataFrame:
+        ids = np.array(docs, np.int64)
+        numbers = np.repeat(np.arange(len(docs)), [len(x) for x in found])
+        by_id = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # smaller number, smaller id
+        ids = np.sort(ids, kind="stable")
+        marks, d, new = _settle(np.concatenate(found), by_id[numbers])
+        head = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))  # first document of the segment
+        again = ids[d] > ids[d[head]]
+        rows = [(doc % n_buckets, doc, kind, own) for doc, kind, own in _by_document(ids[d[again]], marks[again], GONE)]
+        marks, d = marks[new], d[new]
+        size, _, _ = _per_anchor(marks, d)
+        hot = size > block_hot
+        rows += [(doc % n_buckets, doc, kind, own) for doc, kind, own in _by_document(ids[d[hot]], marks[hot], SINGLE)]
+        out = [(b, np.int64(doc).tobytes(), own, None, kind) for b, doc, kind, own in rows]
+        # one entry for each segment, or for each hot anchor, goes to the anchor's bucket
+        send = ~hot | _heads(marks[:, 0])
+        marks = np.where(hot[:, None] & np.array([[False, True]]), _HOT_MARK, marks)[send]
+        d = d[send]
+        bucket = (marks[:, 0] % _U(n_buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
-        h, d, bucket = h[by], d[by], bucket[by]
+        marks, d, bucket = marks[by], d[by], bucket[by]
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
-        for b in range(n_buckets):
-            lo, hi = cuts[b], cuts[b + 1]
+        for k in range(n_buckets):
+            lo, hi = cuts[k], cuts[k + 1]
             if lo < hi:
-                rows.append((b, None, h[lo:hi].tobytes(), d[lo:hi].tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "doc", "hashes", "ids"])
+                used, number = np.unique(d[lo:hi], return_inverse=True)
+                out.append((k, ids[used].tobytes(), _pack(marks[lo:hi]), number.astype(np.uint16).tobytes(), None))
+        return pd.DataFrame(out, columns=["bucket", "docs", "marks", "owners", "kind"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        docs, hashes, size = [], [], 0
+        docs, found, size = [], [], 0
         for b in batches:
             for doc, text in zip(b["id"].tolist(), b["text"]):
                 data = text.encode()
-                found = [h for _, h, _, _ in window_anchors(data)]
-                if found:
-                    docs.append(doc)
-                    hashes.append(np.concatenate(found))
-                    size += len(data)
-                if size > BLOCK_TEXT:
-                    yield _typed(flush(docs, hashes))
-                    docs, hashes, size = [], [], 0
+                docs.append(doc)
+                found.append(np.concatenate([m for _, m, _, _ in window_anchors(data)]))
+                size += len(data)
+                if size > BLOCK_TEXT or len(docs) == 60_000:
+                    yield flush(docs, found)
+                    docs, found, size = [], [], 0
         if docs:
-            yield _typed(flush(docs, hashes))
+            yield flush(docs, found)
 
     return run
 
 
-def _typed(out: pd.DataFrame) -> pd.DataFrame:
-    out["bucket"] = out["bucket"].astype("int64")
-    out["doc"] = pd.array([None if x is None or x != x else int(x) for x in out["doc"]], dtype="Int64")
-    return out
-
-
-def _by_document(d: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(d, kind="stable")
-    d, h = d[order], h[order]
-    cuts = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else []
-    for lo, hi in zip(cuts, np.append(cuts[1:], len(d)) if len(d) else []):
-        yield int(d[lo]), h[lo:hi]
-
-
-def _shared_in_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["hashes"]])
-    d = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["ids"]])
-    order = np.argsort(h, kind="stable")
-    h, d = h[order], d[order]
-    same = h[1:] == h[:-1]
-    several = np.append(same, False) | np.append(False, same)
-    rows = [(doc, own.tobytes()) for doc, own in _by_document(d[several], h[several])]
-    return pd.DataFrame(rows, columns=["doc", "hashes"]).astype({"doc": "int64"})
-
-
-def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Segments (id, tag, anchor, start, seg) of texts with their shared anchors."""
+def _bucket_verdicts(pdf: pd.DataFrame, hot_bound: int) -> pd.DataFrame:
+    """What is to be done with the segments of a bucket, by document."""
+    rows, marks, docs = [], [], []
+    for named, packed, owners, kind in zip(pdf["docs"], pdf["marks"], pdf["owners"], pdf["kind"]):
+        ids = np.frombuffer(named, np.int64)
+        if owners is None:
+            rows.append((int(ids[0]), kind, packed))
+        else:
+            marks.append(_unpack(packed))
+            docs.append(ids[np.frombuffer(owners, np.uint16)])
+    if marks:
+        m, d, new = _settle(np.concatenate(marks), np.concatenate(docs))
+        told = m[:, 1] == _HOT_MARK
+        rows += _by_document(d[~new & ~told], m[~new & ~told], GONE)
+        m, d, told = m[new], d[new], told[new]
+        size, low, high = _per_anchor(m, d)
+        at = np.flatnonzero(_heads(m[:, 0]))
+        hot = np.repeat(np.logical_or.reduceat(told, at), np.diff(np.append(at, len(d)))) | (size > hot_bound)
+        single = hot & ~told
+        rows += _by_document(d[single], m[single], SINGLE)
+        compare = ~hot & (size > 1) & (low < high)
+        rows += _by_document(d[compare], m[compare], COMPARE)
+    return pd.DataFrame(rows, columns=["doc", "kind", "marks"]).astype({"doc": "int64"})
+
+
+CUT = "id bigint, tag bigint, kind string, cuts array<bigint>, anchor bigint, seg binary, starts array<bigint>"
+
+
+def _cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Apply the verdicts to the texts: runs that are gone, segments to compare, single windows."""
     for b in batches:
-        parts: dict[str, list] = {"id": [], "tag": [], "anchor": [], "start": [], "seg": []}
+        rows: list[tuple] = []
         size = 0
-        for doc, tag, text, packed in zip(b["id"].tolist(), b["tag"].tolist(), b["text"], b["packed"]):
-            shared = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in packed]))
+        for doc, tag, text, verdicts in zip(b["id"].tolist(), b["tag"].tolist(), b["text"], b["verdicts"]):
             data = text.encode()
-            for lo, h, first, last in window_anchors(data):
-                pos = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
-                hit = np.flatnonzero(shared[pos] == h)
-                begin, stop = (first[hit] + lo).tolist(), (last[hit] + lo + LENGTH - 1).tolist()
-                parts["id"] += [doc] * len(hit)
-                parts["tag"] += [tag] * len(hit)
-                parts["anchor"] += h[hit].view(np.int64).tolist()
-                parts["start"] += begin
-                parts["seg"] += [data[s:e] for s, e in zip(begin, stop)]
+            wanted = {k: _joined_marks([v["marks"] for v in verdicts if v["kind"] == k]) for k in (GONE, COMPARE, SINGLE)}
+            gone: list[int] = []
+            places: dict[tuple, list[int]] = {}
+            for lo, marks, first, last in window_anchors(data):
+                own = _as_key(marks)
+                for k, keys in wanted.items():
+                    if not len(keys):
+                        continue
+                    pos = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                    for i in np.flatnonzero(keys[pos] == own).tolist():
+                        s, e = int(first[i]) + lo, int(last[i]) + lo + LENGTH - 1
+                        if k == GONE:
+                            if gone and s <= gone[-1]:
+                                gone[-1] = max(e, gone[-1])
+                            else:
+                                gone += [s, e]
+                        elif k == COMPARE:
+                            places.setdefault((int(marks[i, 0]), data[s:e]), []).append(s)
+                        else:
+                            for w in range(s, e - LENGTH + 1):
+                                places.setdefault((-1, xxhash.xxh3_128_digest(data[w : w + LENGTH])), []).append(w)
+            if gone:
+                rows.append((doc, tag, GONE, gone, None, None, None))
+            rows += [(doc, tag, SINGLE if a < 0 else COMPARE, None, a, seg, at) for (a, seg), at in places.items()]
             size += len(data)
             if size > BLOCK_TEXT:
-                yield pd.DataFrame(parts)
-                parts, size = {k: [] for k in parts}, 0
-        if parts["id"]:
-            yield pd.DataFrame(parts)
+                yield _cut_frame(rows)
+                rows, size = [], 0
+        if rows:
+            yield _cut_frame(rows)
+
+
+def _cut_frame(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=["id", "tag", "kind", "cuts", "anchor", "seg", "starts"])
+    out["anchor"] = out["anchor"].astype("Int64")
+    return out
+
+
+def _as_key(marks: np.ndarray) -> np.ndarray:
+    """Marks as one 64-bit key each, to search a document's few verdicts by."""
+    return marks[:, 0] * _U(_ODD) ^ marks[:, 1]
 
 
-def _single_windows(segs: pd.Series) -> pd.Series:
-    return pd.Series([[s[i : i + LENGTH] for i in range(len(s) - LENGTH + 1)] for s in segs], dtype=object)
+def _joined_marks(parts: list[bytes]) -> np.ndarray:
+    return np.unique(_as_key(np.concatenate([_unpack(x) for x in parts]))) if parts else np.zeros(0, np.uint64)
 
 
 def _block_verdicts(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For the segments of a block: windows that occur under a smaller id, as runs (start, stop, ...)."""
-    ids = pdf["least"].to_numpy(np.int64)
-    out = []
-    for own, window in zip(ids, least_ids(list(pdf["seg"]), ids)):
-        out.append(_runs(window < own))
-    return pd.DataFrame({"key": pdf["key"], "least": ids, "runs": out})
+    """For the segments of a block: runs whose windows occur under a smaller id."""
+    ids = pdf["id"].to_numpy(np.int64)
+    rows = []
+    for doc, tag, starts, least in zip(ids.tolist(), pdf["tag"], pdf["starts"], least_ids(list(pdf["seg"]), ids)):
+        runs = _runs(least < doc)
+        if runs:
+            rows.append((doc, tag, [int(s) + x for s in starts for x in runs]))
+    return pd.DataFrame(rows, columns=["id", "tag", "cuts"]).astype({"id": "int64", "tag": "int64"})
 
 
 def _runs(flags: np.ndarray) -> list[int]:
@@ -368,95 +466,53 @@ def _apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFr
         yield pd.DataFrame(rows, columns=REMOVED.names)
 
 
-def removed_runs(rows: DataFrame) -> DataFrame:
-    """(id, tag, starts, stops): removed runs of `rows` (id, tag, text), which may overlap."""
+def removed_runs(rows: DataFrame, hot: int = HOT, block_hot: int = BLOCK_HOT) -> DataFrame:
+    """(id, tag, cuts): removed runs of `rows` (id, tag, text); each of `cuts` is start, stop, start, stop, ..."""
     long = rows.where(F.octet_length("text") >= LENGTH).where(F.col("id").isNotNull())
     total = long.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(12, -(-total // BUCKET_TEXT))
-    packets = stage_table(
-        long.select("id", "text").mapInPandas(
-            _anchor_packets(n_buckets), "bucket bigint, doc bigint, hashes binary, ids binary"
-        ),
-        "anchors",
-    )
-    in_buckets = (
-        packets.where("bucket >= 0")
-        .groupBy("bucket")
-        .applyInPandas(_shared_in_bucket, "doc bigint, hashes binary")
-    )
-    known = packets.where("bucket < 0").select("doc", "hashes")
-    shared = stage_table(
-        in_buckets.unionByName(known).groupBy("doc").agg(F.collect_list("hashes").alias("packed")), "shared"
+    packets = long.select("id", "text").mapInPandas(_anchor_packets(n_buckets, block_hot), PACKET)
+    verdicts = stage_table(
+        packets.groupBy("bucket")
+        .applyInPandas(lambda pdf: _bucket_verdicts(pdf, hot), VERDICT)
+        .groupBy("doc")
+        .agg(F.collect_list(F.struct("kind", "marks")).alias("verdicts")),
+        "verdicts",
     )
     cut = stage_table(
-        long.join(shared, F.col("id") == F.col("doc"))
-        .select("id", "tag", "text", "packed")
-        .mapInPandas(_segments, "id bigint, tag bigint, anchor bigint, start bigint, seg binary"),
-        "segments",
-    )
-    cut, distinct = _split_hot(cut)
-    anchors = stage_table(
-        distinct.groupBy("anchor")
-        .agg(F.count("*").alias("n_segs"), F.min("least").alias("a"), F.max("most").alias("b"))
-        .where("n_segs > 1 AND a < b")
-        .select("anchor"),
-        "open-anchors",
+        long.join(verdicts, F.col("id") == F.col("doc")).select("id", "tag", "text", "verdicts").mapInPandas(_cut_out, CUT),
+        "cut",
     )
-    size = distinct.agg(F.sum(F.octet_length("seg"))).first()[0] or 0
-    n_blocks = max(12, -(-size // BLOCK_SEGMENTS))
-    key = F.unhex(F.md5("seg"))
-    verdicts = (
-        distinct.join(anchors, "anchor")
-        .select("seg", "least", key.alias("key"), F.pmod(F.xxhash64("anchor"), F.lit(n_blocks)).alias("block"))
+    release(verdicts)
+    compare = cut.where(F.col("kind") == COMPARE)
+    n_blocks = max(12, -(-(compare.agg(F.sum(F.octet_length("seg"))).first()[0] or 0) // BLOCK_SEGMENTS))
+    compared = (
+        compare.select("id", "tag", "seg", "starts", F.pmod(F.xxhash64("anchor"), F.lit(n_blocks)).alias("block"))
         .groupBy("block")
-        .applyInPandas(_block_verdicts, "key binary, least bigint, runs array<bigint>")
-        .where("size(runs) > 0")
+        .applyInPandas(_block_verdicts, "id bigint, tag bigint, cuts array<bigint>")
     )
-    # of each segment: the smallest document, and what of it occurs in smaller ones
-    seen = distinct.where("least < most").select(key.alias("key"), "least", F.lit(None).cast("array<bigint>").alias("runs"))
-    judged = stage_table(
-        seen.unionByName(verdicts).groupBy("key").agg(F.min("least").alias("least"), F.max("runs").alias("runs")),
-        "judged",
+    single = cut.where(F.col("kind") == SINGLE).select("id", "tag", "starts", F.col("seg").alias("key"))
+    least = stage_table(
+        single.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most"), "least"
     )
-    found = cut.select("id", "tag", "start", F.octet_length("seg").alias("len"), key.alias("key")).join(judged, "key")
-    cuts = F.when(
-        F.col("id") > F.col("least"), F.array(F.col("start"), F.col("start") + F.col("len"))
-    ).otherwise(F.transform("runs", lambda x: x + F.col("start")))
-    return stage_table(
-        found.select("id", "tag", cuts.alias("cuts"))
-        .where("cuts IS NOT NULL")
+    later = single.join(least, "key").where("id > least")
+    windows = F.flatten(F.transform("starts", lambda s: F.array(s, s + LENGTH)))
+    runs = stage_table(
+        cut.where(F.col("kind") == GONE)
+        .select("id", "tag", "cuts")
+        .unionByName(compared)
+        .unionByName(later.select("id", "tag", windows.alias("cuts")))
         .groupBy("id", "tag")
         .agg(F.collect_list("cuts").alias("cuts")),
         "runs",
     )
+    release(cut, least)
+    return runs
 
 
-def _split_hot(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Segments and distinct segments, with those of hot anchors dealt out as single windows."""
-
-    def counted(segs: DataFrame) -> DataFrame:
-        return segs.groupBy("anchor", "seg").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-
-    distinct = stage_table(counted(cut), "distinct")
-    hot = stage_table(
-        distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor"), "hot"
-    )
-    if not hot.take(1):
-        return cut, distinct
-    windows = F.pandas_udf(_single_windows, "array<binary>")("seg")
-    single = stage_table(
-        cut.join(hot, "anchor")
-        .select("id", "tag", "start", F.posexplode(windows).alias("i", "window"))
-        .select("id", "tag", F.xxhash64("window").alias("anchor"), (F.col("start") + F.col("i")).alias("start"), F.col("window").alias("seg")),
-        "single-windows",
-    )
-    return (
-        cut.join(hot, "anchor", "left_anti").unionByName(single),
-        stage_table(distinct.join(hot, "anchor", "left_anti").unionByName(counted(single)), "distinct"),
-    )
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, block_hot: int = BLOCK_HOT
+) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept), one row per input row; `kept` is the remaining bytes.
 
     A null text is empty. A null id is not smaller or larger than any, so
@@ -468,6 +524,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.xxhash64(F.col(text_col)).alias("tag"),
         F.col(text_col).alias("text"),
     )
-    runs = removed_runs(rows).withColumnRenamed("id", "rid").withColumnRenamed("tag", "rtag")
+    runs = removed_runs(rows, hot, block_hot).withColumnRenamed("id", "rid").withColumnRenamed("tag", "rtag")
     joined = rows.join(runs, (F.col("id") == F.col("rid")) & (F.col("tag") == F.col("rtag")), "left")
     return joined.select("id", F.pandas_udf(_apply, REMOVED)("text", "cuts").alias("r")).select("id", "r.*")
