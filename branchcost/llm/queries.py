@@ -120,6 +120,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
+OP2_SQL = r"""
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes, sha1(COALESCE(html, '')) AS hex FROM pages
+), firsts AS (
+    SELECT hex, min(page_id) AS first_id FROM payloads GROUP BY hex
+), coded AS (
+    SELECT p.*, f.first_id,
+           list_aggregate(list_transform(range(0, 8), lambda g: list_aggregate(list_transform(range(0, 4), lambda c:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      ((('0x' || substr(hex, CAST(5 * g + 1 AS INTEGER), 5))::INTEGER >> (15 - 5 * c)::INTEGER) & 31) + 1, 1)),
+               'string_agg', '')), 'string_agg', '') AS payload_digest
+    FROM payloads p JOIN firsts f USING (hex)
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM coded
+"""
+
 OP3_SQL = r"""
 WITH parts AS (
     SELECT page_id, url,
@@ -146,4 +165,36 @@ SELECT page_id, host, path, rule,
 FROM judged
 """
 
-ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL}
+OP6_SQL = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS n,
+           array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS gram
+    FROM item_words, LATERAL (SELECT unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i) WHERE len(w) > 0
+), sizes AS (
+    SELECT DISTINCT n FROM windows
+), hits AS (
+    SELECT d.doc_id, d.i, v.n, v.item_id
+    FROM (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS gram
+          FROM doc_words, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)) d
+    JOIN windows v ON v.n = d.n AND v.gram = d.gram
+), hit_words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, LATERAL (SELECT unnest(range(i, i + n)) AS p) GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+       sha256(COALESCE(ids, '')) AS items_sha256,
+       COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_url_filter": OP3_SQL, "op6_decontaminate": OP6_SQL}

@@ -39,7 +39,7 @@ from branchcost.llm.labelled import training_ids
 PER_CLASS = 8_000
 MAX_TERMS = 4_000
 MIN_DOCS = 4
-MIN_LOG_ODDS = 3.0
+MIN_LOG_ODDS = 2.0
 MIN_SHARE = 0.6
 MIN_RATIO = 28.0
 STEM_LENGTHS = (4, 5, 6)
