@@ -7,6 +7,11 @@ JSON line: {"metric", "value", "unit", "queries", "sf"}. After one
 warm-up pass over all headline queries (JIT, codegen caches), each query
 is timed $BENCH_REPEAT times (default 3), plan building included; `value`
 is the sum of the per-query best times.
+
+`jobs` times three jobs without the seeding of their tables, which the keys
+`branch_salary_upsert` and `branch_salary_period_replace` include: a full
+load, an incremental load whose delta is the last month, and a reload of that
+month.
 """
 
 from __future__ import annotations
@@ -19,8 +24,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from branchcost.plans import jobs  # noqa: E402
 from branchcost.plans.catalog import QUERIES  # noqa: E402
-from branchcost.session import build_session  # noqa: E402
+from branchcost.session import build_session, scratch_path  # noqa: E402
+from branchcost.sinks.writers import reload_months, write_full_overwrite  # noqa: E402
+from branchcost.sources import load_employees, load_timesheets  # noqa: E402
 
 HEADLINE = [
     "branch_salary_full",
@@ -35,6 +45,29 @@ HEADLINE = [
 ]
 
 
+def job_timings(spark, sf_dir: str, repeat: int) -> dict[str, float]:
+    emp, ts = load_employees(spark, sf_dir), load_timesheets(spark, sf_dir)
+    last = ts.agg(F.max("date")).first()[0]  # its month is the delta
+    staged = ts.filter(F.col("date") <= f"{last[:8]}01")
+    best: dict[str, list[float]] = {}
+    for _ in range(repeat + 1):  # the first round warms up
+        paths = [scratch_path(spark, name) for name in ("result", "employees", "timesheets")]
+        runs = {
+            "full_load": lambda: jobs.run_full_load(emp, ts, paths[0]),
+            "incremental_last_month": lambda: jobs.run_incremental(spark, emp, ts, paths[1], paths[2], paths[0]),
+            "current_period_last_month": lambda: jobs.run_current_period(
+                emp, ts, paths[0], int(last[:4]), int(last[5:7])
+            ),
+        }
+        write_full_overwrite(emp, paths[1])
+        reload_months(staged, paths[2], materialize=False)
+        for name, run in runs.items():
+            t0 = time.perf_counter()
+            run()
+            best.setdefault(name, []).append(time.perf_counter() - t0)
+    return {name: round(min(times[1:]), 3) for name, times in best.items()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -61,6 +94,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "jobs": job_timings(spark, sf_dir, repeat),
                 "sf": float(m.group(1)) if m else sf_dir,
             }
         )

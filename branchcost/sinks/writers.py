@@ -18,7 +18,10 @@ month or one file per task and month.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from branchcost.operators import merge_branch_salary
@@ -27,12 +30,27 @@ from branchcost.session import snapshot
 from branchcost.sources import read_or_empty, table_name, with_period_columns
 
 
-def _save(writer: DataFrameWriter, target: str) -> None:
-    """Write to a path, or to a catalog table when the target is ``table:name``."""
+def _save(writer: DataFrameWriter, target: str, overwrite: str | None = None) -> None:
+    """Write to a path, or create a catalog table when the target is ``table:name``.
+
+    `overwrite` is the partition overwrite mode for a path. A table is made
+    anew; the option would stay with it as a table property.
+    """
     if table_name(target):
         writer.format("parquet").saveAsTable(table_name(target))
     else:
-        writer.parquet(target)
+        (writer.option("partitionOverwriteMode", overwrite) if overwrite else writer).parquet(target)
+
+
+@contextmanager
+def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting for one write: `insertInto` does not take it as an option."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _by_month(df: DataFrame) -> DataFrameWriter:
@@ -44,9 +62,10 @@ def _replace_months(df: DataFrame, target: str) -> None:
     name = table_name(target)
     if name and df.sparkSession.catalog.tableExists(name):
         rows = df.select(*df.sparkSession.table(name).columns).hint("rebalance", *PERIOD_KEY)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        with _session_setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            rows.write.mode("overwrite").insertInto(name)
     else:
-        _save(_by_month(df).mode("overwrite").option("partitionOverwriteMode", "dynamic"), target)
+        _save(_by_month(df).mode("overwrite"), target, overwrite="dynamic")
 
 
 def write_full_overwrite(df: DataFrame, path: str) -> None:
@@ -59,7 +78,7 @@ def write_partitioned_overwrite(df: DataFrame, path: str) -> None:
 
     Static overwrite: months absent from `df` disappear too.
     """
-    _save(_by_month(df).mode("overwrite").option("partitionOverwriteMode", "static"), path)
+    _save(_by_month(df).mode("overwrite"), path, overwrite="static")
 
 
 def append_rows(df: DataFrame, path: str) -> None:
