@@ -52,19 +52,23 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in `links` (u, v); component is its smallest node.
 
-    Repeats the two star steps until the links no longer change; a large
-    component needs about log(nodes) rounds, a star one. Links of a node
-    with itself or with null are ignored.
+    Repeats the two star steps until every node is linked to one root only;
+    a large component needs about log(nodes) rounds, a star one. Links of a
+    node with itself or with null are ignored.
     """
     clean = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now = stage_table(clean.mapInPandas(_local_forest, "u bigint, v bigint").distinct(), "links")
-    mark = None
-    while True:
+    while not _is_stars(now):
         now = stage_table(_stars(stage_table(_stars(now, True), "stars"), False), "links")
-        # an order-free fingerprint of the links
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if seen == mark:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        mark = seen
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )
+
+
+def _is_stars(links: DataFrame) -> bool:
+    """Whether each u is in one link only and no v is a u."""
+    ends = links.select(F.col("u").alias("x"), F.lit(1).alias("n")).unionByName(
+        links.select(F.col("v").alias("x"), F.lit(0).alias("n"))
+    )
+    per_node = ends.groupBy("x").agg(F.sum("n").alias("out"), F.min("n").alias("least"))
+    return not per_node.where("out > 1 OR (out = 1 AND least = 0)").take(1)

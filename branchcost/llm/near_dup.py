@@ -7,8 +7,10 @@
    j-th. Steps that cannot lower any register are not taken, so large sets
    stop after one or two steps. The elements of a whole batch of texts walk
    together in numpy.
-3. Banding: 16 bands of 4 registers. Sets at the threshold of 0.85 share a
-   band with probability 1 - 7e-6, more similar ones nearly always.
+3. Banding: 24 bands of 7 registers. Sets at the threshold of 0.85 share a
+   band with probability 1 - 1e-4, of 0.9 with 1 - 2e-7; those of 0.4, say
+   short texts around one common passage, with 0.04. Pairs whose sizes differ
+   by more than the threshold allows are not verified (that is exact).
 4. In every bucket the member that shares most buckets with others (the
    centre of its neighbourhood) is the pivot, and every other member is
    verified against it on the full sets. Buckets whose members are not yet
@@ -31,13 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchcost.llm.common import stage_table
+from branchcost.llm.common import release, stage_table
 from branchcost.llm.components import components
 
 WORDS = 5
 PERCENT = 85
-REGISTERS = 64
-BANDS = 16
+REGISTERS = 168
+BANDS = 24
 ROUNDS = 3
 CHUNK = 1 << 16  # elements that walk together
 
@@ -136,6 +138,11 @@ def _band_keys(sig: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(b), F.substring(sig, b * width + 1, width)) for b in range(BANDS)])
 
 
+def _sizes_allow(a: str, b: str) -> Column:
+    """False when two sets differ in size too much for the threshold."""
+    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (u, v) among candidate pairs (u, v) of representatives; `docs` is (id, text).
 
@@ -152,7 +159,9 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
     first = pairs.join(sets.select(F.col("id").alias("u"), F.col("items").alias("a")), "u")
     second = first.join(sets.select(F.col("id").alias("v"), F.col("items").alias("b")), "v")
-    return stage_table(second.where(F.pandas_udf(is_link, "boolean")("a", "b")).select("u", "v"), "verified")
+    links = stage_table(second.where(F.pandas_udf(is_link, "boolean")("a", "b")).select("u", "v"), "verified")
+    release(pairs, sets)
+    return links
 
 
 def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -169,8 +178,8 @@ def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Components (node, component) of the classes (id, sig); `docs` is (id, text)."""
-    banded = classes.select("id", F.explode(_band_keys(F.col("sig"))).alias("key"))
+    """Components (node, component) of the classes (id, n, sig); `docs` is (id, text)."""
+    banded = classes.select("id", "n", F.explode(_band_keys(F.col("sig"))).alias("key"))
     sizes = stage_table(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     shared = stage_table(banded.join(sizes, "key"), "shared")
     weights = shared.groupBy("id").agg(F.sum("size").alias("weight"))
@@ -179,7 +188,7 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     links = None
     comps = None
     last = None  # rank of the pivot of the round before, by bucket
-    rank = F.struct(F.col("weight").alias("weight"), (-F.col("id")).alias("minus_id"))
+    rank = F.struct(F.col("weight").alias("weight"), (-F.col("id")).alias("minus_id"), F.col("n").alias("n"))
     for turn in range(ROUNDS):
         now = members if comps is None else _open_members(members.drop("component"), comps)
         now = stage_table(now.where(F.col("size") > turn + 1), "open")
@@ -190,6 +199,7 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             ranked = now.join(last, "key").where(rank < F.col("pivot"))
         pivots = stage_table(ranked.groupBy("key").agg(F.max(rank).alias("pivot")), "pivots")
         star = now.join(pivots, "key").where(F.col("id") != -F.col("pivot.minus_id"))
+        star = star.where(_sizes_allow("n", "pivot.n"))
         if comps is not None:  # members in the pivot's component need no check
             of_pivot = comps.select(F.col("node").alias("p"), F.col("component").alias("pivot_component"))
             star = star.withColumn("p", -F.col("pivot.minus_id")).join(of_pivot, "p", "left").where(
@@ -208,9 +218,10 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     # what the pivots left open: pairs of different components in a bucket
     rest = stage_table(_open_members(members, comps).where(F.col("size") > ROUNDS + 1), "rest")
     if rest.take(1):
-        a = rest.select("key", F.col("id").alias("u"), F.col("component").alias("cu"))
-        b = rest.select("key", F.col("id").alias("v"), F.col("component").alias("cv"))
-        pairs = a.join(b, "key").where("u > v AND cu <> cv").select("u", "v").distinct()
+        a = rest.select("key", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"))
+        b = rest.select("key", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"))
+        pairs = a.join(b, "key").where(F.expr("u > v AND cu <> cv") & _sizes_allow("nu", "nv"))
+        pairs = pairs.select("u", "v").distinct()
         comps = stage_table(components(links.unionByName(_verified(pairs, docs))), "components")
     return comps
 
@@ -232,10 +243,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage_table(
         signed.where("print IS NOT NULL AND id IS NOT NULL")
         .groupBy("print")
-        .agg(F.min("id").alias("class_id"), F.first("sig").alias("sig")),
+        .agg(F.min("id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")),
         "classes",
     )
-    comps = near_duplicate_links(classes.select(F.col("class_id").alias("id"), "sig"), rows)
+    comps = near_duplicate_links(classes.select(F.col("class_id").alias("id"), "n", "sig"), rows)
     final = stage_table(
         classes.select("print", "class_id")
         .join(comps, F.col("class_id") == F.col("node"), "left")
