@@ -9,8 +9,10 @@
    together in numpy.
 3. Banding: 24 bands of 7 registers. Sets at the threshold of 0.85 share a
    band with probability 1 - 1e-4, of 0.9 with 1 - 2e-7; those of 0.4, say
-   short texts around one common passage, with 0.04. Pairs whose sizes differ
-   by more than the threshold allows are not verified (that is exact).
+   short texts around one common passage, with 0.04. Buckets are
+   split into overlapping size windows, as sizes that differ by more than the
+   threshold allows rule a link out (that is exact), and pairs whose registers
+   agree in less than 0.71 (a chance of 2e-7 at the threshold) are dropped.
 4. In every bucket the member that shares most buckets with others (the
    centre of its neighbourhood) is the pivot, and every other member is
    verified against it on the full sets. Buckets whose members are not yet
@@ -24,6 +26,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +43,9 @@ WORDS = 5
 PERCENT = 85
 REGISTERS = 168
 BANDS = 24
-ROUNDS = 3
+#: Five standard deviations below the threshold of 0.85 with 168 registers.
+ALIKE = 0.71
+ROUNDS = 2
 CHUNK = 1 << 16  # elements that walk together
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -99,6 +104,7 @@ SIGNED = T.StructType(
         T.StructField("n_shingles", T.LongType()),
         T.StructField("print", T.BinaryType()),  # 128-bit hash of the whole set
         T.StructField("sig", T.BinaryType()),  # 4 bytes for each register
+        T.StructField("sketch", T.BinaryType()),  # 1 byte for each register
     ]
 )
 
@@ -110,7 +116,9 @@ def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             sets = [shingle_set(t) for t in texts.iloc[lo : lo + 256]]
             sig = (_mix(super_minhash(sets).view(np.uint64)) >> _U(32)).astype(np.uint32)
             out += [
-                (len(s), xxhash.xxh3_128_digest(s.tobytes()), sig[i].tobytes()) if len(s) else (0, None, None)
+                (len(s), xxhash.xxh3_128_digest(s.tobytes()), sig[i].tobytes(), sig[i].astype(np.uint8).tobytes())
+                if len(s)
+                else (0, None, None, None)
                 for i, s in enumerate(sets)
             ]
         yield pd.DataFrame(out, columns=SIGNED.names)
@@ -133,9 +141,25 @@ def is_link(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
         yield pd.Series(out, dtype=bool)
 
 
-def _band_keys(sig: Column) -> Column:
+def looks_alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Whether the share of equal registers is not far below the threshold."""
+    for left, right in batches:
+        a = np.frombuffer(b"".join(left), np.uint8).reshape(-1, REGISTERS)
+        b = np.frombuffer(b"".join(right), np.uint8).reshape(-1, REGISTERS)
+        yield pd.Series((a == b).sum(1) >= ALIKE * REGISTERS, dtype=bool)
+
+
+def _band_keys(sig: Column, n: Column) -> Column:
+    """Bucket keys: band and size window.
+
+    Size windows span two factors of the threshold and overlap by one, so
+    two sets whose sizes the threshold allows share a window in full.
+    """
     width = 4 * REGISTERS // BANDS
-    return F.array(*[F.xxhash64(F.lit(b), F.substring(sig, b * width + 1, width)) for b in range(BANDS)])
+    scale = F.log(n.cast("double")) / F.lit(math.log(100 / PERCENT) * 1.000001)
+    windows = [F.floor(scale / 2), F.floor((scale + 1) / 2)]
+    bands = [F.substring(sig, b * width + 1, width) for b in range(BANDS)]
+    return F.array(*[F.xxhash64(F.lit(2 * b + w), x, size) for b, x in enumerate(bands) for w, size in enumerate(windows)])
 
 
 def _sizes_allow(a: str, b: str) -> Column:
@@ -143,18 +167,29 @@ def _sizes_allow(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (u, v) among candidate pairs (u, v) of representatives; `docs` is (id, text).
 
+    Pairs whose registers differ too much are dropped first.
+
     The sets of the documents named in the pairs are computed once. A pivot
     named in many pairs is a skewed key of a join of plain tables, which
     the adaptive skew join splits.
     """
-    pairs = stage_table(pairs, "pairs")
+    sketch = classes.select("id", "sketch")
+    alike = F.pandas_udf(looks_alike, "boolean")
+    pairs = stage_table(
+        pairs.join(sketch.select(F.col("id").alias("u"), F.col("sketch").alias("a")), "u")
+        .join(sketch.select(F.col("id").alias("v"), F.col("sketch").alias("b")), "v")
+        .where(alike("a", "b"))
+        .select("u", "v"),
+        "pairs",
+    )
     named = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
     # equal ids have one set here: the representative's row of the class
     sets = stage_table(
-        docs.join(named, "id", "left_semi").dropDuplicates(["id"]).select("id", F.pandas_udf(full_set, "binary")("text").alias("items")),
+        # the names grow with the corpus, so they are not broadcast at any size
+        docs.join(named.hint("merge"), "id", "left_semi").dropDuplicates(["id"]).select("id", F.pandas_udf(full_set, "binary")("text").alias("items")),
         "sets",
     )
     first = pairs.join(sets.select(F.col("id").alias("u"), F.col("items").alias("a")), "u")
@@ -178,8 +213,8 @@ def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Components (node, component) of the classes (id, n, sig); `docs` is (id, text)."""
-    banded = classes.select("id", "n", F.explode(_band_keys(F.col("sig"))).alias("key"))
+    """Components (node, component) of the classes (id, n, sig, sketch); `docs` is (id, text)."""
+    banded = classes.select("id", "n", F.explode(_band_keys(F.col("sig"), F.col("n"))).alias("key"))
     sizes = stage_table(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     shared = stage_table(banded.join(sizes, "key"), "shared")
     weights = shared.groupBy("id").agg(F.sum("size").alias("weight"))
@@ -209,7 +244,7 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             F.greatest(F.col("id"), -F.col("pivot.minus_id")).alias("u"),
             F.least(F.col("id"), -F.col("pivot.minus_id")).alias("v"),
         ).distinct()
-        found = _verified(pairs, docs)
+        found = _verified(pairs, docs, classes)
         links = found if links is None else links.unionByName(found)
         comps = stage_table(components(links), "components")
         last = pivots
@@ -222,7 +257,7 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         b = rest.select("key", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"))
         pairs = a.join(b, "key").where(F.expr("u > v AND cu <> cv") & _sizes_allow("nu", "nv"))
         pairs = pairs.select("u", "v").distinct()
-        comps = stage_table(components(links.unionByName(_verified(pairs, docs))), "components")
+        comps = stage_table(components(links.unionByName(_verified(pairs, docs, classes))), "components")
     return comps
 
 
@@ -238,22 +273,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = stage_table(
-        rows.withColumn("s", F.pandas_udf(sign, SIGNED)("text")).select("id", "s.n_shingles", "s.print", "s.sig"), "signed"
+        rows.withColumn("s", F.pandas_udf(sign, SIGNED)("text")).select("id", "s.*"), "signed"
     )
     classes = stage_table(
         signed.where("print IS NOT NULL AND id IS NOT NULL")
         .groupBy("print")
-        .agg(F.min("id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")),
+        .agg(F.min("id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")),
         "classes",
     )
-    comps = near_duplicate_links(classes.select(F.col("class_id").alias("id"), "n", "sig"), rows)
+    comps = near_duplicate_links(classes.select(F.col("class_id").alias("id"), "n", "sig", "sketch"), rows)
     final = stage_table(
         classes.select("print", "class_id")
         .join(comps, F.col("class_id") == F.col("node"), "left")
         .select("print", F.coalesce("component", "class_id").alias("component")),
         "class-components",
     )
-    joined = signed.drop("sig").join(final, "print", "left")
+    joined = signed.drop("sig", "sketch").join(final, "print", "left")
     component = F.coalesce("component", "id")
     return joined.select(
         F.col("id").alias("doc_id"),
