@@ -6,8 +6,9 @@ Two kinds of rules:
   when the URL's path starts with the rule's path. The longest fitting rule
   wins (length of ``host + path``, ties to the smaller text).
 * `PatternRule(pattern, verdict)` is a regular expression over the whole
-  URL with the literal tokens that every match contains. It decides only
-  where no site rule fits; the first listed rule wins.
+  URL with the literal tokens that every match contains as whole URL tokens
+  (a rule whose matches differ in that is split into several rules). It
+  decides only where no site rule fits; the first listed rule wins.
 
 Every rule becomes one row of an index: the literal token to look it up by,
 and the regular expression to confirm it. The token is the one of the rule
@@ -79,7 +80,10 @@ class PatternRule:
 #: Default patterns of the method, for URLs that no site rule fits: each
 #: names a host label, so its literals are whole tokens of the URL.
 DEFAULT_PATTERNS = [
-    PatternRule(r"(?i)^[^/]*://([^/?#]*\.)?(ads?|adserver|banner)[-.]track(er|ing)?\.", "block", ("track",)),
+    *[
+        PatternRule(rf"(?i)^[^/]*://([^/?#]*\.)?(ads?|adserver|banner)[-.]{track}\.", "block", (track,))
+        for track in ("track", "tracker", "tracking")
+    ],
     PatternRule(r"(?i)^[^/]*://([^/?#]*\.)?free-(bets|casino|poker)\.", "block", ("free",)),
     PatternRule(r"(?i)^[^/]*://([^/?#]*\.)?(online-)?casino\.", "block", ("casino",)),
     PatternRule(r"(?i)^[^/]*://([^/?#]*[.-])?porn[.-]", "block", ("porn",)),

@@ -42,6 +42,18 @@ def test_url_filter_against_brute_force(spark):
     assert got == sorted([(i, *_judge(u)) for i, u in rows], key=str)
 
 
+def test_url_filter_fetches_every_form_of_the_tracker_hosts(spark):
+    hosts = [f"{a}{d}{t}" for a in ("ad", "ads", "adserver", "banner") for d in "-." for t in ("track", "tracker", "tracking")]
+    urls = [f"https://{h}.example.com/x" for h in hosts] + [f"HTTP://M.{h.upper()}.EXAMPLE.ORG" for h in hosts]
+    near = ["https://ads-tracked.example.com/x", "https://bads-tracker.example.com/", "https://a.com/ads-tracker.x"]
+    rows = list(enumerate(urls + near))
+    df = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = sorted(map(tuple, url_filter.filter_urls(df, "page_id", "url", SITE_RULES).collect()))
+    want = sorted((i, *_judge(u)) for i, u in rows)
+    assert got == want
+    assert [w[4] for w in want] == ["block"] * len(urls) + ["allow"] * len(near)
+
+
 def test_url_filter_longest_rule_and_order_of_patterns(spark):
     df = spark.createDataFrame([(1, "http://a.b.c/x/y")], "page_id bigint, url string")
     rules = [url_filter.SiteRule("c", "/x/", "block"), url_filter.SiteRule("a.b.c", "/", "allow")]
