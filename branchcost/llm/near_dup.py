@@ -7,12 +7,14 @@
    j-th. Steps that cannot lower any register are not taken, so large sets
    stop after one or two steps. The elements of a whole batch of texts walk
    together in numpy.
-3. Banding: 24 bands of 7 registers. Sets at the threshold of 0.85 share a
-   band with probability 1 - 1e-4, of 0.9 with 1 - 2e-7; those of 0.4, say
-   short texts around one common passage, with 0.04. Buckets are
+3. Banding (`scheme`): at a threshold of 0.85, 24 bands of 7 registers, at
+   0.80, 31 of 6. Sets at the threshold share a band with probability
+   1 - 1e-4; those of 0.4, say short texts around one common passage, with
+   0.04 and 0.12. Buckets are
    split into overlapping size windows, as sizes that differ by more than the
    threshold allows rule a link out (that is exact), and pairs whose registers
-   agree in less than 0.71 (a chance of 2e-7 at the threshold) are dropped.
+   agree in five standard deviations less than the threshold (0.71 and 0.65, a
+   chance of under 3e-7) are dropped.
 4. In every bucket the member that shares most buckets with others (the
    centre of its neighbourhood) is the pivot, and every other member is
    verified against it on the full sets. Buckets whose members are not yet
@@ -27,7 +29,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -42,9 +45,8 @@ from branchcost.llm.components import components
 WORDS = 5
 PERCENT = 85
 REGISTERS = 168
-BANDS = 24
-#: Five standard deviations below the threshold of 0.85 with 168 registers.
-ALIKE = 0.71
+MAX_REGISTERS = 192
+MISS = 1e-4  # probability that a pair at the threshold shares no band
 ROUNDS = 2
 CHUNK = 1 << 16  # elements that walk together
 
@@ -52,6 +54,35 @@ _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _U = np.uint64
 
 
+@dataclass(frozen=True)
+class Scheme:
+    """What follows from a threshold: `percent` of the union of two sets is shared."""
+
+    percent: int
+    width: int  # registers of a band
+    bands: int
+    alike: float  # least share of equal registers
+
+    @property
+    def registers(self) -> int:
+        return self.width * self.bands
+
+
+def scheme(percent: int) -> Scheme:
+    """The widest bands that miss a pair at the threshold in `MISS` and fit `MAX_REGISTERS`."""
+    s = percent / 100
+    if not 0.5 <= s < 1:
+        raise ValueError(f"threshold of {percent} percent; 50 to 99 are possible")
+    fitting = [
+        (width, bands)
+        for width in range(1, MAX_REGISTERS + 1)
+        if width * (bands := math.ceil(math.log(MISS) / math.log1p(-(s**width)))) <= MAX_REGISTERS
+    ]
+    width, bands = max(fitting)
+    alike = s - 5 * math.sqrt(s * (1 - s) / (width * bands))
+    return Scheme(percent, width, bands, math.floor(100 * alike) / 100)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -109,19 +140,22 @@ SIGNED = T.StructType(
 )
 
 
-def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
-        out = []
-        for lo in range(0, len(texts), 256):
-            sets = [shingle_set(t) for t in texts.iloc[lo : lo + 256]]
-            sig = (_mix(super_minhash(sets).view(np.uint64)) >> _U(32)).astype(np.uint32)
-            out += [
-                (len(s), xxhash.xxh3_128_digest(s.tobytes()), sig[i].tobytes(), sig[i].astype(np.uint8).tobytes())
-                if len(s)
-                else (0, None, None, None)
-                for i, s in enumerate(sets)
-            ]
-        yield pd.DataFrame(out, columns=SIGNED.names)
+def signer(registers: int) -> Callable:
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            out = []
+            for lo in range(0, len(texts), 256):
+                sets = [shingle_set(t) for t in texts.iloc[lo : lo + 256]]
+                sig = (_mix(super_minhash(sets, registers).view(np.uint64)) >> _U(32)).astype(np.uint32)
+                out += [
+                    (len(s), xxhash.xxh3_128_digest(s.tobytes()), sig[i].tobytes(), sig[i].astype(np.uint8).tobytes())
+                    if len(s)
+                    else (0, None, None, None)
+                    for i, s in enumerate(sets)
+                ]
+            yield pd.DataFrame(out, columns=SIGNED.names)
+
+    return sign
 
 
 def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -129,45 +163,51 @@ def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([shingle_set(t).tobytes() for t in texts], dtype=object)
 
 
-def is_link(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in batches:
-        out = []
-        for a, b in zip(left, right):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            out.append(100 * shared >= PERCENT * (len(both) - shared))
-        yield pd.Series(out, dtype=bool)
+def linker(percent: int) -> Callable:
+    def is_link(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            out = []
+            for a, b in zip(left, right):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                both = np.concatenate([x, y])
+                both.sort(kind="stable")
+                shared = int((both[1:] == both[:-1]).sum())
+                out.append(100 * shared >= percent * (len(both) - shared))
+            yield pd.Series(out, dtype=bool)
+
+    return is_link
+
 
+def comparer(registers: int, alike: float) -> Callable:
+    def looks_alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        """Whether the share of equal registers is not far below the threshold."""
+        for left, right in batches:
+            a = np.frombuffer(b"".join(left), np.uint8).reshape(-1, registers)
+            b = np.frombuffer(b"".join(right), np.uint8).reshape(-1, registers)
+            yield pd.Series((a == b).sum(1) >= alike * registers, dtype=bool)
 
-def looks_alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Whether the share of equal registers is not far below the threshold."""
-    for left, right in batches:
-        a = np.frombuffer(b"".join(left), np.uint8).reshape(-1, REGISTERS)
-        b = np.frombuffer(b"".join(right), np.uint8).reshape(-1, REGISTERS)
-        yield pd.Series((a == b).sum(1) >= ALIKE * REGISTERS, dtype=bool)
+    return looks_alike
 
 
-def _band_keys(sig: Column, n: Column) -> Column:
+def _band_keys(sig: Column, n: Column, plan: Scheme) -> Column:
     """Bucket keys: band and size window.
 
     Size windows span two factors of the threshold and overlap by one, so
     two sets whose sizes the threshold allows share a window in full.
     """
-    width = 4 * REGISTERS // BANDS
-    scale = F.log(n.cast("double")) / F.lit(math.log(100 / PERCENT) * 1.000001)
+    width = 4 * plan.width
+    scale = F.log(n.cast("double")) / F.lit(math.log(100 / plan.percent) * 1.000001)
     windows = [F.floor(scale / 2), F.floor((scale + 1) / 2)]
-    bands = [F.substring(sig, b * width + 1, width) for b in range(BANDS)]
+    bands = [F.substring(sig, b * width + 1, width) for b in range(plan.bands)]
     return F.array(*[F.xxhash64(F.lit(2 * b + w), x, size) for b, x in enumerate(bands) for w, size in enumerate(windows)])
 
 
-def _sizes_allow(a: str, b: str) -> Column:
+def _sizes_allow(a: str, b: str, plan: Scheme) -> Column:
     """False when two sets differ in size too much for the threshold."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+    return 100 * F.least(a, b) >= plan.percent * F.greatest(a, b)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, plan: Scheme) -> DataFrame:
     """Links (u, v) among candidate pairs (u, v) of representatives; `docs` is (id, text).
 
     Pairs whose registers differ too much are dropped first.
@@ -177,7 +217,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     the adaptive skew join splits.
     """
     sketch = classes.select("id", "sketch")
-    alike = F.pandas_udf(looks_alike, "boolean")
+    alike = F.pandas_udf(comparer(plan.registers, plan.alike), "boolean")
     pairs = stage_table(
         pairs.join(sketch.select(F.col("id").alias("u"), F.col("sketch").alias("a")), "u")
         .join(sketch.select(F.col("id").alias("v"), F.col("sketch").alias("b")), "v")
@@ -194,7 +234,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     )
     first = pairs.join(sets.select(F.col("id").alias("u"), F.col("items").alias("a")), "u")
     second = first.join(sets.select(F.col("id").alias("v"), F.col("items").alias("b")), "v")
-    links = stage_table(second.where(F.pandas_udf(is_link, "boolean")("a", "b")).select("u", "v"), "verified")
+    links = stage_table(second.where(F.pandas_udf(linker(plan.percent), "boolean")("a", "b")).select("u", "v"), "verified")
     release(pairs, sets)
     return links
 
@@ -212,9 +252,9 @@ def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
     return labelled.join(several, "key")
 
 
-def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def near_duplicate_links(classes: DataFrame, docs: DataFrame, plan: Scheme) -> DataFrame:
     """Components (node, component) of the classes (id, n, sig, sketch); `docs` is (id, text)."""
-    banded = classes.select("id", "n", F.explode(_band_keys(F.col("sig"), F.col("n"))).alias("key"))
+    banded = classes.select("id", "n", F.explode(_band_keys(F.col("sig"), F.col("n"), plan)).alias("key"))
     sizes = stage_table(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     shared = stage_table(banded.join(sizes, "key"), "shared")
     weights = shared.groupBy("id").agg(F.sum("size").alias("weight"))
@@ -234,7 +274,7 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             ranked = now.join(last, "key").where(rank < F.col("pivot"))
         pivots = stage_table(ranked.groupBy("key").agg(F.max(rank).alias("pivot")), "pivots")
         star = now.join(pivots, "key").where(F.col("id") != -F.col("pivot.minus_id"))
-        star = star.where(_sizes_allow("n", "pivot.n"))
+        star = star.where(_sizes_allow("n", "pivot.n", plan))
         if comps is not None:  # members in the pivot's component need no check
             of_pivot = comps.select(F.col("node").alias("p"), F.col("component").alias("pivot_component"))
             star = star.withColumn("p", -F.col("pivot.minus_id")).join(of_pivot, "p", "left").where(
@@ -244,7 +284,7 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             F.greatest(F.col("id"), -F.col("pivot.minus_id")).alias("u"),
             F.least(F.col("id"), -F.col("pivot.minus_id")).alias("v"),
         ).distinct()
-        found = _verified(pairs, docs, classes)
+        found = _verified(pairs, docs, classes, plan)
         links = found if links is None else links.unionByName(found)
         comps = stage_table(components(links), "components")
         last = pivots
@@ -255,15 +295,19 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     if rest.take(1):
         a = rest.select("key", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"))
         b = rest.select("key", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"))
-        pairs = a.join(b, "key").where(F.expr("u > v AND cu <> cv") & _sizes_allow("nu", "nv"))
+        pairs = a.join(b, "key").where(F.expr("u > v AND cu <> cv") & _sizes_allow("nu", "nv", plan))
         pairs = pairs.select("u", "v").distinct()
-        comps = stage_table(components(links.unionByName(_verified(pairs, docs, classes))), "components")
+        comps = stage_table(components(links.unionByName(_verified(pairs, docs, classes, plan))), "components")
     return comps
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row.
 
+    Two documents are linked when they share `percent` of the shingles that
+    either has.
     `component_id` is the smallest id reachable over links (itself
     included), `kept` marks the document that has it. A document without
     words is linked with nothing. Repeated rows are copies: all rows with
@@ -271,9 +315,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component is that of its copies or links, or null (then it is kept).
     Ids are integers.
     """
+    plan = scheme(percent)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = stage_table(
-        rows.withColumn("s", F.pandas_udf(sign, SIGNED)("text")).select("id", "s.*"), "signed"
+        rows.withColumn("s", F.pandas_udf(signer(plan.registers), SIGNED)("text")).select("id", "s.*"), "signed"
     )
     classes = stage_table(
         signed.where("print IS NOT NULL AND id IS NOT NULL")
@@ -281,7 +326,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")),
         "classes",
     )
-    comps = near_duplicate_links(classes.select(F.col("class_id").alias("id"), "n", "sig", "sketch"), rows)
+    comps = near_duplicate_links(classes.select(F.col("class_id").alias("id"), "n", "sig", "sketch"), rows, plan)
     final = stage_table(
         classes.select("print", "class_id")
         .join(comps, F.col("class_id") == F.col("node"), "left")
@@ -298,9 +343,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """One document of each group, with the columns of `docs`; of repeated rows of an id one stays."""
-    found = near_duplicates(docs, id_col, text_col)
+    found = near_duplicates(docs, id_col, text_col, percent)
     gone = stage_table(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
     left = docs.join(gone, F.col(id_col).cast("long") == F.col("gone_id"), "left_anti")
     known = left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])

@@ -75,7 +75,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document."""
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,10 @@ from branchcost.llm.labelled import hash_remainder
 from branchcost.session import ensure_checkpoint_dir, ship_package
 
 
+#: Threshold of the near-duplicate stage; that of op7 (85) is the query's own.
+NEAR_PERCENT = 80
+
+
 def _ready(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
@@ -32,9 +36,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
+    """One document of each near-duplicate group (0.8 or more) stays, the one with the smallest id."""
     _ready(spark)
-    return near_dup.drop_near_duplicates(docs)
+    return near_dup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

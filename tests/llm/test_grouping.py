@@ -136,6 +136,32 @@ def test_registers_do_not_depend_on_the_batch_and_estimate_similarity(monkeypatc
     assert abs(share - 700 / 900) < 0.03
 
 
+def test_schemes_of_thresholds():
+    assert near_dup.scheme(85) == near_dup.Scheme(85, 7, 24, 0.71)
+    assert near_dup.scheme(80) == near_dup.Scheme(80, 6, 31, 0.65)
+    for percent in range(50, 100):
+        plan = near_dup.scheme(percent)
+        s = percent / 100
+        assert plan.registers <= near_dup.MAX_REGISTERS and (1 - s**plan.width) ** plan.bands <= near_dup.MISS
+    with pytest.raises(ValueError):
+        near_dup.scheme(100)
+
+
+def test_pipeline_drops_near_duplicates_from_eighty_percent(spark, make_docs, tmp_path):
+    base = words(310, 104, 3000).split()  # 100 shingles
+    rows = [(1, " ".join(base), "a")]
+    rows += [(2, " ".join(base[:86]), "a"), (3, " ".join(base[:84]), "b"), (4, " ".join(base[:83]), "a")]  # 82, 80, 79 shared
+    chain = words(311, 104, 3000).split()
+    rows += [(10, " ".join(chain[:86]), "a"), (11, " ".join(chain), "a"), (12, " ".join(chain[18:]), "a")]  # joined by 0.82 links only
+    docs = make_docs(rows)
+    found = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs.where("doc_id <> 2 AND doc_id <> 3"), percent=80).collect()}
+    assert found == {1: 1, 4: 4, 10: 10, 11: 10, 12: 10}
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.where("doc_id <> 4"), str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 10]
+    op7 = near_dup.near_duplicates(docs, percent=85).collect()
+    assert {r["component_id"] for r in op7 if r["doc_id"] >= 10} == {10, 11, 12}
+
+
 # ---- repeated strings
 
 
