@@ -1,7 +1,9 @@
 """Near-duplicate groups with SuperMinHash, banding, verification and union-find.
 
 1. A text becomes the set of its distinct shingles of five words. Equal
-   sets (copies) are one class, represented by its smallest id.
+   sets (copies) are one class, represented by the text of its smallest id.
+   Classes have numbers of their own: an id may carry several texts, and a
+   text no id.
 2. SuperMinHash: each element walks its own random permutation of the
    registers; at step j it offers the value j + r to the register that comes
    j-th. Steps that cannot lower any register are not taken, so large sets
@@ -35,11 +37,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchcost.llm.common import release, stage_table
+from branchcost.llm.common import SPACE_FREE, free_name, release, stage_table
 from branchcost.llm.components import components
 
 WORDS = 5
@@ -207,8 +209,13 @@ def _sizes_allow(a: str, b: str, plan: Scheme) -> Column:
     return 100 * F.least(a, b) >= plan.percent * F.greatest(a, b)
 
 
+def _row_key(id_: Column) -> list[Column]:
+    """An id as two columns without nulls, so that one shuffle serves the join and what follows."""
+    return [id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0).cast("long")).alias("key_id")]
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, plan: Scheme) -> DataFrame:
-    """Links (u, v) among candidate pairs (u, v) of representatives; `docs` is (id, text).
+    """Links (u, v) among candidate pairs (u, v) of classes; `docs` is (id, text, body).
 
     Pairs whose registers differ too much are dropped first.
 
@@ -226,10 +233,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, plan: Schem
         "pairs",
     )
     named = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    # equal ids have one set here: the representative's row of the class
+    texts = named.join(classes.select("id", "rep"), "id").select("id", *_row_key(F.col("rep.id")), F.col("rep.body").alias("body"))
+    # rows equal in id and text have one set here
     sets = stage_table(
         # the names grow with the corpus, so they are not broadcast at any size
-        docs.join(named.hint("merge"), "id", "left_semi").dropDuplicates(["id"]).select("id", F.pandas_udf(full_set, "binary")("text").alias("items")),
+        docs.select(*_row_key(F.col("id")), "body", "text")
+        .join(texts.hint("merge"), ["no_id", "key_id", "body"])
+        .dropDuplicates(["no_id", "key_id", "body"])
+        .select("id", F.pandas_udf(full_set, "binary")("text").alias("items")),
         "sets",
     )
     first = pairs.join(sets.select(F.col("id").alias("u"), F.col("items").alias("a")), "u")
@@ -253,7 +264,7 @@ def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def near_duplicate_links(classes: DataFrame, docs: DataFrame, plan: Scheme) -> DataFrame:
-    """Components (node, component) of the classes (id, n, sig, sketch); `docs` is (id, text)."""
+    """Components (node, component) of the classes (id, rep, n, sig, sketch); `docs` is (id, text, body)."""
     banded = classes.select("id", "n", F.explode(_band_keys(F.col("sig"), F.col("n"), plan)).alias("key"))
     sizes = stage_table(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     shared = stage_table(banded.join(sizes, "key"), "shared")
@@ -307,48 +318,96 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept), one row per input row.
 
     Two documents are linked when they share `percent` of the shingles that
-    either has.
+    either has. An id may carry several texts: each is linked by itself.
     `component_id` is the smallest id reachable over links (itself
     included), `kept` marks the document that has it. A document without
     words is linked with nothing. Repeated rows are copies: all rows with
-    the component's id are kept. A null id never represents a group: its
-    component is that of its copies or links, or null (then it is kept).
+    the component's id are kept. A null id comes after all others: the
+    component of a group without any id is null, and one text of it is kept.
     Ids are integers.
     """
+    found = _grouped(docs, id_col, text_col, percent)
+    component = F.when(F.col("print").isNull(), F.col("id")).otherwise(F.col("rep.id"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("id") == component, F.col("print").isNull() | (F.col("id").isNull() & _is_kept())).alias("kept"),
+    )
+
+
+def text_key(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(text)
+
+
+def _is_kept() -> Column:
+    """Whether a row of `_grouped` has the id and the text that stand for its group."""
+    return F.col("print").isNull() | (F.col("id").eqNullSafe(F.col("rep.id")) & (F.col("body") == F.col("rep.body")))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(id, body, n_shingles, print, rep), one row per input row.
+
+    `body` is the text's key; `rep` (no_id, id, body) is the smallest of the
+    group's, null for a document without words.
+    """
     plan = scheme(percent)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("body")
+    )
     signed = stage_table(
-        rows.withColumn("s", F.pandas_udf(signer(plan.registers), SIGNED)("text")).select("id", "s.*"), "signed"
+        rows.withColumn("s", F.pandas_udf(signer(plan.registers), SIGNED)("text")).select("id", "body", "s.*"), "signed"
     )
+    rep = F.struct(F.col("id").isNull().alias("no_id"), "id", "body")
     classes = stage_table(
-        signed.where("print IS NOT NULL AND id IS NOT NULL")
+        signed.where("print IS NOT NULL")
         .groupBy("print")
-        .agg(F.min("id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")),
+        .agg(F.min(rep).alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
+        # numbers are read back from the written table, so they stay as they are
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    comps = near_duplicate_links(classes.select(F.col("class_id").alias("id"), "n", "sig", "sketch"), rows, plan)
+    comps = near_duplicate_links(classes.select("id", "rep", "n", "sig", "sketch"), rows, plan)
+    # classes linked with another: the smallest (id, text) of each component
+    linked = comps.join(classes.select("id", "rep"), F.col("node") == F.col("id")).drop("id")
+    least = stage_table(linked.groupBy("component").agg(F.min("rep").alias("least")), "least")
     final = stage_table(
-        classes.select("print", "class_id")
-        .join(comps, F.col("class_id") == F.col("node"), "left")
-        .select("print", F.coalesce("component", "class_id").alias("component")),
+        classes.select("print", "rep", "id")
+        .join(comps.join(least, "component").select("node", "least"), F.col("id") == F.col("node"), "left")
+        .select("print", F.coalesce("least", "rep").alias("rep")),
         "class-components",
     )
-    joined = signed.drop("sig", "sketch").join(final, "print", "left")
-    component = F.coalesce("component", "id")
-    return joined.select(
-        F.col("id").alias("doc_id"),
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, component.isNull()).alias("kept"),
-    )
+    return signed.drop("sig", "sketch").join(final, "print", "left")
 
 
 def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    one_per_id: bool = True,
 ) -> DataFrame:
-    """One document of each group, with the columns of `docs`; of repeated rows of an id one stays."""
-    found = near_duplicates(docs, id_col, text_col, percent)
-    gone = stage_table(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    left = docs.join(gone, F.col(id_col).cast("long") == F.col("gone_id"), "left_anti")
-    known = left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return known.unionByName(left.where(F.col(id_col).isNull()))
+    """One document of each group, with the columns of `docs`.
+
+    Rows are dropped by the verdict on their own id and text. Of rows that
+    repeat an id and a text one stays; null ids without words all stay. With
+    `one_per_id`, of the texts that are left of an id only that of the
+    smallest key stays, else all do.
+    """
+    body, place = free_name(docs, "near_body"), free_name(docs, "near_place")
+    found = _grouped(docs, id_col, text_col, percent)
+    gone = stage_table(
+        found.where(~_is_kept()).select(F.col("id").alias("gone_id"), F.col("body").alias("gone_body")).distinct(), "gone"
+    )
+    keyed = docs.withColumn(body, text_key(F.col(text_col)))
+    id_ = F.col(id_col).cast("long")
+    left = keyed.join(gone, id_.eqNullSafe(F.col("gone_id")) & (F.col(body) == F.col("gone_body")), "left_anti")
+    # these are linked with nothing and have nothing to tell them apart
+    loose = F.col(id_col).isNull() & ~F.coalesce(F.col(text_col).rlike(SPACE_FREE), F.lit(False))
+    by = [F.col(id_col)] if one_per_id else [F.col(id_col), F.col(body)]
+    if one_per_id:  # null ids are no ids: their texts stay apart
+        by.append(F.when(F.col(id_col).isNull(), F.col(body)))
+    order = Window.partitionBy(*by).orderBy(body, F.xxhash64(*docs.columns))
+    first = left.where(~loose).withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return first.drop(body, place).unionByName(left.where(loose).drop(body))

@@ -36,9 +36,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (0.8 or more) stays, the one with the smallest id."""
+    """One document of each near-duplicate group (0.8 or more) stays, the one with the smallest id; every text of an id counts."""
     _ready(spark)
-    return near_dup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
+    return near_dup.drop_near_duplicates(docs, percent=NEAR_PERCENT, one_per_id=False)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

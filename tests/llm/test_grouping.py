@@ -162,6 +162,34 @@ def test_pipeline_drops_near_duplicates_from_eighty_percent(spark, make_docs, tm
     assert {r["component_id"] for r in op7 if r["doc_id"] >= 10} == {10, 11, 12}
 
 
+def test_texts_of_one_id_and_null_ids_are_judged_by_themselves(spark, make_docs, tmp_path):
+    a, b, c, d, e = (words(320 + k, 200, 3000) for k in range(5))
+    rows = [(7, a, "a"), (7, b, "a"), (20, _edit(a, 1, 1), "a"), (5, _edit(b, 2, 1), "a")]
+    rows += [(30, c, "a"), (None, c, "a"), (None, c.upper(), "b"), (None, _edit(c, 3, 1), "a")]
+    rows += [(None, d, "a"), (None, d, "b"), (None, _edit(d, 4, 1), "a"), (None, " ", "a"), (None, " ", "a")]
+    rows += [(40, e, "a"), (40, e, "a"), (40, words(330, 60), "a"), (40, "", "a")]
+    docs = make_docs(rows, clash=True)
+    found = near_dup.near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r["doc_id"], []).append((r["component_id"], r["kept"]))
+    assert sorted(by_id[7]) == [(5, False), (7, True)] and by_id[20] == [(7, False)] and by_id[5] == [(5, True)]
+    assert by_id[30] == [(30, True)] and set(by_id[40]) == {(40, True)}
+    loose = [k for c_, k in by_id[None] if c_ is None]
+    assert sorted(c_ for c_, _ in by_id[None] if c_ is not None) == [30] * 3 and not any(k for c_, k in by_id[None] if c_)
+    assert len(loose) == 5 and 3 <= sum(loose) <= 4  # d once or twice, or its edit, and both blanks
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"] or -1, r["text"]) for r in kept.collect()))
+    d_kept = [t for i, t in got if i == -1 and t != " "]
+    assert len(d_kept) == 1 and d_kept[0] in (d, rows[10][1])
+    rest = [x for x in got if x[1] not in d_kept]
+    assert rest == sorted([(7, a), (5, rows[3][1]), (30, c), (40, e), (40, rows[15][1]), (40, ""), (-1, " "), (-1, " ")])
+    single = near_dup.drop_near_duplicates(docs).collect()
+    assert sorted(r["doc_id"] for r in single if r["doc_id"] is not None) == [5, 7, 30, 40]
+
+
 # ---- repeated strings
 
 
