@@ -6,15 +6,16 @@ Base kinds (patterns, leftmost and non-overlapping within a kind):
 or more lower-case hexadecimal digits).
 
 The battery adds the kind `random`: other runs of 20 or more encoding
-characters with both letters and digits. For each the encoding is inferred
+characters. For each the encoding is inferred
 (digits, hexadecimal, base 32, letters of one case with digits, base 64),
 and three tests compare it with a uniformly random string over that
 alphabet: chi-squared over the symbols, the runs of upper and lower half
 symbols, and the serial correlation of neighbours. Their smallest p-value,
-times three, is the run's p-value. Within a length class (powers of two),
-Benjamini and Hochberg's procedure over all runs of the corpus decides which
-are not random; the rest are reported. Short runs have little power, so they
-are judged among runs of their own length only. The p-values enter the
+times three, is the run's p-value. Within a class, Benjamini and Hochberg's
+procedure over all runs of the corpus decides which are not random; the rest
+are reported. A class is a length (powers of two), as short runs have little
+power, and a make-up: letters and digits, letters only (words and compounds,
+mostly), digits only, neither. So words do not move the thresholds of keys. The p-values enter the
 procedure rounded up to a grid of 1/100 powers of ten, so the corpus is
 represented by a histogram of bounded size (`GRID` values per class), and
 thresholds (one per class) are all that comes to the driver.
@@ -163,21 +164,23 @@ def _combined(v: Column) -> Column:
     return F.least(F.lit(1.0), 3 * F.least(*tails))
 
 
-def _length_class(token: Column) -> Column:
-    return F.floor(F.log2(F.length(token).cast("double"))).cast("int")
+def _run_class(token: Column) -> Column:
+    """The power of two of the length, and from 64 on, 128 and 192 the runs that lack digits, letters or both."""
+    length = F.floor(F.log2(F.length(token).cast("double"))).cast("int")
+    lacks = F.when(token.rlike("[0-9]"), 0).otherwise(64) + F.when(token.rlike("[A-Za-z]"), 0).otherwise(128)
+    return length + lacks
 
 
 def _candidates(text: str) -> Column:
     """Spans of the runs that may be random."""
-    mixed = "x.m RLIKE '[0-9]' AND x.m RLIKE '[A-Za-z]'"
-    return F.expr(_positions(text, CANDIDATE, mixed, "random", 3))
+    return F.expr(_positions(text, CANDIDATE, "true", "random", 3))
 
 
 def thresholds(tokens: DataFrame, level: float = LEVEL) -> dict[int, float]:
-    """{length class: largest p-value that is rejected} of a column `token` of runs."""
+    """{class: largest p-value that is rejected} of a column `token` of runs."""
     cell = F.least(F.floor(-F.log10(F.col("p")) * 100), F.lit(GRID))
     cells = (
-        tokens.select(_length_class(F.col("token")).alias("cls"), p_value(F.col("token")).alias("p"))
+        tokens.select(_run_class(F.col("token")).alias("cls"), p_value(F.col("token")).alias("p"))
         .groupBy("cls", cell.alias("cell"))
         .agg(F.count("*").alias("n"))
     )
@@ -207,7 +210,6 @@ def scan_secrets(docs: DataFrame, out: str, text_col: str = "text", level: float
     tokens = plain.where(F.col("body").rlike(CANDIDATE)).select(
         F.explode(F.regexp_extract_all("body", F.lit(CANDIDATE), F.lit(0))).alias("token")
     )
-    tokens = tokens.where(F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]"))
     limits = thresholds(tokens, level)
     found = (
         docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
@@ -215,13 +217,19 @@ def scan_secrets(docs: DataFrame, out: str, text_col: str = "text", level: float
         .withColumn(cand, _candidates(f"`{text}`"))
     )
 
-    def is_random(span: Column) -> Column:
-        token = F.substring(F.col(text), span["start"] + 1, span["stop"] - span["start"])
-        cls = F.floor(F.log2((span["stop"] - span["start"]).cast("double")))
+    def limit_of(cls: Column) -> Column:
         limit = F.lit(0.0)
         for k, p in limits.items():
             limit = F.when(cls == k, F.lit(p)).otherwise(limit)
-        return p_value(token) > limit
+        return limit
+
+    def is_random(span: Column) -> Column:
+        token = F.substring(F.col(text), span["start"] + 1, span["stop"] - span["start"])
+
+        def above(t: Column) -> Column:
+            return _let(_run_class(t), lambda cls: p_value(t) > limit_of(cls))
+
+        return _let(token, above)
 
     def alone(span: Column) -> Column:
         return ~F.exists(F.col(base), lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
