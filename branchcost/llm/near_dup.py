@@ -21,11 +21,19 @@
    centre of its neighbourhood) is the pivot, and every other member is
    verified against it on the full sets. Buckets whose members are not yet
    in one component get their next pivot, `ROUNDS` times; members already
-   in the pivot's component need no check. What is still open then (buckets
-   of several groups, small in practice) is verified pair by pair across
-   components. So no link between candidates is lost, and a bucket with one
-   group of a million copies costs a million checks, not all pairs.
-5. Components of the verified links give the groups.
+   in the pivot's component need no check. So a bucket with one group of a
+   million copies costs a million checks, not all pairs.
+5. What is still open then (members of buckets with several components) is
+   searched with two exact tests instead of pair by pair. In one order of
+   all shingles, rare ones first, two sets of the threshold share a shingle
+   within the first `n - ceil(t n) + 1` of each, and the shingles that
+   follow their first shared one must suffice for the overlap that the
+   threshold asks for. A passage common to many documents comes last in
+   that order, so it pairs nobody. A shingle that only one component has is
+   left out, and members of a shingle's largest component are not paired
+   with each other. The tests lose no link, and find those of any open
+   members, whether they share a bucket or not.
+6. Components of the verified links give the groups.
 """
 
 from __future__ import annotations
@@ -50,6 +58,7 @@ REGISTERS = 168
 MAX_REGISTERS = 192
 MISS = 1e-4  # probability that a pair at the threshold shares no band
 ROUNDS = 2
+SLOTS = 1 << 18  # counters of the shingle order
 CHUNK = 1 << 16  # elements that walk together
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -214,14 +223,30 @@ def _row_key(id_: Column) -> list[Column]:
     return [id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0).cast("long")).alias("key_id")]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, plan: Scheme) -> DataFrame:
+def _full_sets(named: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, items) of the classes in `named` (id), computed from the text that stands for the class."""
+    texts = named.join(classes.select("id", "rep"), "id").select("id", *_row_key(F.col("rep.id")), F.col("rep.body").alias("body"))
+    # rows equal in id and text have one set here
+    return stage_table(
+        # the names grow with the corpus, so they are not broadcast at any size
+        docs.select(*_row_key(F.col("id")), "body", "text")
+        .join(texts.hint("merge"), ["no_id", "key_id", "body"])
+        .dropDuplicates(["no_id", "key_id", "body"])
+        .select("id", F.pandas_udf(full_set, "binary")("text").alias("items")),
+        "sets",
+    )
+
+
+def _verified(
+    pairs: DataFrame, docs: DataFrame, classes: DataFrame, plan: Scheme, sets: DataFrame | None = None
+) -> DataFrame:
     """Links (u, v) among candidate pairs (u, v) of classes; `docs` is (id, text, body).
 
     Pairs whose registers differ too much are dropped first.
 
-    The sets of the documents named in the pairs are computed once. A pivot
-    named in many pairs is a skewed key of a join of plain tables, which
-    the adaptive skew join splits.
+    The sets of the documents named in the pairs are computed once, unless
+    given. A pivot named in many pairs is a skewed key of a join of plain
+    tables, which the adaptive skew join splits.
     """
     sketch = classes.select("id", "sketch")
     alike = F.pandas_udf(comparer(plan.registers, plan.alike), "boolean")
@@ -232,17 +257,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, plan: Schem
         .select("u", "v"),
         "pairs",
     )
-    named = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    texts = named.join(classes.select("id", "rep"), "id").select("id", *_row_key(F.col("rep.id")), F.col("rep.body").alias("body"))
-    # rows equal in id and text have one set here
-    sets = stage_table(
-        # the names grow with the corpus, so they are not broadcast at any size
-        docs.select(*_row_key(F.col("id")), "body", "text")
-        .join(texts.hint("merge"), ["no_id", "key_id", "body"])
-        .dropDuplicates(["no_id", "key_id", "body"])
-        .select("id", F.pandas_udf(full_set, "binary")("text").alias("items")),
-        "sets",
-    )
+    if sets is None:
+        named = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
+        sets = _full_sets(named, docs, classes)
     first = pairs.join(sets.select(F.col("id").alias("u"), F.col("items").alias("a")), "u")
     second = first.join(sets.select(F.col("id").alias("v"), F.col("items").alias("b")), "v")
     links = stage_table(second.where(F.pandas_udf(linker(plan.percent), "boolean")("a", "b")).select("u", "v"), "verified")
@@ -250,6 +267,72 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, plan: Schem
     return links
 
 
+def slot_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Occurrences by shingle slot of all sets of a task."""
+    counts = np.zeros(SLOTS, np.int64)
+    for b in batches:
+        for items in b["items"]:
+            counts += np.bincount(np.frombuffer(items, np.uint64) % _U(SLOTS), minlength=SLOTS)
+    at = np.flatnonzero(counts)
+    yield pd.DataFrame({"slot": at.astype(np.int64), "n": counts[at]})
+
+
+def prefixer(shared, percent: int) -> Callable:
+    """Rows of the first `n - ceil(t n) + 1` shingles of each set, rare slots first; `at` is the place in the order."""
+
+    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = shared.value
+        for b in batches:
+            for id_, component, items in zip(b["id"], b["component"], b["items"]):
+                x = np.frombuffer(items, np.uint64)
+                n = len(x)
+                keep = n + (-percent * n) // 100 + 1
+                first = x[np.lexsort((x, counts[x % _U(SLOTS)]))[:keep]]
+                yield pd.DataFrame(
+                    {"shingle": first.view(np.int64), "id": id_, "component": component, "n": n, "at": np.arange(keep)}
+                )
+
+    return prefixes
+
+
+def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of `members` (id, component) of different components that may reach the threshold.
+
+    Every pair that does reach it is among them (see the module's text). The
+    counters that order the shingles have a fixed number, so they are
+    brought to the driver and broadcast.
+    """
+    spark = sets.sparkSession
+    per_slot = sets.select("items").mapInPandas(slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = np.zeros(SLOTS, np.int64)
+    for r in per_slot.collect():
+        counts[r["slot"]] = r["n"]
+    schema = "shingle long, id long, component long, n long, at long"
+    rows = stage_table(
+        members.join(sets, "id")
+        .select("id", "component", "items")
+        .mapInPandas(prefixer(spark.sparkContext.broadcast(counts), percent), schema),
+        "prefixes",
+    )
+    per_component = rows.groupBy("shingle", "component").agg(F.count("*").alias("k"))
+    main = (
+        per_component.groupBy("shingle")
+        .agg(F.count("*").alias("components"), F.max(F.struct("k", "component"))["component"].alias("main"))
+        .where("components > 1")
+        .select("shingle", "main")
+    )
+    # both sides of the join are written tables, so that the skew join splits a common shingle
+    shared = stage_table(rows.join(main, "shingle"), "shared-prefixes")
+    a = shared.where("component <> main").select("shingle", *[F.col(c).alias(f"a_{c}") for c in ("id", "component", "n", "at")])
+    b = shared.select("shingle", "main", *[F.col(c).alias(f"b_{c}") for c in ("id", "component", "n", "at")])
+    reach = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))  # the shared one and those behind it
+    # a pair of which neither is in the main component meets twice
+    once = (F.col("b_component") == F.col("main")) | (F.col("a_id") < F.col("b_id"))
+    may = reach * (100 + percent) >= percent * (F.col("a_n") + F.col("b_n"))
+    pairs = a.join(b, "shingle").where((F.col("a_component") != F.col("b_component")) & once & may)
+    return pairs.select(F.greatest("a_id", "b_id").alias("u"), F.least("a_id", "b_id").alias("v")).distinct()
+
+
 def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
     """Members (key, id, ...) with their component, of the buckets that hold several components."""
     labelled = members.join(comps, F.col("id") == F.col("node"), "left").withColumn(
@@ -301,14 +384,14 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame, plan: Scheme) -> D
         last = pivots
     if comps is None:
         return classes.sparkSession.createDataFrame([], "node bigint, component bigint")
-    # what the pivots left open: pairs of different components in a bucket
-    rest = stage_table(_open_members(members, comps).where(F.col("size") > ROUNDS + 1), "rest")
+    # what the pivots left open
+    rest = stage_table(
+        _open_members(members, comps).where(F.col("size") > ROUNDS + 1).select("id", "component").distinct(), "rest"
+    )
     if rest.take(1):
-        a = rest.select("key", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"))
-        b = rest.select("key", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"))
-        pairs = a.join(b, "key").where(F.expr("u > v AND cu <> cv") & _sizes_allow("nu", "nv", plan))
-        pairs = pairs.select("u", "v").distinct()
-        comps = stage_table(components(links.unionByName(_verified(pairs, docs, classes, plan))), "components")
+        sets = _full_sets(rest.select("id"), docs, classes)
+        pairs = _prefix_pairs(rest, sets, plan.percent)
+        comps = stage_table(components(links.unionByName(_verified(pairs, docs, classes, plan, sets))), "components")
     return comps
 
 

@@ -56,7 +56,7 @@ def _shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
-def _groups(rows):
+def _groups(rows, percent=85):
     sets = [(i, _shingles(t)) for i, t, _ in rows if i is not None]
     parent = {i: i for i, _ in sets}
 
@@ -67,7 +67,7 @@ def _groups(rows):
 
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in parent}
@@ -112,6 +112,43 @@ def test_near_duplicates_against_brute_force(make_docs, near_rows, monkeypatch,
     assert sizes == sorted((i or -1, len(_shingles(t))) for i, t, _ in near_rows)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_a_common_passage_pairs_nobody_and_loses_no_link(spark, make_docs, monkeypatch, percent):
+    passage, rng = words(400, 60, 3000), random.Random(5)
+    rows = [(i, f"{words(5000 + i, rng.randint(4, 16), 3000)} {passage}", "a") for i in range(150)]
+    for g in range(8):
+        body = words(6000 + g, 70 + 10 * g, 3000)
+        rows += [(1000 + 20 * g + k, f"{passage if g % 2 else ''} {_edit(body, k, 1 + k % 5)}", "a") for k in range(12)]
+    seen = []
+    real = near_dup._prefix_pairs
+    monkeypatch.setattr(near_dup, "_prefix_pairs", lambda *a: seen.append(real(*a)) or seen[-1])
+    found = near_dup.near_duplicates(make_docs(rows), percent=percent).collect()
+    want = _groups(rows, percent)
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+    assert seen and seen[0].count() < 6 * len(rows)  # not the square of the texts with the passage
+
+
+def test_prefix_pairs_find_every_link_between_components(spark):
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 2**63, 40).astype(np.uint64)
+    sets, component = [], []
+    for g in range(12):
+        base = rng.integers(0, 2**63, 60).astype(np.uint64)
+        for _ in range(6):
+            kept = base[rng.random(60) < 0.93]
+            sets.append(np.unique(np.concatenate([kept, common[: 10 * (g % 4)], rng.integers(0, 2**63, 2).astype(np.uint64)])))
+            component.append(len(sets) % 4 if g < 6 else len(sets))
+    share = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    n = len(sets)
+    frame = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "id bigint, items binary")
+    members = spark.createDataFrame(list(enumerate(component)), "id bigint, component bigint")
+    for percent in (70, 80, 85):
+        want = {(i, j) for i in range(n) for j in range(i) if component[i] != component[j] and share(sets[i], sets[j]) >= percent / 100}
+        got = {(r["u"], r["v"]) for r in near_dup._prefix_pairs(members, frame, percent).collect()}
+        assert want and want <= got and len(got) < n * n / 8
+        assert all(component[u] != component[v] for u, v in got)
+
+
 def test_one_document_of_each_group_stays(make_docs, near_rows):
     docs = make_docs(near_rows, clash=True)
     kept = near_dup.drop_near_duplicates(docs)
