@@ -72,18 +72,13 @@ def span_seconds_sql(start: str, end: str) -> str:
     return f"CAST({second_of_day_sql(end)} - {second_of_day_sql(start)} AS BIGINT)"
 
 
-def work_seconds_sql(date: str, checkin: str, checkout: str, both_blank_twice: bool = False) -> str:
-    cin, cout = clock_sql(date, checkin), clock_sql(date, checkout)
-    seconds = (
-        f"(CASE WHEN {cin} IS NULL OR {cout} IS NULL OR {cout} <= {cin}"
-        f" THEN CAST({DEFAULT_WORK_SECONDS} AS BIGINT) ELSE {span_seconds_sql(cin, cout)} END)"
+def work_seconds_sql(checkin: str, checkout: str) -> str:
+    """Seconds worked, from two columns that `clock_sql` has parsed."""
+    i, o = q(checkin), q(checkout)
+    return (
+        f"(CASE WHEN {i} IS NULL OR {o} IS NULL OR {o} <= {i}"
+        f" THEN CAST({DEFAULT_WORK_SECONDS} AS BIGINT) ELSE {span_seconds_sql(i, o)} END)"
     )
-    if both_blank_twice:
-        seconds = (
-            f"(CASE WHEN {blank_sql(checkin)} AND {blank_sql(checkout)}"
-            f" THEN CAST({2 * DEFAULT_WORK_SECONDS} AS BIGINT) ELSE {seconds} END)"
-        )
-    return seconds
 
 
 def is_blank(c: str) -> Column:
@@ -109,15 +104,13 @@ def parse_clock(date: str, clock: str) -> Column:
     return F.expr(clock_sql(date, clock))
 
 
-def work_seconds(date: str, checkin: str, checkout: str, both_blank_twice: bool = False) -> Column:
-    """Whole seconds worked in one timesheet row.
+def work_seconds(checkin: str, checkout: str) -> Column:
+    """Whole seconds worked between two parsed clock columns (TIMESTAMP_NTZ).
 
-    8 hours when a time is blank or checkout is not after checkin,
-    otherwise checkout minus checkin. A row whose both times are blank
-    counts 8 hours once, or twice with `both_blank_twice` (the result of
-    the original three-way UNION ALL, where such a row is in two branches).
+    8 hours when one is null or checkout is not after checkin, otherwise
+    checkout minus checkin.
     """
-    return F.expr(work_seconds_sql(date, checkin, checkout, both_blank_twice))
+    return F.expr(work_seconds_sql(checkin, checkout))
 
 
 def seconds_to_hours(seconds: Column | str) -> Column:

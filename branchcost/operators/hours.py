@@ -17,13 +17,11 @@ from branchcost.functions import (
     DEFAULT_WORK_SECONDS,
     is_blank,
     month_of,
-    month_of_text,
     parse_clock,
     parse_date,
     seconds_to_hours,
     work_seconds,
     year_of,
-    year_of_text,
 )
 
 CLEANSED_COLUMNS = ["timesheet_id", "employee_id", "date", "checkin", "checkout"]
@@ -37,12 +35,25 @@ def timesheet_hours(timesheets: DataFrame, both_blank_twice: bool = False) -> Da
     `both_blank_twice` a row whose both times are blank counts 16, which
     is what the original three-way UNION ALL computes, here in one pass.
     """
-    return timesheets.select(
+    parsed = timesheets.select(
+        "timesheet_id",
+        "employee_id",
+        parse_date("date").alias("day"),
+        parse_clock("date", "checkin").alias("checkin"),
+        parse_clock("date", "checkout").alias("checkout"),
+        (is_blank("checkin") & is_blank("checkout")).alias("both_blank"),
+    )
+    # a text is parsed once, in the projection above: with the parsers inlined wherever a time is
+    # used, the generated method outgrows what the JVM compiles
+    seconds = work_seconds("checkin", "checkout")
+    if both_blank_twice:
+        seconds = F.when(F.col("both_blank"), F.lit(2 * DEFAULT_WORK_SECONDS).cast("long")).otherwise(seconds)
+    return parsed.select(
         "timesheet_id",
         "employee_id",
-        year_of_text("date").alias("year"),
-        month_of_text("date").alias("month"),
-        work_seconds("date", "checkin", "checkout", both_blank_twice).alias("work_seconds"),
+        year_of("day").alias("year"),
+        month_of("day").alias("month"),
+        seconds.alias("work_seconds"),
     ).withColumn("work_hour", seconds_to_hours("work_seconds"))
 
 

@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from branchcost.operators import (
     timesheets_delta,
     timesheets_in_period,
 )
+from branchcost.plans.catalog import QUERIES
 from branchcost.plans.jobs import full_load, salary_by_period
 from branchcost.schemas import STAGED_TIMESHEETS
 from branchcost.sinks.writers import reload_months
@@ -25,6 +27,10 @@ from branchcost.sources import load_employees, load_timesheets, read_partitioned
 from conftest import SF_SMALL
 
 
+#: Keys without a seeded table: their whole work is the plan of the result.
+PAYROLL_PLANS = set(QUERIES) - {k for k in QUERIES if k.startswith("sink_") or k.endswith(("_upsert", "_replace", "_scan", "_lookup"))}
+
+
 def plan(df, mode="formatted"):
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
@@ -127,3 +133,16 @@ def test_upsert_reads_only_touched_months(spark, tmp_table_dir):
     existing = read_or_empty(spark, path, BRANCH_SALARY)
     touched = existing.join(delta.select(*PERIOD_KEY).distinct(), PERIOD_KEY, "left_semi")
     assert "dynamicpruning" in plan(merge_branch_salary(touched, delta), "simple")
+
+
+@pytest.mark.parametrize("key", sorted(PAYROLL_PLANS))
+def test_generated_methods_are_small_enough_to_be_compiled(spark, key):
+    """The JVM does not compile methods of more than 8,000 bytes; they run interpreted."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = QUERIES[key](spark, SF_SMALL)
+        codegen = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", codegen.codegenString(df._jdf.queryExecution().executedPlan()))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) <= 8000
