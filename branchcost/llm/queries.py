@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchcost.llm import ann, decontaminate, mixing, near_dup, quality, secrets, suffix_dedup, toxicity, url_filter, warc
-from branchcost.llm.common import table
+from branchcost.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    merkle,
+    mixing,
+    near_dup,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    warc,
+    whitening,
+)
+from branchcost.llm.common import ascii_lower, table
 from branchcost.llm.labelled import hash_remainder
 
 #: The site rules that op3 applies.
@@ -107,6 +122,36 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector; a deviation beyond a long is null."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents, with the proofs folded over texts of which a fifth is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(hash_remainder(F.col("doc_id"), 5) == 0, ascii_lower(F.col("text")))
+    found = merkle.document_manifest(docs, tampered)
+    root = merkle.folded(F.col("shown"), F.col("proof"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(F.col("proof")).alias("proof_sha256"), root.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the bytes decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = bpe.encode_documents(docs, path, "encoded").select("doc_id", "encoded.*")
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(found, path, F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -118,6 +163,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_secrets": op9_secrets,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_merkle": op12_merkle,
+    "op13_bpe": op13_bpe,
 }
 
 OP2_SQL = r"""
@@ -197,4 +245,48 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, C
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_url_filter": OP3_SQL, "op6_decontaminate": OP6_SQL}
+def _merkle_sql(levels: int = 5, top_levels: int = 3) -> str:
+    """Leaves, then runs of 16 level by level; enough levels for 16**levels rows of a source."""
+    crc = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),"
+        " lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),"
+        " lambda r, bit: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295)"
+    )
+    value = lambda c: f"COALESCE(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"WITH leaves AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(low)} AS other, {crc} % 5 = 0 AS tampered FROM documents)",
+        "ranked AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp,"
+        " row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves)",
+        "s0 AS (SELECT doc_id, leaf, grp, pos, CASE WHEN tampered THEN other ELSE leaf END AS node, '' AS proof FROM ranked)",
+        "n0 AS (SELECT grp, pos AS idx, leaf AS digest, count(*) OVER (PARTITION BY grp) AS size FROM ranked)",
+    ]
+    for k in range(levels + top_levels):
+        if k == levels:  # from here on the subroots are one group
+            steps += [
+                f"subroots AS (SELECT grp AS source_no, digest AS subroot FROM n{k})",
+                "top AS (SELECT 0 AS grp, source_no AS idx, subroot AS digest, count(*) OVER () AS size FROM subroots)",
+                f"joint AS (SELECT doc_id, leaf, 0 AS grp, grp AS source_no, grp AS pos, node, proof FROM s{k})",
+            ]
+        nodes, rows = ("top", "joint") if k == levels else (f"n{k}", f"s{k}")
+        extra = "s.source_no, " if k >= levels else ""
+        left, right = "substr(r.digests, 1, 64 * (s.pos % 16))", "substr(r.digests, 64 * (s.pos % 16) + 65)"
+        steps += [
+            f"r{k} AS (SELECT grp, idx // 16 AS run, string_agg(digest, '' ORDER BY idx) AS digests, max(size) AS size FROM {nodes} GROUP BY ALL)",
+            f"n{k + 1} AS (SELECT grp, run AS idx, CASE WHEN size = 1 THEN digests ELSE sha256(digests) END AS digest,"
+            f" count(*) OVER (PARTITION BY grp) AS size FROM r{k})",
+            f"s{k + 1} AS (SELECT s.doc_id, s.leaf, s.grp, {extra}s.pos // 16 AS pos,"
+            f" CASE WHEN r.size = 1 THEN s.node ELSE sha256({left} || s.node || {right}) END AS node,"
+            f" s.proof || CASE WHEN r.size = 1 THEN '' ELSE {left} || {right} END AS proof"
+            f" FROM {rows} s JOIN r{k} r ON r.grp = s.grp AND r.run = s.pos // 16)",
+        ]
+    last = levels + top_levels
+    return (
+        ", ".join(steps)
+        + " SELECT s.doc_id, s.leaf, t.subroot, n.digest AS root, sha256(s.proof) AS proof_sha256, s.node AS folded_root,"
+        + f" s.node = n.digest AS verified FROM s{last} s JOIN subroots t USING (source_no) CROSS JOIN n{last} n"
+    )
+
+
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_url_filter": OP3_SQL, "op6_decontaminate": OP6_SQL, "op12_merkle": _merkle_sql()}
