@@ -35,17 +35,16 @@ import heapq
 import struct
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 ROW = 64  # characters of a row of the scan
-SCAN = 1 << 20  # code points that are scanned at once, or one whole text
+SCAN = 1 << 18  # code points that are scanned at once, or one whole text
 CACHED_PIECES = 250_000  # a fuller cache is emptied before the next scan, which adds at most its own pieces
 WIDTHS = (8, 16, 32, 64)  # pieces of up to so many bytes are merged together; longer ones alone, with a heap
 NO_RANK = (1 << 31) - 1
@@ -64,9 +63,10 @@ ENCODED = T.StructType(
     [
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids", T.BinaryType()),  # unsigned 32-bit, little-endian
-        T.StructField("starts", T.BinaryType()),  # byte offset of each token in the text, unsigned 64-bit, little-endian
+        T.StructField("starts", T.BinaryType()),  # byte offset of each token in the text, unsigned 32-bit, little-endian
     ]
 )
+DECODED = T.StructField("decoded", T.BinaryType())
 
 
 @lru_cache(1)
@@ -339,7 +339,7 @@ class Codec:
         return b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-def _groups(texts: list[str], size: int) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str], size: int) -> Iterator[list[str]]:
     group, n = [], 0
     for t in texts:
         if group and n + len(t) > size:
@@ -363,46 +363,59 @@ def _codec(shared) -> Codec:
     return _CODECS[key][0]
 
 
-def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Column:
-    """Struct column ENCODED of each text, over the rank file at `vocabulary` (a path of the driver).
+def encode_documents(
+    docs: DataFrame, vocabulary: str, out: str, text_col: str = "text", round_trip: bool = False
+) -> DataFrame:
+    """`docs` with the struct column `out` (ENCODED), over the rank file at `vocabulary` (a path of the driver).
 
     A null text is encoded like an empty one: no tokens. A very long text is
     scanned alone and needs memory for itself only. Equal texts have equal
-    ids, whatever other rows there are.
+    ids, whatever other rows there are; all columns stay, and `out` must not
+    be one of them. With `round_trip` the struct has one field more,
+    `decoded`: the bytes that the packed ids decode to, made by the same task.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    kind = T.StructType([*ENCODED.fields, DECODED]) if round_trip else ENCODED
+    at = docs.columns.index(text_col)
 
-    @F.pandas_udf(ENCODED)
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
-        for texts in batches:
-            ids = [i for group in _groups([t or "" for t in texts], SCAN) for i in codec.encode(group)]
-            starts = [codec.starts(i).astype("<u8").tobytes() for i in ids]
-            yield pd.DataFrame({"n_tokens": [len(i) // 4 for i in ids], "ids": ids, "starts": starts}, columns=ENCODED.names)
-
-    return encode(F.col(text_col))
-
-
-def decoded(docs: DataFrame, vocabulary: str, ids: Column) -> Column:
-    """Bytes of each row's packed ids; null for null."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
-
-    @F.pandas_udf("binary")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            done = 0
+            # a group's rows go back as soon as they are encoded, so that a task holds one group's results
+            for group in _groups((t.as_py() or "" for t in batch.column(at)), SCAN):
+                ids = codec.encode(group)
+                columns = [
+                    pa.array([len(i) // 4 for i in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
+                    pa.array([codec.starts(i).astype("<u4").tobytes() for i in ids], pa.binary()),
+                ]
+                if round_trip:
+                    columns.append(pa.array([codec.decode(i) for i in ids], pa.binary()))
+                found = pa.StructArray.from_arrays(columns, names=kind.names)
+                part = batch.slice(done, len(group))
+                done += len(group)
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*batch.schema.names, out])
+
+    return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
+
+
+def decode_documents(df: DataFrame, vocabulary: str, ids_col: str, out: str) -> DataFrame:
+    """`df` with the binary column `out`: the bytes of each row's packed ids, null for null."""
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    at = df.columns.index(ids_col)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
-        for rows in batches:
-            yield pd.Series([None if i is None else codec.decode(bytes(i)) for i in rows], dtype=object)
+        for batch in batches:
+            found = [None if i is None else codec.decode(i) for i in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, out])
 
-    return decode(ids)
+    return df.mapInArrow(decode, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))
 
 
 def decode_range(codec: Codec, ids: bytes, starts: bytes, first: int, last: int) -> tuple[int, bytes]:
     """(byte offset, bytes) of the tokens `first` to `last` (exclusive) of an encoded text."""
     part = ids[4 * first : 4 * last]
-    at = np.frombuffer(starts, "<u8")
+    at = np.frombuffer(starts, "<u4")
     return (int(at[first]) if first < len(at) else int(codec.length[np.frombuffer(ids, "<u4")].sum())), codec.decode(part)
-
-
-def encode_documents(docs: DataFrame, vocabulary: str, out: str, text_col: str = "text") -> DataFrame:
-    """`docs` with the struct column `out` (ENCODED); its name must not be one of theirs."""
-    return docs.withColumn(out, encoded(docs, vocabulary, text_col))

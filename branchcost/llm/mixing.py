@@ -139,34 +139,62 @@ def mix_sources(
     )
 
 
+def head_of(text: Column, words: Column) -> Column:
+    """The text up to the end of its first `words` words."""
+    parts = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))  # words with the blanks before
+    return F.array_join(F.slice(parts, F.lit(1), words.cast("int")), "")
+
+
 def mixed_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:
-    """The documents that the mix takes words of, with two columns more: words and repeats.
-
-    The first (`mix_taken`) is the number of words taken, repeats included;
-    the second (`mix_epochs`) how often the whole text is repeated, the
-    remaining words being the head of one more repeat. (A column of these
-    names in `docs` makes the new one start with an underscore.) Rows that
-    agree in id, source and size are matched with their shares one by one.
+    """The mix itself: a row for each time that a document is taken, with two columns more.
+
+    `mix_repeat` numbers a document's rows from 0, `mix_taken` is the words
+    of the row. All rows but the last hold the whole text; the document at
+    the cut of its source ends with a row whose text is cut after the words
+    taken, so the words of a source's rows add up to floor(target). (A column
+    of these names in `docs` makes the new one start with an underscore.)
+    Documents that nothing is taken of are left out. Rows that agree in id,
+    source and size are matched with their shares one by one; numbers are
+    given only within the group at the cut of each source.
     """
-    taken, epochs = free_name(docs, "mix_taken"), free_name(docs, "mix_epochs")
-    size, place = free_name(docs, "mix_size"), free_name(docs, "mix_place")
-    numbered = docs.withColumn(size, word_count(F.col(text_col)))
-    numbered = numbered.withColumn(
-        place, F.row_number().over(Window.partitionBy(id_col, source_col, size).orderBy(F.xxhash64(text_col)))
+    taken, repeat = free_name(docs, "mix_taken"), free_name(docs, "mix_repeat")
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("doc"),
+        F.col(id_col).alias("_d_id"),
+        F.col(source_col).alias("_d_source"),
+        F.col(text_col).alias("_d_text"),
+        word_count(F.col(text_col)).alias("_d_size"),
     )
     shares = mix_sources(docs, id_col, text_col, source_col, **options).select(
-        F.col("doc_id").alias("_m_id"),
-        F.col("source").alias("_m_source"),
-        F.col("size").alias("_m_size"),
-        F.col("taken").alias("_m_taken"),
-        F.col("epochs").alias("_m_epochs"),
+        F.col("doc_id").alias("_m_id"), F.col("source").alias("_m_source"), F.col("size").alias("_m_size"), F.col("taken").alias("_m_taken")
+    )
+    # equal rows of the shares are counted: all copies of a row take the same, but for one at the cut
+    same = ["_m_id", "_m_source", "_m_size"]
+    by_taken = shares.groupBy(*same, "_m_taken").agg(F.count("*").alias("_m_n"))
+    ranges = by_taken.groupBy(*same).agg(
+        F.sort_array(F.collect_list(F.struct("_m_taken", "_m_n")), False).alias("_m_ranges"), F.sum("_m_n").alias("_m_rows")
+    )
+    on = [F.col(f"_d_{c}").eqNullSafe(F.col(f"_m_{c}")) for c in ("id", "source", "size")]
+    found = keyed.join(ranges, on)
+    single = found.where(F.size("_m_ranges") == 1).withColumn("_m_taken", F.col("_m_ranges")[0]["_m_taken"])
+    # only the group at a source's cut differs within itself: there the rows are numbered
+    split = found.where(F.size("_m_ranges") > 1).withColumn(
+        "_m_place", F.row_number().over(Window.partitionBy("_d_id", "_d_source", "_d_size").orderBy(F.xxhash64("_d_text")))
+    )
+    upto = F.aggregate(
+        "_m_ranges",
+        F.struct(F.col("_m_place").cast("long").alias("left"), F.lit(None).cast("long").alias("taken")),
+        lambda state, r: F.struct(
+            (state["left"] - r["_m_n"]).alias("left"),
+            F.coalesce(state["taken"], F.when(state["left"] <= r["_m_n"], r["_m_taken"])).alias("taken"),
+        ),
+        lambda state: state["taken"],
     )
-    shares = shares.withColumn(
-        "_m_place",
-        F.row_number().over(Window.partitionBy("_m_id", "_m_source", "_m_size").orderBy(F.desc("_m_taken"))),
-    ).where("_m_taken > 0")
-    left = numbered.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("_d_id"), F.col(source_col).alias("_d_source"), F.col(size).alias("_d_size"), F.col(place).alias("_d_place"))
-    on = [F.col(f"_d_{c}").eqNullSafe(F.col(f"_m_{c}")) for c in ("id", "source", "size", "place")]
-    return left.join(shares, on).select("doc.*", F.col("_m_taken").alias(taken), F.col("_m_epochs").alias(epochs))
+    each = single.unionByName(split.withColumn("_m_taken", upto).drop("_m_place")).where("_m_taken > 0")
+    each = each.withColumn("_m_repeat", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(_m_taken - 1) div _d_size"))))
+    words = F.least(F.col("_d_size"), F.col("_m_taken") - F.col("_m_repeat") * F.col("_d_size"))
+    text = F.when(words == F.col("_d_size"), F.col("_d_text")).otherwise(head_of(F.col("_d_text"), words))
+    columns = [text.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns]
+    return each.select(*columns, words.alias(taken), F.col("_m_repeat").alias(repeat))

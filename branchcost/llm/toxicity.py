@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchcost.llm.common import ascii_lower, free_name
+from branchcost.llm.common import ascii_lower, free_name, stage_table
 from branchcost.llm.labelled import training_ids
 
 PER_CLASS = 8_000
@@ -204,12 +204,18 @@ def features(low: str, hits: dict, model: Model) -> list[float]:
     ]
 
 
-def learn_terms(train: DataFrame, n_pos: int, n_neg: int, max_terms: int = MAX_TERMS) -> dict[str, float]:
+def learn_terms(
+    train: DataFrame, n_pos: int, n_neg: int, max_terms: int = MAX_TERMS, weights: dict[int, float] | None = None
+) -> dict[str, float]:
     """Words and stems (``stem*``) of (text, train_label) rows with their log-odds.
 
     A term counts once per document. It is taken when its share of toxic
-    documents exceeds the base rate beyond chance (likelihood ratio), most
-    of its documents are toxic, and, for stems, several words continue it.
+    documents exceeds the sample's base rate beyond chance (likelihood ratio
+    of the rows counted), most of its documents are toxic, and, for stems,
+    several words continue it. That share and the odds count documents with
+    the weight of their class, so they are those of all labelled rows,
+    however the classes were sampled; the test of chance counts rows, as a
+    weight adds no evidence.
     Spark counts; only the best `max_terms` come to the driver.
     """
     words = F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"({WORD_CLASS})"), F.lit(1)))
@@ -224,13 +230,16 @@ def learn_terms(train: DataFrame, n_pos: int, n_neg: int, max_terms: int = MAX_T
     ).groupBy("term").agg(F.count("*").alias("words"))
     per_stem = bags.select("train_label", F.explode(F.array_distinct(starts)).alias("term")).groupBy("term").agg(*count)
 
+    weights = weights or {0: 1.0, 1: 1.0}
+    all_pos, all_neg = n_pos * weights[1], n_neg * weights[0]
+
     def scored(df):
-        pos, docs = F.col("pos").cast("double"), F.col("docs").cast("double")
-        neg, base = docs - pos, n_pos / (n_pos + n_neg)
-        part = lambda k, share: F.when(k > 0, k * F.log(k / docs / share)).otherwise(0.0)
-        odds = F.log((pos + 0.5) / (n_pos - pos + 0.5)) - F.log((neg + 0.5) / (n_neg - neg + 0.5))
-        return df.where((pos >= MIN_DOCS) & (pos >= MIN_SHARE * docs)).withColumns(
-            {"odds": odds, "ratio": 2 * (part(pos, base) + part(neg, 1 - base))}
+        k, n = F.col("pos").cast("double"), F.col("docs").cast("double")
+        pos, neg, base = k * weights[1], (n - k) * weights[0], n_pos / (n_pos + n_neg)
+        part = lambda x, share: F.when(x > 0, x * F.log(x / n / share)).otherwise(0.0)
+        odds = F.log((pos + 0.5) / (all_pos - pos + 0.5)) - F.log((neg + 0.5) / (all_neg - neg + 0.5))
+        return df.where((k >= MIN_DOCS) & (pos >= MIN_SHARE * (pos + neg))).withColumns(
+            {"odds": odds, "ratio": 2 * (part(k, base) + part(n - k, 1 - base))}
         ).where((F.col("odds") >= MIN_LOG_ODDS) & (F.col("ratio") >= MIN_RATIO))
 
     stems = scored(per_stem).join(kinds.where(F.col("words") >= MIN_CONTINUATIONS), "term")
@@ -281,13 +290,14 @@ def train_model(
     sample = docs.select(F.col(id_col).alias("train_id"), F.col(text_col).alias("text")).join(
         F.broadcast(ids), "train_id"
     )
-    sample = sample.dropDuplicates(["text", "train_label"])  # a copied text is one example
+    # a copied text is one example; written once, so that nothing that reads the sample reads the corpus again
+    sample = stage_table(sample.dropDuplicates(["text", "train_label"]).select("text", "train_label"), "toxicity-sample")
     n = {r["train_label"]: r["n"] for r in sample.groupBy("train_label").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
     prior = math.log((weights[1] * n_pos + 0.5) / (weights[0] * n_neg + 0.5))
     if not n_pos or not n_neg:
         return Model({}, bias=max(-6.0, min(6.0, prior)), coefficients=[0.0] * N_FEATURES)
-    model = Model(learn_terms(sample.select("text", "train_label"), n_pos, n_neg, max_terms))
+    model = Model(learn_terms(sample, n_pos, n_neg, max_terms, weights))
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -307,10 +317,9 @@ def train_model(
                 out += [(x, label) for x in near]
             yield pd.DataFrame(out, columns=["term", "label"]).astype({"label": "int32"})
 
-    narrow = sample.select("text", "train_label")
     # context words: odds among documents that hold a hit at all
     around = (
-        narrow.mapInPandas(window_words, "term string, label int")
+        sample.mapInPandas(window_words, "term string, label int")
         .groupBy("term")
         .agg(F.sum("label").alias("pos"), F.count("*").alias("docs"))
         .where(F.col("docs") >= 5 * MIN_DOCS)
@@ -318,15 +327,12 @@ def train_model(
         .limit(max_terms)
         .collect()
     )
-    share = (sum(r["pos"] for r in around) + 0.5) / (sum(r["docs"] for r in around) + 1)
-    base = math.log(share / (1 - share))
-    model.context = {
-        r["term"]: math.log((r["pos"] + 1) / (r["docs"] - r["pos"] + 1)) - base
-        for r in around
-        if r["docs"] > r["pos"]
-    }
+    toxic = [r["pos"] * weights[1] for r in around]
+    clean = [(r["docs"] - r["pos"]) * weights[0] for r in around]
+    base = math.log((sum(toxic) + 0.5) / (sum(clean) + 0.5))
+    model.context = {r["term"]: math.log((t + 1) / (c + 1)) - base for r, t, c in zip(around, toxic, clean) if c}
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = narrow.mapInPandas(measure, "y int, x array<double>").collect()
+    rows = sample.mapInPandas(measure, "y int, x array<double>").collect()
     x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)
     model.coefficients, model.bias = _fit(x, y, np.where(y == 1, weights[1], weights[0]))
     return model

@@ -143,7 +143,7 @@ def test_ids_are_those_of_the_library(codec, library):
         starts = codec.starts(ids)
         assert codec.decode(ids) == t.encode()
         k, n = len(starts) // 3, len(starts)
-        at, part = bpe.decode_range(codec, ids, starts.astype("<u8").tobytes(), k, n - k)
+        at, part = bpe.decode_range(codec, ids, starts.astype("<u4").tobytes(), k, n - k)
         assert t.encode()[at : at + len(part)] == part and at == (starts[k] if n else 0)
 
 
@@ -186,6 +186,17 @@ def test_query_of_ids(spark, make_docs, edge_rows, library, tmp_path):
     assert queries.op13_bpe(spark, folder).schema == bpe_schema(spark, tmp_path / "none")
 
 
+def test_documents_keep_their_columns_and_decode(make_docs, edge_rows, monkeypatch):
+    monkeypatch.setattr(bpe, "SCAN", 300)
+    docs = make_docs(edge_rows, clash=True)
+    found = bpe.decode_documents(bpe.encode_documents(docs, PATH, "tokens").withColumn("ids", F.col("tokens.ids")), PATH, "ids", "bytes")
+    rows = found.collect()
+    assert found.columns == [*docs.columns, "tokens", "ids", "bytes"] and len(rows) == len(edge_rows)
+    assert all(bytes(r["bytes"]) == (r["text"] or "").encode() for r in rows)
+    none = found.withColumn("ids", F.lit(None).cast("binary")).drop("bytes")
+    assert {r["bytes"] for r in bpe.decode_documents(none, PATH, "ids", "bytes").collect()} == {None}
+
+
 def bpe_schema(spark, path):
     spark.createDataFrame([], DOCS).write.parquet(str(path / "documents.parquet"))
     found = queries.op13_bpe(spark, str(path))

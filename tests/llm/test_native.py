@@ -1,10 +1,12 @@
 """URL filter, mixing and secrets against brute force, and their edge cases."""
 
 import hashlib
+import math
 import re
 
 import pytest
 from llm_fixtures import edge_rows, make_docs  # noqa: F401
+from llm_words import words
 
 from branchcost.llm import mixing, secrets, url_filter
 from branchcost.llm.queries import SITE_RULES
@@ -111,12 +113,27 @@ def test_mix_of_no_documents(make_docs):
     assert mixing.mixed_documents(make_docs([(1, None, "a")])).collect() == []
 
 
-def test_mixed_documents_carry_their_words(make_docs, edge_rows):
-    docs = make_docs(edge_rows, clash=True)
+def test_mix_is_rows_of_whole_and_cut_texts(make_docs, edge_rows):
+    rows = edge_rows + [(50 + i, words(70 + i, 9 + i), "c") for i in range(12)] + [(None, words(3, 30), "b")] * 7
+    docs = make_docs(rows, clash=True)
     mixed = mixing.mixed_documents(docs)
-    assert mixed.columns == [*docs.columns, "_mix_taken", "mix_epochs"]
-    shares = [r["taken"] for r in mixing.mix_sources(docs).collect() if r["taken"]]
-    assert sorted(r["_mix_taken"] for r in mixed.collect()) == sorted(shares)
+    assert mixed.columns == [*docs.columns, "_mix_taken", "mix_repeat"]
+    shares = mixing.mix_sources(docs).collect()
+    found = mixed.collect()
+    by_row, by_source = {}, {}
+    for r in found:
+        whole = [t for i, t, s in rows if (i, s) == (r["doc_id"], r["source"]) and t and t.startswith(r["text"])]
+        assert whole and len(r["text"].split()) == r["_mix_taken"] > 0
+        by_source[r["source"]] = by_source.get(r["source"], 0) + r["_mix_taken"]
+        if r["text"] in whole:
+            by_row.setdefault((r["doc_id"], r["source"], len(r["text"].split())), []).append(r["mix_repeat"])
+    for s in {r["source"] for r in shares}:
+        targets = {math.floor(r["target"]) for r in shares if r["source"] == s}
+        assert by_source.get(s, 0) == targets.pop() and not targets
+    cut = [r for r in found if r["text"] not in {t for _, t, _ in rows}]
+    assert len(cut) <= len(by_source)
+    assert all(set(k) <= {0, 1, 2} for k in by_row.values()) and max(map(max, by_row.values())) > 0
+    assert sum(r["_mix_taken"] for r in found) == sum(r["taken"] for r in shares)
 
 
 # ---- secrets
