@@ -27,6 +27,14 @@ def _ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def _measured(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    """`changed` with the length of its texts in `n_chars`, if `docs` has that column."""
+    if "n_chars" not in docs.columns:
+        return changed
+    n = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
+    return changed.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; it learns from the labelled rows of `docs`."""
     _ready(spark)
@@ -50,17 +58,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are masked; every document stays, `n_chars` follows the text."""
     _ready(spark)
-    masked = secrets.mask_secrets(docs)
-    if "n_chars" not in docs.columns:
-        return masked
-    n = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
-    return masked.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
+    return _measured(secrets.mask_secrets(docs), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents taken by the mix, with the words taken and the repeats."""
+    """The mix: a row for each time that a document is taken, texts cut at their source's target."""
     _ready(spark)
-    return mixing.mixed_documents(docs)
+    return _measured(mixing.mixed_documents(docs), docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
