@@ -21,12 +21,14 @@ from branchcost.operators.hours import (
 )
 from branchcost.operators.incremental import (
     current_period,
+    employees_after,
     employees_delta,
     high_water_mark,
     high_water_marks,
     lookup_existing,
     merge_branch_salary,
     timesheets_delta,
+    timesheets_from,
     timesheets_in_period,
 )
 from branchcost.operators.periods import (
@@ -48,6 +50,7 @@ __all__ = [
     "employee_month",
     "employee_month_seconds",
     "employee_months",
+    "employees_after",
     "employees_delta",
     "employees_period_ready",
     "high_water_mark",
@@ -66,6 +69,7 @@ __all__ = [
     "timesheet_hours",
     "timesheet_hours_literal",
     "timesheets_delta",
+    "timesheets_from",
     "timesheets_in_period",
     "work_hour_by_branch_month",
 ]

@@ -29,17 +29,10 @@ def high_water_mark(staged: DataFrame, date_text: str) -> dt.date:
     """Latest date of the staged table, 1900-01-01 when it is empty.
 
     A one-row result, brought to the driver so that the delta's filters hold
-    a literal, which reaches the source's scan. On a staging table
-    partitioned by (year, month) the latest partition is found first, on the
-    partition columns alone (Spark answers distinct partition values from
-    the file listing), and only that partition is read for the date.
+    a literal, which reaches the source's scan. Reads the date column of the
+    whole table; `sinks.staging.staged_mark` finds the mark of a staging
+    table without that.
     """
-    if {"year", "month"} <= set(staged.columns):
-        keys = staged.select("year", "month").where("year IS NOT NULL AND month IS NOT NULL").distinct()
-        last = keys.orderBy(F.desc("year"), F.desc("month")).first()
-        if last is None:
-            return dt.date.fromisoformat(EMPTY_WATERMARK_DATE)
-        staged = staged.filter((F.col("year") == last["year"]) & (F.col("month") == last["month"]))
     return staged.select(max_date_or_default(date_text)).first()[0]
 
 
@@ -61,7 +54,11 @@ def employees_delta(source: DataFrame, staged: DataFrame) -> DataFrame:
     As in the original job, rows joining on the watermark day itself and
     updates to old rows are not picked up.
     """
-    mark = high_water_mark(staged, "join_date")
+    return employees_after(source, high_water_mark(staged, "join_date"))
+
+
+def employees_after(source: DataFrame, mark: dt.date) -> DataFrame:
+    """Source employees whose join date is strictly after `mark`."""
     return source.filter(
         (F.col("join_date") >= F.lit(f"{mark.year:04d}")) & (parse_date("join_date") > F.lit(mark))
     )
@@ -73,7 +70,11 @@ def timesheets_delta(source: DataFrame, staged: DataFrame) -> DataFrame:
     Whole months are taken because salary per month depends on every
     timesheet of the month; rows older than that month are dropped.
     """
-    floor = high_water_mark(staged, "date").replace(day=1)
+    return timesheets_from(source, high_water_mark(staged, "date").replace(day=1))
+
+
+def timesheets_from(source: DataFrame, floor: dt.date) -> DataFrame:
+    """Source timesheets dated on or after `floor`, the first day of a month."""
     cond = (F.col("date") >= F.lit(f"{floor.year:04d}")) & (parse_date("date") >= F.lit(floor))
     if {"year", "month"} <= set(source.columns):
         # a partitioned source: older months are not read

@@ -23,6 +23,7 @@ from branchcost.operators import (
     branch_salary_self_join,
     dedup_employees,
     duplicate_ids,
+    employees_after,
     employees_delta,
     employees_period_ready,
     high_water_marks,
@@ -41,14 +42,10 @@ from branchcost.operators import (
     work_hour_by_branch_month,
 )
 from branchcost.plans.jobs import full_load, run_current_period, run_incremental, salary_by_period
-from branchcost.schemas import BRANCH_SALARY, EMPLOYEE_COLUMNS, EMPLOYEES, TIMESHEET_COLUMNS, TIMESHEETS
-from branchcost.session import scratch_path, snapshot
-from branchcost.sinks.writers import (
-    append_rows,
-    reload_months,
-    write_full_overwrite,
-    write_partitioned_overwrite,
-)
+from branchcost.schemas import BRANCH_SALARY, EMPLOYEE_COLUMNS, EMPLOYEES, STAGED_TIMESHEETS, TIMESHEET_COLUMNS, TIMESHEETS
+from branchcost.session import scratch_path
+from branchcost.sinks.staging import EMPTY_MARK, append_batch, read_staged, staged_mark, staged_period_list
+from branchcost.sinks.writers import reload_months, write_partitioned_overwrite
 from branchcost.sources import (
     load_employees,
     load_timesheets,
@@ -195,6 +192,24 @@ def q_high_water_marks(spark, sf_dir):
     )
 
 
+def q_high_water_marks_staged(spark, sf_dir):
+    """The marks as a job finds them: committed ones, and the last month's partition of a table without one."""
+    emp, ts = _inputs(spark, sf_dir)
+    paths = {name: scratch_path(spark, name) for name in ("employees", "timesheets", "timesheets_empty")}
+    append_batch(staged_employees(emp), paths["employees"], EMPTY_MARK)
+    reload_months(staged_timesheets(ts), paths["timesheets"], materialize=False)
+    kinds = {"employees": (EMPLOYEES, "join_date"), "timesheets": (STAGED_TIMESHEETS, "date"), "timesheets_empty": (STAGED_TIMESHEETS, "date")}
+    rows = [(name, staged_mark(spark, paths[name], *kinds[name])) for name in paths]
+    return spark.createDataFrame(rows, "table_name string, max_date date")
+
+
+def q_period_list_staged(spark, sf_dir):
+    """The period list of the staged timesheets, from their partitions."""
+    path = scratch_path(spark, "staging-timesheets")
+    reload_months(load_timesheets(spark, sf_dir), path, materialize=False)
+    return staged_period_list(spark, path)
+
+
 def q_employees_delta(spark, sf_dir):
     emp = load_employees(spark, sf_dir)
     return employees_delta(emp, staged_employees(emp))
@@ -229,7 +244,7 @@ def q_branch_salary_upsert(spark, sf_dir):
     result = _seed_result(spark, emp, ts)
     staging_emp = scratch_path(spark, "staging-employees")
     staging_ts = scratch_path(spark, "staging-timesheets")
-    write_full_overwrite(staged_employees(emp), staging_emp)
+    append_batch(staged_employees(emp), staging_emp, EMPTY_MARK)
     reload_months(staged_timesheets(ts), staging_ts, materialize=False)
     run_incremental(spark, emp, ts, staging_emp, staging_ts, result)
     return read_partitioned(spark, result, BRANCH_SALARY)
@@ -266,11 +281,10 @@ def q_sink_full_overwrite(spark, sf_dir):
 def q_sink_staging_append(spark, sf_dir):
     emp = load_employees(spark, sf_dir)
     path = scratch_path(spark, "staging-employees")
-    write_full_overwrite(staged_employees(emp), path)
-    staged = spark.read.schema(EMPLOYEES).parquet(path)
-    with snapshot(employees_delta(emp, staged), "employees-delta") as delta:
-        append_rows(delta, path)
-    return spark.read.schema(EMPLOYEES).parquet(path).select(*EMPLOYEE_COLUMNS)
+    append_batch(staged_employees(emp), path, EMPTY_MARK)
+    mark = staged_mark(spark, path, EMPLOYEES, "join_date")
+    append_batch(employees_after(emp, mark), path, mark)
+    return read_staged(spark, path, EMPLOYEES).select(*EMPLOYEE_COLUMNS)
 
 
 def q_sink_staging_month_reload(spark, sf_dir):
@@ -302,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "period_employee_exploded": q_period_employee_exploded,
     "salary_period": q_salary_period,
     "high_water_marks": q_high_water_marks,
+    "high_water_marks_staged": q_high_water_marks_staged,
+    "period_list_staged": q_period_list_staged,
     "employees_delta": q_employees_delta,
     "timesheets_delta": q_timesheets_delta,
     "timesheets_current_period": q_timesheets_current_period,

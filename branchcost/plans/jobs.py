@@ -17,25 +17,24 @@ from branchcost.operators import (
     branch_salary,
     current_period,
     dedup_employees,
-    employees_delta,
+    employees_after,
     employees_period_ready,
     period_list,
     salary_period,
     timesheet_hours,
-    timesheets_delta,
+    timesheets_from,
     timesheets_in_period,
 )
 from branchcost.schemas import EMPLOYEES, STAGED_TIMESHEETS
 from branchcost.session import snapshot
+from branchcost.sinks.staging import append_batch, commit_mark, read_staged, staged_mark
 from branchcost.sinks.writers import (
-    append_rows,
     reload_months,
     replace_periods,
     upsert_branch_salary,
     write_ordered,
     write_partitioned_overwrite,
 )
-from branchcost.sources import read_or_empty
 
 
 @dataclass
@@ -73,33 +72,37 @@ def run_incremental(
 ) -> JobStatus:
     """Incremental load by high-water mark.
 
-    1. employees joining after the staged maximum join date are appended
-       to the employee staging table;
-    2. timesheets dated from the first day of the staged maximum date's
-       month on form the delta, a filter with a literal on the source;
+    1. employees joining after the employee staging table's mark are
+       appended to it as one batch, whose latest join date is the next mark;
+    2. timesheets dated from the first day of the month of the timesheet
+       staging table's mark on form the delta, a filter with a literal on the
+       source, which is read once, into the checkpoint folder;
     3. branch_salary of the delta (against the staged employees), written
-       once to the checkpoint folder while the job runs, is upserted into
-       the result by (branch_id, year, month);
-    4. the delta's months are replaced in the timesheet staging table.
-
-    The staging table that defines the watermark is updated last, so a job
-    that dies at any step and is run again sees the same watermark and
-    delta, and every write it repeats (append of nothing new, upsert of the
-    same keys, overwrite of the same months) leaves the same end state.
+       to the checkpoint folder as well, is upserted into the result by
+       (branch_id, year, month);
+    4. the delta's months are replaced in the timesheet staging table, and
+       its latest date is committed as the next mark.
+
+    A mark is committed after the write that it stands for. A job that dies
+    anywhere, also while files are being committed, and is run again sees the
+    same marks, takes the same rows, and every write it repeats (the same
+    batch, upsert of the same keys, overwrite of the same months) leaves the
+    same end state.
     """
-    staged_emp = read_or_empty(spark, staging_employees_path, EMPLOYEES)
-    new_emp = employees_delta(source_employees, staged_emp)
-    if not new_emp.isEmpty():
-        append_rows(new_emp, staging_employees_path)
-
-    # the floor is a literal by now: neither the delta nor the result below reads the staging table
-    ts_delta = timesheets_delta(source_timesheets, read_or_empty(spark, staging_timesheets_path, STAGED_TIMESHEETS))
-    employees = read_or_empty(spark, staging_employees_path, EMPLOYEES)
-    with snapshot(branch_salary(timesheet_hours(ts_delta), dedup_employees(employees)), "delta") as delta:
-        if delta.isEmpty():
-            return JobStatus(False, "no new data")
-        upsert_branch_salary(delta, result_path)
-        reload_months(ts_delta, staging_timesheets_path, materialize=False)
+    joined = staged_mark(spark, staging_employees_path, EMPLOYEES, "join_date")
+    append_batch(employees_after(source_employees, joined), staging_employees_path, joined)
+    employees = read_staged(spark, staging_employees_path, EMPLOYEES)
+
+    # the floor is a literal: nothing below reads the staging table
+    floor = staged_mark(spark, staging_timesheets_path, STAGED_TIMESHEETS, "date").replace(day=1)
+    with snapshot(timesheets_from(source_timesheets, floor), "timesheets") as ts_delta:
+        with snapshot(branch_salary(timesheet_hours(ts_delta), dedup_employees(employees)), "delta") as delta:
+            if delta.isEmpty():
+                return JobStatus(False, "no new data")
+            upsert_branch_salary(delta, result_path)
+            latest = reload_months(ts_delta, staging_timesheets_path, materialize=False)
+    if latest is not None:
+        commit_mark(spark, staging_timesheets_path, latest)
     return JobStatus(True)
 
 
@@ -113,8 +116,9 @@ def run_current_period(
     """Recompute one month and replace it in the result; year and month default to the current ones, each alone."""
     year, month = current_period(source_timesheets.sparkSession, year, month)
     ts = timesheets_in_period(source_timesheets, year, month)
-    if ts.isEmpty():
-        return JobStatus(False, "no new data")
-    result = branch_salary(timesheet_hours(ts), dedup_employees(source_employees))
-    replace_periods(result, result_path)
+    # a few rows per branch, so the source is read once and the guard asks what was written
+    with snapshot(branch_salary(timesheet_hours(ts), dedup_employees(source_employees)), "period") as result:
+        if result.isEmpty():
+            return JobStatus(False, "no new data")
+        replace_periods(result, result_path)
     return JobStatus(True)

@@ -186,4 +186,7 @@ FROM existing WHERE (year, month) IS DISTINCT FROM ({year}, {month}) UNION ALL F
         "sink_staging_append": INCREMENT + "FROM known_employees",
         "sink_staging_month_reload": " FROM timesheets",
     }
+    # the same values, found in the partitions of staged tables
+    texts["high_water_marks_staged"] = texts["high_water_marks"]
+    texts["period_list_staged"] = texts["period_list"]
     return {key: f"{BINDINGS_SQL}{text}" for key, text in texts.items()}

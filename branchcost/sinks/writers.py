@@ -18,12 +18,14 @@ month or one file per task and month.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from branchcost.functions import parse_date
 from branchcost.operators import merge_branch_salary
 from branchcost.schemas import BRANCH_SALARY, PERIOD_KEY
 from branchcost.session import snapshot
@@ -82,23 +84,26 @@ def write_partitioned_overwrite(df: DataFrame, path: str) -> None:
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Append to a staging table (employees)."""
+    """Append to a table. Not safe to repeat; the jobs stage with `staging.append_batch`."""
     _save(df.write.mode("append"), path)
 
 
-def reload_months(df: DataFrame, path: str, date_col: str = "date", materialize: bool = True) -> None:
-    """Replace the (year, month) partitions present in `df`; other months stay.
+def reload_months(df: DataFrame, path: str, date_col: str = "date", materialize: bool = True) -> dt.date | None:
+    """Replace the (year, month) partitions present in `df`; other months stay. Returns the latest date written.
 
     Re-inserting a boundary month therefore leaves no duplicates. Pass
     `materialize=False` only when `df` is already checkpointed or does not
     read `path`.
     """
     staged = with_period_columns(df, date_col)
+    seen = Observation("months")
+    latest = F.max(parse_date(date_col)).alias("latest")
     if not materialize:
-        _replace_months(staged, path)
-        return
+        _replace_months(staged.observe(seen, latest), path)
+        return seen.get["latest"]
     with snapshot(staged, "months") as frozen:
-        _replace_months(frozen, path)
+        _replace_months(frozen.observe(seen, latest), path)
+    return seen.get["latest"]
 
 
 def replace_periods(result: DataFrame, path: str) -> None:
