@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import gc
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchcost.session import ensure_checkpoint_dir
+from branchcost.session import scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -26,16 +25,12 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_LOWER)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-
-
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 
     Cuts the lineage: a lost executor is recovered from these files, and
-    several readers of the result do not compute it again.
+    several readers of the result do not compute it again. The files are
+    deleted when the driver's Python ends, or by `release`.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -242,6 +242,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, C
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+OP7_SQL = r"""
+WITH RECURSIVE doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS shingle
+    FROM doc_words, LATERAL (SELECT unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i) WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both_have
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+    WHERE 100 * both_have >= 85 * (x.n + y.n - both_have)
+), neighbours AS (
+    SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS r FROM documents UNION SELECT reached.doc_id, v FROM reached JOIN neighbours ON u = r
+), components AS (
+    SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, COALESCE(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def _merkle_sql(levels: int = 5, top_levels: int = 3) -> str:
     """Leaves, then runs of 16 level by level; enough levels for 16**levels rows of a source."""
     crc = (
@@ -286,4 +314,4 @@ def _merkle_sql(levels: int = 5, top_levels: int = 3) -> str:
     )
 
 
-ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_url_filter": OP3_SQL, "op6_decontaminate": OP6_SQL, "op12_merkle": _merkle_sql()}
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_url_filter": OP3_SQL, "op6_decontaminate": OP6_SQL, "op7_near_duplicates": OP7_SQL, "op12_merkle": _merkle_sql()}
