@@ -6,32 +6,39 @@ over all patterns scans each normalised document once. Matches are mapped
 back to word numbers and to code-point offsets of the original text.
 
 Normalising: A-Z in lower case, words are runs of characters other than
-ASCII punctuation, controls and blanks, joined by single blanks with one
-blank at both ends; so a pattern can match whole words only.
-
-The documents are scanned where they are, without a shuffle. What is
-broadcast is the benchmark: its text is measured first, and dealt into
-shards of at most `shard_bytes` by item; with several shards the documents
-are scanned once for each, and the hits of earlier scans are carried along.
+ASCII punctuation, controls and blanks. The automaton's letters are word
+numbers in two digits, so a window costs at most two nodes for each of its
+words and a pattern can match whole words only.
+
+The documents are scanned where they are, without a shuffle or a rewrite.
+What is broadcast is the benchmark. The nodes that it can take are counted
+first; above `shard_nodes` it is dealt into shards, a long item in pieces
+that overlap by a window less one word. A task then holds at most
+`HELD_BYTES` of text at a time and lets one shard's automaton after the other
+scan it, so it never has more than one automaton.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import pickle
 import re
+import zlib
 from collections.abc import Iterator
 
 import ahocorasick
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchcost.llm.common import free_name, stage_table
+from branchcost.llm.common import free_name
 
 WINDOW = 13
-SHARD_BYTES = 32 << 20
+SHARD_NODES = 2_000_000
+PIECE = 4_096  # windows
+HELD_BYTES = 64 << 20
 
 #: UTF-8 bytes: A-Z to a-z, the remaining ASCII but digits and letters to a blank.
 _BYTES = bytes(
@@ -55,26 +62,43 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_BYTES).split() if text else []
 
 
-def _joined(words: list[bytes]) -> str:
-    # latin-1 keeps one character per byte; it serves as the automaton's alphabet
-    return (b" " + b" ".join(words) + b" ").decode("latin-1")
+class Matcher:
+    """Automaton over the word numbers of all windows; its values are (words, item ids).
 
+    A node's children are searched one by one, so a word number is written in
+    two digits of about the square root of the vocabulary, the low ones from
+    an alphabet of their own: a pattern still starts and ends at a word.
+    """
 
-def build_automaton(items: list[tuple[str, str]], window: int) -> ahocorasick.Automaton | None:
-    """Automaton whose values are (pattern length, words, item ids); None without patterns."""
-    patterns: dict[str, tuple[int, set[str]]] = {}
-    for item_id, text in items:
-        words = words_of(text)
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            part = words[i : i + window]
-            patterns.setdefault(_joined(part), (len(part), set()))[1].add(item_id)
-    if not patterns:
-        return None
-    auto = ahocorasick.Automaton()
-    for p, (n, ids) in patterns.items():
-        auto.add_word(p, (len(p), n, ids))
-    auto.make_automaton()
-    return auto
+    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+        vocabulary = list(dict.fromkeys(w for _, words in items for w in words))
+        base = math.isqrt(len(vocabulary)) + 1
+        self.digits = {w: (i // base, base + i % base) for i, w in enumerate(vocabulary)}
+        self.unknown = (2 * base, 2 * base)
+        patterns: dict[tuple[bytes, ...], set[str]] = {}
+        for item_id, words in items:
+            for i in range(max(1, len(words) - window + 1) if words else 0):
+                patterns.setdefault(tuple(words[i : i + window]), set()).add(item_id)
+        self.auto = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for p, ids in patterns.items():
+            self.auto.add_word(self._letters(p), (len(p), ids))
+        if patterns:
+            self.auto.make_automaton()
+
+    def _letters(self, words) -> tuple[int, ...]:
+        digits, unknown = self.digits, self.unknown
+        return tuple([d for w in words for d in digits.get(w, unknown)])
+
+    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Runs (first word, last + 1) and items of all windows in `words`."""
+        runs: list[tuple[int, int]] = []
+        ids: set[str] = set()
+        if words and self.digits:
+            for at, (n, found) in self.auto.iter(self._letters(words)):
+                end = at // 2 + 1
+                runs.append((end - n, end))
+                ids |= found
+        return runs, ids
 
 
 def _merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -87,52 +111,87 @@ def _merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def scan(text: str | None, auto, runs=(), items=()) -> tuple:
-    """One HIT row for a text; `runs` and `items` are those of earlier shards."""
-    words = words_of(text)
-    found, ids = list(runs), set(items)
-    if words and auto is not None:
-        joined = _joined(words)
-        matches = list(auto.iter(joined))
-        if matches:
-            blanks = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32)
-            first = np.searchsorted(blanks, [end - v[0] + 1 for end, v in matches])
-            found += [(int(s), int(s) + v[1]) for s, (_, v) in zip(first, matches)]
-            for _, v in matches:
-                ids |= v[2]
-    merged = _merge(found)
+def hit_row(text: str | None, words: list[bytes], runs: list[tuple[int, int]], items: set[str]) -> tuple:
+    """One HIT row of a text from the runs and items that were found in its words."""
+    merged = _merge(runs)
     spans = []
     if merged:
         at = [m.span() for m in _WORD.finditer(text)]
         spans = [f"{at[s][0]}:{at[e - 1][1]}" for s, e in merged]
-    return len(words), sum(e - s for s, e in merged), [x for r in merged for x in r], sorted(ids), spans
+    return len(words), sum(e - s for s, e in merged), [x for r in merged for x in r], sorted(items), spans
+
+
+def scan(text: str | None, matcher: Matcher) -> tuple:
+    words = words_of(text)
+    return hit_row(text, words, *matcher.find(words))
 
 
 _CACHE: dict = {}
 
 
-def _cached(broadcast, window: int):
-    # a worker keeps a broadcast value between tasks; the entry keeps it alive
+def _matcher(broadcast, window: int) -> Matcher:
+    """The automaton of a shard; a worker keeps the last one between tasks."""
     key = (id(broadcast.value), window)
     if key not in _CACHE:
-        _CACHE.clear()
-        _CACHE[key] = (build_automaton(broadcast.value, window), broadcast.value)
+        _CACHE.clear()  # before the next one is built; the entry keeps the broadcast value alive
+        _CACHE[key] = (Matcher(pickle.loads(zlib.decompress(broadcast.value)), window), broadcast.value)
     return _CACHE[key][0]
 
 
-def _scan_udf(broadcast, window: int):
+def _held(batches: Iterator[pd.Series], limit: int) -> Iterator[list[pd.Series]]:
+    """Batches in lists of about `limit` characters (a larger batch is alone in its own)."""
+    held, size = [], 0
+    for b in batches:
+        n = int(b.str.len().sum())
+        if held and size + n > limit:
+            yield held
+            held, size = [], 0
+        held.append(b)
+        size += n
+    if held:
+        yield held
+
+
+def _scan_udf(shards: list, window: int):
     @F.pandas_udf(HIT)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        auto = _cached(broadcast, window)
-        for text, hits, items in batches:
-            rows = [
-                scan(t, auto, list(zip(h[::2], h[1::2])), i) for t, h, i in zip(text, hits, items)
-            ]
-            yield pd.DataFrame(rows, columns=HIT.names)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        if len(shards) == 1:
+            matcher = _matcher(shards[0], window)
+            for b in batches:
+                yield pd.DataFrame([scan(t, matcher) for t in b], columns=HIT.names)
+            return
+        for held in _held(batches, HELD_BYTES):
+            found: list[list] = [[([], set()) for _ in b] for b in held]
+            for shard in shards:
+                matcher = _matcher(shard, window)
+                for b, hits in zip(held, found):
+                    for text, (runs, items) in zip(b, hits):
+                        more, ids = matcher.find(words_of(text))
+                        runs += more
+                        items |= ids
+            for b, hits in zip(held, found):
+                rows = [hit_row(t, words_of(t), *h) for t, h in zip(b, hits)]
+                yield pd.DataFrame(rows, columns=HIT.names)
 
     return run
 
 
+def pieces(items: DataFrame, window: int) -> DataFrame:
+    """(item, words, nodes): the words of each item, in pieces of at most `PIECE` windows that overlap by window - 1 words."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for item, body in zip(b["item"], b["body"]):
+                words = words_of(body)
+                for i in range(0, max(1, len(words) - window + 1) if words else 0, PIECE):
+                    part = words[i : i + PIECE + window - 1]
+                    out.append((item, part, 2 * max(1, len(part) - window + 1) * min(window, len(part))))
+            yield pd.DataFrame(out, columns=["item", "words", "nodes"])
+
+    return items.mapInPandas(cut, "item string, words array<binary>, nodes bigint")
+
+
 def with_hits(
     docs: DataFrame,
     bench: DataFrame,
@@ -141,7 +200,7 @@ def with_hits(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    shard_bytes: int = SHARD_BYTES,
+    shard_nodes: int = SHARD_NODES,
 ) -> DataFrame:
     """`docs` with the struct column `out` (HIT): words, hit words, hit runs, items, spans.
 
@@ -154,18 +213,15 @@ def with_hits(
     items = bench.select(
         F.col(item_id_col).cast("string").alias("item"), F.col(item_text_col).alias("body")
     ).where("item IS NOT NULL AND body IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
-    empty = F.struct(F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    result = docs.withColumn(out, empty)
-    for k in range(shards):
-        part = items.where(F.pmod(F.xxhash64("item"), F.lit(shards)) == k) if shards > 1 else items
-        shared = spark.sparkContext.broadcast(sorted((r["item"], r["body"]) for r in part.collect()))
-        if k:
-            result = stage_table(result, "decontaminate-shard")
-        hit = _scan_udf(shared, window)(F.col(text_col), F.col(f"{out}.hits"), F.col(f"{out}.items"))
-        result = result.withColumn(out, hit)
-    return result
+    parts = pieces(items.distinct(), window)
+    nodes = parts.agg(F.sum("nodes")).first()[0] or 0
+    n = max(1, -(-nodes // shard_nodes))
+    shards = []
+    for k in range(n):
+        part = parts.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == k) if n > 1 else parts
+        rows = sorted((r["item"], [bytes(w) for w in r["words"]]) for r in part.select("item", "words").collect())
+        shards.append(spark.sparkContext.broadcast(zlib.compress(pickle.dumps(rows))))
+    return docs.withColumn(out, _scan_udf(shards, window)(F.col(text_col)))
 
 
 def is_contaminated(hit: Column) -> Column:

@@ -168,8 +168,8 @@ def _brute(text, items, window=13):
     return len(w), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 20, 200])
-def test_decontamination_against_brute_force(spark, make_docs, edge_rows, shard_bytes):
+@pytest.mark.parametrize("shard_nodes", [1 << 20, 300])
+def test_decontamination_against_brute_force(spark, make_docs, edge_rows, shard_nodes):
     items = [(i, words(50 + i, 20 + i)) for i in range(6)]
     items += [(10, "Short, ITEM!"), (2, words(52, 22)), (11, None), (12, "..."), (None, words(60, 30)), (13, words(51, 21))]
     body = items[1][1].upper().split()
@@ -185,7 +185,7 @@ def test_decontamination_against_brute_force(spark, make_docs, edge_rows, shard_
     ]
     docs = make_docs(rows, clash=True)
     bench = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "1 AS item", "2 AS body")
-    found = decontaminate.with_hits(docs, bench, "found", shard_bytes=shard_bytes)
+    found = decontaminate.with_hits(docs, bench, "found", shard_nodes=shard_nodes)
     assert found.columns == [*docs.columns, "found"]
     got = found.select("text", "found", decontaminate.items_digest(F.col("found.items")).alias("d"),
                        decontaminate.is_contaminated(F.col("found")).alias("c")).collect()
@@ -206,3 +206,19 @@ def test_decontamination_of_empty_tables(spark, make_docs, edge_rows):
     assert decontaminate.drop_contaminated(make_docs(edge_rows), none).count() == len(edge_rows)
     some = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
     assert decontaminate.drop_contaminated(make_docs([]), some).collect() == []
+
+
+def test_decontamination_of_a_long_item_and_the_size_of_its_automata(spark, make_docs):
+    long = [f"w{i}" for i in range(10_000)]
+    bench = spark.createDataFrame([("long", " ".join(long)), ("short", "one two")], "item_id string, text string")
+    cuts = [(0, 13), (4_090, 4_103), (4_095, 4_115), (4_100, 4_112), (8_185, 8_210), (9_987, 10_000)]
+    docs = make_docs([(i, "x " + " ".join(long[a:b]) + " y", "a") for i, (a, b) in enumerate(cuts)])
+    parts = decontaminate.pieces(bench.toDF("item", "body"), 13).collect()
+    for part in parts:
+        auto = decontaminate.Matcher([(part["item"], [bytes(w) for w in part["words"]])], 13).auto
+        assert auto.get_stats()["nodes_count"] <= part["nodes"] + 1
+    assert sum(p["nodes"] for p in parts) == 2 * 13 * 9_988 + 4
+    for nodes in (2_000_000, 60_000):
+        hit = decontaminate.with_hits(docs, bench, "f", shard_nodes=nodes).select("doc_id", "f.n_hit", "f.items").collect()
+        got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in hit}
+        assert got == {i: (b - a, ["long"]) if b - a >= 13 else (0, []) for i, (a, b) in enumerate(cuts)}
