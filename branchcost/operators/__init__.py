@@ -4,6 +4,7 @@ from branchcost.operators.cost import (
     attach_employee,
     branch_salary,
     branch_salary_month,
+    branch_salary_of_months,
     branch_salary_self_join,
     employee_month,
     employee_month_seconds,
@@ -43,6 +44,7 @@ __all__ = [
     "attach_employee",
     "branch_salary",
     "branch_salary_month",
+    "branch_salary_of_months",
     "branch_salary_self_join",
     "current_period",
     "dedup_employees",

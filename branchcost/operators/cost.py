@@ -89,14 +89,19 @@ def branch_salary_month(hours: DataFrame, employees_dedup: DataFrame) -> DataFra
 
 
 def branch_salary(hours: DataFrame, employees_dedup: DataFrame) -> DataFrame:
-    """branch_id, year, month, total_work_hour, total_salary, cost_per_hour.
+    """branch_id, year, month, total_work_hour, total_salary, cost_per_hour."""
+    return branch_salary_of_months(employee_month_seconds(hours), employees_dedup)
+
+
+def branch_salary_of_months(months: DataFrame, employees_dedup: DataFrame) -> DataFrame:
+    """`branch_salary` rolled up from seconds per (employee_id, year, month).
 
     A null branch keeps its hours but gets null salary figures, as an
     equality join on a null branch finds no salary row.
     """
     salary = F.when(F.col("branch_id").isNotNull(), F.col("salary").cast("long"))
     return (
-        employee_month(hours, employees_dedup)
+        attach_employee(months, employees_dedup)
         .groupBy(*BRANCH_SALARY_KEY)
         .agg(
             seconds_to_hours(F.sum("work_seconds")).alias("total_work_hour"),

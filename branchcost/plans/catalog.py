@@ -41,7 +41,7 @@ from branchcost.operators import (
     timesheets_in_period,
     work_hour_by_branch_month,
 )
-from branchcost.plans.jobs import full_load, run_current_period, run_incremental, salary_by_period
+from branchcost.plans.jobs import full_from_state, full_load, run_current_period, run_incremental, salary_by_period
 from branchcost.schemas import BRANCH_SALARY, EMPLOYEE_COLUMNS, EMPLOYEES, STAGED_TIMESHEETS, TIMESHEET_COLUMNS, TIMESHEETS
 from branchcost.session import scratch_path
 from branchcost.sinks.staging import EMPTY_MARK, append_batch, read_staged, staged_mark, staged_period_list
@@ -250,6 +250,16 @@ def q_branch_salary_upsert(spark, sf_dir):
     return read_partitioned(spark, result, BRANCH_SALARY)
 
 
+def q_branch_salary_from_state(spark, sf_dir):
+    """Two incremental loads that keep the employee-month state; all months from the state alone."""
+    emp, ts = _inputs(spark, sf_dir)
+    names = ("staging-employees", "staging-timesheets", "result", "state")
+    paths = [scratch_path(spark, name) for name in names]
+    for part in (staged_timesheets(ts), ts):
+        run_incremental(spark, emp, part, *paths)
+    return full_from_state(spark, paths[3], emp)
+
+
 def q_branch_salary_period_replace(spark, sf_dir):
     """Current-period job for PERIOD; the planted row of that month is removed."""
     emp, ts = _inputs(spark, sf_dir)
@@ -323,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "timesheets_current_period": q_timesheets_current_period,
     "branch_salary_lookup": q_branch_salary_lookup,
     "branch_salary_upsert": q_branch_salary_upsert,
+    "branch_salary_from_state": q_branch_salary_from_state,
     "branch_salary_period_replace": q_branch_salary_period_replace,
     "employees_csv_scan": q_employees_csv_scan,
     "timesheets_csv_scan": q_timesheets_csv_scan,

@@ -1,9 +1,10 @@
-"""Command line for the four jobs.
+"""Command line for the jobs.
 
     python -m branchcost full-load      --employees E --timesheets T --result R
     python -m branchcost salary-period  --employees E --timesheets T --result R
     python -m branchcost incremental    --employees E --timesheets T --result R \\
-                                        --staging-employees SE --staging-timesheets ST
+                                        --staging-employees SE --staging-timesheets ST [--state S]
+    python -m branchcost from-state     --employees E --state S --result R
     python -m branchcost current-period --employees E --timesheets T --result R [--year Y --month M]
 
 Inputs ending in `.csv` (or a folder given with --format csv) are read as
@@ -39,15 +40,18 @@ def _read(spark: SparkSession, path: str, fmt: str | None, kind: str) -> DataFra
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="branchcost", description=__doc__.split("\n")[0])
     sub = parser.add_subparsers(dest="job", required=True)
-    for name in ("full-load", "salary-period", "incremental", "current-period"):
+    for name in ("full-load", "salary-period", "incremental", "from-state", "current-period"):
         p = sub.add_parser(name)
         p.add_argument("--employees", required=True)
-        p.add_argument("--timesheets", required=True)
+        if name != "from-state":
+            p.add_argument("--timesheets", required=True)
         p.add_argument("--result", required=True)
         p.add_argument("--format", choices=["csv", "parquet"], default=None)
         if name == "incremental":
             p.add_argument("--staging-employees", required=True)
             p.add_argument("--staging-timesheets", required=True)
+        if name in ("incremental", "from-state"):
+            p.add_argument("--state", required=name == "from-state")
         if name == "current-period":
             p.add_argument("--year", type=int)
             p.add_argument("--month", type=int)
@@ -60,6 +64,9 @@ def main(argv: list[str] | None = None) -> int:
     apply_engine_conf(spark)
     ensure_checkpoint_dir(spark)
     emp = _read(spark, args.employees, args.format, "employees")
+    if args.job == "from-state":
+        jobs.run_full_from_state(spark, emp, args.state, args.result)
+        return 0
     ts = _read(spark, args.timesheets, args.format, "timesheets")
     if args.job == "full-load":
         status = jobs.run_full_load(emp, ts, args.result)
@@ -67,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         status = jobs.run_salary_period(emp, ts, args.result)
     elif args.job == "incremental":
         status = jobs.run_incremental(
-            spark, emp, ts, args.staging_employees, args.staging_timesheets, args.result
+            spark, emp, ts, args.staging_employees, args.staging_timesheets, args.result, args.state
         )
     else:
         status = jobs.run_current_period(emp, ts, args.result, args.year, args.month)

@@ -183,6 +183,7 @@ FROM existing WHERE (year, month) IS DISTINCT FROM ({year}, {month}) UNION ALL F
         "employees_csv_scan": " FROM employees",
         "timesheets_csv_scan": " FROM timesheets",
         "sink_full_overwrite": full + "FROM all_cost",
+        "branch_salary_from_state": full + "FROM all_cost",
         "sink_staging_append": INCREMENT + "FROM known_employees",
         "sink_staging_month_reload": " FROM timesheets",
     }

@@ -35,6 +35,16 @@ STAGED_TIMESHEETS = T.StructType(
     + [T.StructField("year", T.IntegerType(), True), T.StructField("month", T.IntegerType(), True)]
 )
 
+# State of the incremental job: seconds worked per employee and month.
+EMPLOYEE_MONTH = T.StructType(
+    [
+        T.StructField("employee_id", T.IntegerType(), True),
+        T.StructField("work_seconds", T.LongType(), True),
+        T.StructField("year", T.IntegerType(), True),
+        T.StructField("month", T.IntegerType(), True),
+    ]
+)
+
 # Result of the full, incremental and current-period jobs.
 BRANCH_SALARY = T.StructType(
     [

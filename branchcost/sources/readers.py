@@ -2,22 +2,65 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from branchcost.functions import month_of_text, null_to_blank, year_of_text
 from branchcost.schemas import EMPLOYEES, TIMESHEETS
 
+HEADER_THREADS = 32
+
+
+def _header_line(spark: SparkSession, path) -> str | None:
+    """First line of a file (a Hadoop path), unpacked as its name's ending says; None for an empty file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        source = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The CSV files at `path` by their header line; empty files have none and no rows.
+
+    The first block of a file is opened for its line, `HEADER_THREADS` files
+    at a time; no Spark job runs and no other line is read.
+    """
+    jvm = spark.sparkContext._jvm
+    files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in spark.read.text(path).inputFiles()]
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda f: _header_line(spark, f), files))
+    groups: dict[str, list[str]] = {}
+    for line, f in sorted(zip(lines, (f.toString() for f in files)), key=lambda x: x[1]):
+        if line is not None:
+            groups.setdefault(line, []).append(f)
+    return groups
+
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header row, its columns taken by name, in any order.
 
-    The header of one file gives the order; Spark checks every file's header
-    against it (`enforceSchema` off), so files that disagree stop the job,
-    as does a missing column. Further columns are ignored. FAILFAST: a
-    malformed row stops the job instead of turning into nulls.
+    Every file is read by its own header: the files of one header are one
+    scan, the scans are united by name. A column that any header lacks stops
+    the job; further columns are ignored. FAILFAST: a malformed row stops
+    the job instead of turning into nulls.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    groups = list(files_by_header(spark, path).values())
+    if len(groups) < 2:
+        return _read_one_header(spark, path, schema)
+    scans = [_read_one_header(spark, files, schema) for files in groups]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _read_one_header(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """CSV files of one header, which Spark checks in every file (`enforceSchema` off)."""
+    header = spark.read.option("header", True).csv(path if isinstance(path, str) else path[0]).columns
     wanted = {f.name: f.dataType for f in schema.fields}
     missing = [name for name in wanted if name not in header]
     if missing:

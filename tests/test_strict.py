@@ -70,15 +70,6 @@ def test_csv_columns_go_by_name(spark, tmp_table_dir):
             read(spark, short)
 
 
-def test_csv_files_with_different_headers_stop_the_job(spark, tmp_table_dir):
-    path = os.path.join(tmp_table_dir, "mixed")
-    emp = golden_employees(spark).coalesce(1)
-    emp.write.option("header", True).csv(path)
-    emp.select(*reversed(emp.columns)).write.mode("append").option("header", True).csv(path)
-    with pytest.raises(Exception, match="header|CSV|schema"):
-        read_employees_csv(spark, path).collect()
-
-
 def test_jobs_read_and_write_catalog_tables(spark, tmp_table_dir):
     emp, ts = golden_employees(spark), golden_timesheets(spark)
     spark.sql(f"CREATE DATABASE payroll LOCATION '{tmp_table_dir}/payroll.db'")
