@@ -10,11 +10,17 @@ k-th best verified one, that a nearer vector would be there with probability
 below 1 - `CONFIDENCE` (the chi-squared test).
 
 The projections are indexed by a kd-tree in two levels. The upper level is
-fitted on a bounded sample (`SAMPLE` vectors) and deals all vectors to cells,
-and cells of more than `BLOCK` vectors to blocks by id; the lower level is a
-kd-tree over each block, built by the task that searches it. A query searches
-a block of its own cell first; its k-th distance there gives, by the same
-test, the cells that can still matter, and only those are searched next.
+fitted on a bounded sample and deals all vectors to cells, whose number grows
+with the table, and cells of more than `BLOCK` vectors to blocks by id; the
+lower level is a kd-tree over each block, built by the task that searches it.
+A query searches a block of its own cell first; its k-th distance there gives,
+by the same test, the cells that can still matter, and only those are searched
+next. Queries are dealt to chunks by their cells, so that those of a chunk
+visit much the same blocks, and a block goes only to the chunks that visit it.
+
+The sample is `SAMPLE` vectors, or `CELL_SAMPLE` for each cell if that is
+more; with `MAX_CELLS` cells at most it stays below 132,000. Vectors of
+different lengths have no distance; each length is searched by itself.
 
 Equal vectors are one entry with their smallest ids, so a vector that a third
 of the rows share is searched once, and queries with equal vectors are one
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,7 +43,8 @@ from branchcost.llm.common import stage_table
 DIMS = 12
 CONFIDENCE = 0.985
 SAMPLE = 20_000
-MAX_CELLS = 1_024
+CELL_SAMPLE = 16
+MAX_CELLS = 8_192
 BLOCK = 4_096
 LEAF = 64
 QUERY_BLOCK = 2_000
@@ -153,6 +161,23 @@ class Cells:
         return out
 
 
+def _chunks(counts: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(cell, first chunk, chunks) for (cell, queries) in cell order.
+
+    Neighbouring cells, which have neighbouring numbers, share a chunk of at
+    most `QUERY_BLOCK` queries; a cell with more has several of its own.
+    """
+    out, at, room = [], -1, 0
+    for cell, n in counts:
+        many = -(-n // QUERY_BLOCK)
+        if many > 1 or n > room:
+            at += 1
+            room = QUERY_BLOCK if many == 1 else 0
+        out.append((cell, at, many))
+        at, room = at + many - 1, room - n if many == 1 else 0
+    return out
+
+
 def _matrix(column) -> np.ndarray:
     return np.array([np.asarray(x, np.float64) for x in column])
 
@@ -182,18 +207,20 @@ def nearest(
 
     `is_query` is a Column over `vec_id`. Score is the Euclidean distance in
     double precision; ties go to the smaller id; a query is not its own
-    neighbour. Only vectors of the most frequent length take part (ties: the
-    larger). An empty table gives no rows; fewer than k candidates are all
-    returned.
+    neighbour. The candidates of a query are the vectors of its own length
+    (one search for each length in the table). An empty table gives no rows;
+    fewer than k candidates are all returned.
     """
-    spark = df.sparkSession
     rows = usable(df, id_col, vec_col).withColumn("dim", F.size("vec"))
-    empty = "query_id bigint, rank int, vec_id bigint, score double"
-    common = rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
-    if common is None:
-        return spark.createDataFrame([], empty)
-    dim = common["dim"]
-    rows = rows.where(F.col("dim") == dim)
+    lengths = sorted(r["dim"] for r in rows.select("dim").distinct().collect())
+    if not lengths:
+        return df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    found = [_nearest_of_length(rows.where(F.col("dim") == dim), is_query, k, dim) for dim in lengths]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of_length(rows: DataFrame, is_query, k: int, dim: int) -> DataFrame:
+    spark = rows.sparkSession
     # k + 1 ids of each distinct vector suffice: a query leaves out at most its own
     place = Window.partitionBy("vec").orderBy("vec_id")
     classes = (
@@ -213,8 +240,9 @@ def nearest(
     flat = F.pandas_udf(project, "array<double>")
     classes = stage_table(classes.withColumn("flat", flat("vec")), "ann-vectors")
     n = classes.count()
-    sample = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("flat").collect()
-    cells = Cells(_matrix([r["flat"] for r in sample]), min(MAX_CELLS, max(1, n // BLOCK)))
+    n_cells = min(MAX_CELLS, max(1, n // BLOCK))
+    sample = classes.orderBy(F.xxhash64("id"), "id").limit(max(SAMPLE, CELL_SAMPLE * n_cells)).select("flat").collect()
+    cells = Cells(_matrix([r["flat"] for r in sample]), n_cells)
     tree = spark.sparkContext.broadcast(cells)
 
     def cell_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -232,14 +260,19 @@ def nearest(
     shared = spark.sparkContext.broadcast((lows, highs, [r["cell"] for r in stats], blocks))
     ratio = chi_squared_quantile(CONFIDENCE, DIMS)
 
-    n_blocks = F.element_at(F.map_from_arrays(F.lit(list(blocks)), F.lit(list(blocks.values()))), F.col("cell"))
-    points = placed.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks).cast("long"))
+    # a row for each cell, at most MAX_CELLS
+    sizes = F.broadcast(spark.createDataFrame(list(blocks.items()), "cell bigint, n_blocks bigint"))
+    points = placed.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("id"), "n_blocks"))
 
     asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vec")
     queries = asked.groupBy("vec").agg(F.min("query_id").alias("q"))
     queries = stage_table(queries.withColumn("flat", flat("vec")).withColumn("cell", cell("flat")), "ann-queries")
-    n_chunks = max(1, -(-queries.count() // QUERY_BLOCK))
-    chunk = F.pmod(F.xxhash64("q"), F.lit(n_chunks)).cast("long")
+    chunks = _chunks(sorted((r["cell"], r["count"]) for r in queries.groupBy("cell").count().collect()))
+    dealt = F.broadcast(spark.createDataFrame(chunks, "cell bigint, first_chunk bigint, n_chunks bigint"))
+    own = F.pmod(F.xxhash64("q"), "n_blocks")
+    chunk = F.col("first_chunk") + F.pmod(F.xxhash64("q"), "n_chunks")
+    queries = queries.join(sizes, "cell").withColumn("block", own).join(dealt, "cell").withColumn("chunk", chunk)
+    queries = queries.select("q", "vec", "flat", "cell", "block", "chunk")
 
     def visit(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -256,43 +289,42 @@ def nearest(
 
     def searched(routes: DataFrame) -> DataFrame:
         key = ["cell", "block", "chunk"]
-        # a block of vectors meets one block of queries at a time
-        each = points.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_chunks - 1).cast("long"))))
-        used = routes.select(*key).distinct()
+        # a block of vectors meets one chunk of queries at a time, of those that visit it
+        used = routes.select("cell", "block", F.col("chunk").alias("visitor")).distinct()
         return (
-            each.join(used, key, "left_semi")
-            .select(*key, "vec", "flat", "ids")
-            .groupBy(*key)
+            points.join(used, ["cell", "block"])
+            .select("cell", "block", "visitor", "vec", "flat", "ids")
+            .groupBy("cell", "block", "visitor")
             .cogroup(routes.select(*key, "q", "vec", "flat", "bound").groupBy(*key))
             .applyInPandas(visit, "q bigint, vec_id bigint, score double")
         )
 
-    own = F.pmod(F.xxhash64(F.col("q")), n_blocks).cast("long")
-    first_routes = queries.select("q", "vec", "flat", "cell", own.alias("block"), chunk.alias("chunk"), F.lit(float("inf")).alias("bound"))
-    first = stage_table(searched(first_routes), "ann-first")
+    first = stage_table(searched(queries.withColumn("bound", F.lit(float("inf")))), "ann-first")
     kth = first.groupBy("q").agg(F.count("*").alias("n"), F.max("score").alias("d"))
     bounded = queries.join(kth, "q", "left").withColumn(
         "bound", F.when(F.col("n") >= k + 1, F.col("d") * F.col("d") * (1 + 1e-12)).otherwise(float("inf"))
     )
 
     def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lo, hi, names, sizes = shared.value
+        lo, hi, names, counts = shared.value
         for b in batches:
             out = []
-            for q, vec, q_flat, at, skip, bound in zip(b["q"], b["vec"], b["flat"], b["cell"], b["block"], b["bound"]):
+            for q, vec, q_flat, at, skip, mine, bound in zip(
+                b["q"], b["vec"], b["flat"], b["cell"], b["block"], b["chunk"], b["bound"]
+            ):
                 gap = np.maximum(0, np.maximum(lo - np.asarray(q_flat), np.asarray(q_flat) - hi))
                 for c in np.flatnonzero((gap * gap).sum(1) <= ratio * bound):
                     out += [
-                        (q, vec, q_flat, names[c], x, bound)
-                        for x in range(sizes[names[c]])
+                        (q, vec, q_flat, names[c], x, mine, bound)
+                        for x in range(counts[names[c]])
                         if not (names[c] == at and x == skip)
                     ]
-            yield pd.DataFrame(out, columns=["q", "vec", "flat", "cell", "block", "bound"])
+            yield pd.DataFrame(out, columns=["q", "vec", "flat", "cell", "block", "chunk", "bound"])
 
     second_routes = stage_table(
-        bounded.select("q", "vec", "flat", "cell", own.alias("block"), "bound")
-        .mapInPandas(others, "q bigint, vec array<double>, flat array<double>, cell bigint, block bigint, bound double")
-        .withColumn("chunk", chunk),
+        bounded.select("q", "vec", "flat", "cell", "block", "chunk", "bound").mapInPandas(
+            others, "q bigint, vec array<double>, flat array<double>, cell bigint, block bigint, chunk bigint, bound double"
+        ),
         "ann-routes",
     )
     near = first.unionByName(searched(second_routes))

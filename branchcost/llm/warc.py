@@ -13,6 +13,12 @@ bounds the memory of a task on either side.
 Payloads that occur several times are written once: of equal payloads the
 record with the smallest id is the response, the others are revisits that
 name it and carry no payload.
+
+The reader takes archives of other writers too: versions 1.0 and 1.1, every
+record type, repeated and folded header lines, HTTP messages (their body is
+the payload), dictionaries that are compressed themselves, archives without
+one, and any of the digests of `HASHES`. The `X-` headers, from which ids and
+full payload lengths come, are then missing and give nulls.
 """
 
 from __future__ import annotations
@@ -37,12 +43,18 @@ SKIP_MAGIC = 0x184D2A50  # to 0x184D2A5F
 FRAME_MAGIC = 0xFD2FB528
 SEPARATOR = struct.pack("<II", SKIP_MAGIC, 0).decode("ascii")
 VERSION = b"WARC/1.1"
+VERSIONS = (b"WARC/1.0", VERSION)
+TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
+REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
+ONCE = (*REQUIRED, "warc-payload-digest", "warc-block-digest", "x-payload-length", "x-page-id")
+HASHES = {"md5": hashlib.md5, "sha1": hashlib.sha1, "sha256": hashlib.sha256, "sha512": hashlib.sha512}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
 ARCHIVE_BYTES = 8 << 20
 DICT_BYTES = 16 << 10
 DICT_SAMPLES = 64
+DICT_LIMIT = 64 << 20
 LEVEL = 3
 
 RECORD = T.StructType(
@@ -54,6 +66,9 @@ RECORD = T.StructType(
         T.StructField("payload_digest", T.StringType()),
         T.StructField("refers_to", T.LongType()),
         T.StructField("payload", T.BinaryType()),
+        T.StructField("record_id", T.StringType()),
+        T.StructField("refers_to_id", T.StringType()),
+        T.StructField("warc_date", T.StringType()),
     ]
 )
 
@@ -95,47 +110,92 @@ def encode_record(page_id, uri, payload: bytes, refers_to, revisit: bool) -> byt
     return VERSION + b"\r\n" + lines + b"\r\n" + block + b"\r\n\r\n"
 
 
+def _fields(lines: list[bytes]) -> dict[str, str]:
+    """Header fields by lower-case name: of a repeated one the first, folded lines joined by a blank."""
+    unfolded: list[bytes] = []
+    for line in lines:
+        if line[:1] in (b" ", b"\t") and unfolded:
+            unfolded[-1] += b" " + line.strip(b" \t")
+        else:
+            unfolded.append(line)
+    fields: dict[str, str] = {}
+    for line in unfolded:
+        name, colon, value = line.partition(b":")
+        key = name.decode("utf-8", "replace").strip().lower()
+        if not colon or not key or (key in ONCE and key in fields):
+            raise WarcError(f"bad header line {line[:80]!r}")
+        fields.setdefault(key, value.strip(b" \t").decode("utf-8", "replace"))
+    return fields
+
+
+def _fits(labelled: str, data: bytes) -> bool:
+    """Whether `data` has the digest `algorithm:value` (base 32 or hex); an algorithm not in HASHES is not checked."""
+    algorithm, _, value = labelled.rpartition(":")
+    if (algorithm or "sha1").lower() not in HASHES:
+        return True
+    raw = HASHES[(algorithm or "sha1").lower()](data).digest()
+    return value.lower() == raw.hex() or value.upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("=")
+
+
+def _uri(fields: dict[str, str]) -> str | None:
+    uri = fields.get("warc-target-uri")
+    if uri is None or "x-payload-length" not in fields:  # written elsewhere: not escaped
+        return uri.strip("<>") if uri else uri
+    return uri.encode("ascii").decode("unicode_escape")
+
+
 def decode_record(data: bytes) -> tuple:
-    """RECORD values of one record; raises WarcError when headers or lengths are wrong."""
+    """RECORD values of one record; raises WarcError when headers, lengths or digests are wrong."""
     head, gap, rest = data.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not gap or lines[0] != VERSION:
+    if not gap or lines[0] not in VERSIONS:
         raise WarcError(f"no version line: {data[:40]!r}")
-    fields: dict[str, str] = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(b":")
-        key = name.decode().lower()
-        if not colon or key in fields:
-            raise WarcError(f"bad header line {line[:80]!r}")
-        fields[key] = value.strip(b" ").decode()
-    for key in ("warc-type", "warc-record-id", "warc-date", "warc-payload-digest", "x-payload-length", "content-length"):
+    fields = _fields(lines[1:])
+    for key in REQUIRED:
         if key not in fields:
             raise WarcError(f"header {key} is missing")
-    if not fields["content-length"].isdigit() or not fields["x-payload-length"].isdigit():
-        raise WarcError("a length is not a number")
-    n, total = int(fields["content-length"]), int(fields["x-payload-length"])
+    for key in ("content-length", "x-payload-length"):
+        if not fields.get(key, "0").isdigit():
+            raise WarcError("a length is not a number")
+    n = int(fields["content-length"])
     if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
         raise WarcError(f"content length {n}, but the record has {len(rest) - 4} bytes")
     kind, block = fields["warc-type"], rest[:n]
-    sha = fields["warc-payload-digest"].removeprefix("sha1:")
-    if kind == "response":
-        if total != n or digest(block) != sha:
-            raise WarcError("payload length or digest does not fit")
-    elif kind == "revisit":
-        if n or "warc-refers-to" not in fields or fields.get("warc-profile") != PROFILE:
+    if kind not in TYPES:
+        raise WarcError(f"record type {kind}")
+    if "warc-block-digest" in fields and not _fits(fields["warc-block-digest"], block):
+        raise WarcError("block digest does not fit")
+    payload: bytes | None = block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        payload = block.partition(b"\r\n\r\n")[2]
+    labelled = fields.get("warc-payload-digest")
+    stated = int(fields["x-payload-length"]) if "x-payload-length" in fields else None
+    if kind == "revisit":
+        if "warc-profile" not in fields or (stated is not None and (n or "warc-refers-to" not in fields)):
             raise WarcError("a revisit needs a profile, a record to refer to and no payload")
+        payload = None
+    elif (stated is not None and stated != len(payload)) or (
+        "warc-segment-number" not in fields and labelled and not _fits(labelled, payload)
+    ):
+        raise WarcError("payload length or digest does not fit")
+    if labelled is None:
+        sha = None if payload is None else digest(payload)
+    elif labelled.lower().startswith("sha1:") or ":" not in labelled:
+        sha = labelled.rpartition(":")[2]
     else:
-        raise WarcError(f"record type {kind}")
+        sha = labelled
     page, ref = fields.get("x-page-id"), fields.get("x-refers-to-page-id")
-    uri = fields.get("warc-target-uri")
     return (
         int(page) if page is not None else None,
-        uri.encode("ascii").decode("unicode_escape") if uri is not None else None,
+        _uri(fields),
         kind,
-        total,
+        stated if payload is None else len(payload),
         sha,
         int(ref) if ref is not None else None,
-        block if kind == "response" else None,
+        payload,
+        fields["warc-record-id"],
+        fields.get("warc-refers-to"),
+        fields["warc-date"],
     )
 
 
@@ -146,7 +206,7 @@ def encode_archive(records: list[bytes]) -> bytes:
         trained = zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples: their bytes serve as a raw dictionary
         trained = b"".join(samples)[-DICT_BYTES:]
-        if trained[:4] == struct.pack("<I", zstandard.MAGIC_NUMBER):
+        if trained[:4] == struct.pack("<I", FRAME_MAGIC):
             trained = b" " + trained
     if len(trained) < 8:
         trained = trained.ljust(8, b" ")
@@ -155,14 +215,34 @@ def encode_archive(records: list[bytes]) -> bytes:
     return struct.pack("<II", DICT_MAGIC, len(trained)) + trained + b"".join(frames)
 
 
+def _dictionary(stored: bytes) -> bytes:
+    """The dictionary of a leading frame, which may be a Zstandard frame itself."""
+    if stored[:4] != struct.pack("<I", FRAME_MAGIC):
+        return stored
+    frame, plain = zstandard.ZstdDecompressor().decompressobj(), bytearray()
+    try:
+        for at in range(0, len(stored), 1 << 12):
+            plain += frame.decompress(stored[at : at + (1 << 12)])
+            if frame.eof or len(plain) > DICT_LIMIT:
+                break
+    except zstandard.ZstdError as e:
+        raise WarcError(f"dictionary: {e}") from e
+    if not frame.eof or len(plain) > DICT_LIMIT:
+        raise WarcError(f"the dictionary is cut off or has more than {DICT_LIMIT} bytes")
+    return bytes(plain)
+
+
 def decode_archive(data: bytes) -> Iterator[bytes]:
     """The records of an archive: one frame each, decoded one at a time."""
-    if len(data) < 8 or struct.unpack_from("<I", data)[0] != DICT_MAGIC:
-        raise WarcError("no dictionary frame at the start")
-    at = 8 + struct.unpack_from("<I", data, 4)[0]
-    if at > len(data):
-        raise WarcError("the dictionary frame is cut off")
-    unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8:at]))
+    if len(data) < 8:
+        raise WarcError("no frame at the start")
+    if struct.unpack_from("<I", data)[0] == DICT_MAGIC:
+        at = 8 + struct.unpack_from("<I", data, 4)[0]
+        if at > len(data):
+            raise WarcError("the dictionary frame is cut off")
+        unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(_dictionary(data[8:at])))
+    else:
+        at, unpack = 0, zstandard.ZstdDecompressor()
     view = memoryview(data)
     while at < len(data):
         if len(data) - at < 8:
@@ -241,8 +321,12 @@ def write_archives(marked: DataFrame, path: str, archive_bytes: int = ARCHIVE_BY
     ).option("compression", "none").text(path)
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records (RECORD) of all archives below `path`; a broken archive fails the job."""
+def read_archives(spark: SparkSession, path: str, names: str = "part-*") -> DataFrame:
+    """Records (RECORD) of all archives below `path` whose file names fit `names`; a broken archive fails the job.
+
+    A record that is no page of this module's writer has a null id; payload
+    and its length are null for revisits (the length, if unknown).
+    """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -258,7 +342,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield _frame(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path).select("content")
     return files.mapInPandas(unpack, RECORD)
 
 
