@@ -1,16 +1,21 @@
 """Quality classifier: supervised subword embeddings.
 
-Every word, every character n-gram and every repetition of the word before
-is hashed into `buckets` rows of an embedding table. A document is the average of its rows, followed
-by a linear layer and softmax; table and layer are learned together by
-stochastic gradient descent in numpy on a bounded sample of labelled rows
-(`per_class` of each class, weighted back to the true shares).
+Every word and every character n-gram is hashed into `buckets` rows of an
+embedding table; so is the pair of a word with itself, as one n-gram for all
+words, since pairs hashed word by word do not carry over to words that the
+sample lacks. A document is the average of its rows, followed by a linear
+layer and softmax; table and layer are learned together by stochastic gradient
+descent in numpy on a bounded sample of labelled rows (`per_class` of each
+class, weighted back to the true shares).
+The sample's texts are hashed where they are; what the driver collects is a
+bag of at most `buckets` numbers for each row.
 
 To score, the linear layer is applied to the table once, so a document's
 logit is the average of one number per feature; that list is what is
 broadcast (`buckets` numbers), and scoring is one narrow pass over the
-whole texts. Texts are hashed in pieces of at most `PIECE` bytes, so a very
-long text needs no more memory than a piece; features do not span pieces.
+whole texts. Texts are hashed in pieces of `PIECE` characters, so a very long
+text needs no more memory than a piece; an open word, the word before and the
+last characters are carried over, so the features do not depend on the pieces.
 """
 
 from __future__ import annotations
@@ -31,15 +36,14 @@ DIM = 16
 GRAMS = (3, 4)
 EPOCHS = 6
 RATE = 0.5
-PIECE = 1 << 20
+PIECE = 1 << 20  # characters
 SEED = 7
-REPEAT = 12_345  # bucket of the feature "same word as before"
+REPEAT = 12_345  # bucket of the pair of a word with itself
 
 _MULT = 0x9E3779B97F4A7C15
 _ODD = 0xD6E8FEB86659FD93
 _INVERSE = pow(_ODD, -1, 1 << 64)
-_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_WORD_BYTE = np.array([b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A for b in range(256)])
+_MASK = (1 << 64) - 1
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -52,6 +56,16 @@ _POW = _powers(_ODD, PIECE + 1)
 _INV = _powers(_INVERSE, PIECE + 1)
 
 
+def _codes(text: str) -> np.ndarray:
+    """Code points, A-Z in lower case."""
+    raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where((raw >= 0x41) & (raw <= 0x5A), raw + np.uint32(32), raw)
+
+
+def _in_word(raw: np.ndarray) -> np.ndarray:
+    return (raw >= 0x80) | ((raw >= 0x30) & (raw <= 0x39)) | ((raw >= 0x61) & (raw <= 0x7A))
+
+
 def _mix(h: np.ndarray, salt: int, buckets: int) -> np.ndarray:
     h = (h + np.uint64(salt)) * np.uint64(_MULT)
     h ^= h >> np.uint64(29)
@@ -59,40 +73,66 @@ def _mix(h: np.ndarray, salt: int, buckets: int) -> np.ndarray:
     return (h >> np.uint64(40)).astype(np.int64) % buckets
 
 
-def _piece_features(data: bytes, buckets: int) -> list[np.ndarray]:
-    raw = np.frombuffer(data.translate(_LOWER), np.uint8)
+def _grams(raw: np.ndarray, k: int, buckets: int) -> np.ndarray:
     n = len(raw)
     code = raw.astype(np.uint64) + np.uint64(1)
-    out = []
-    for k in GRAMS:  # character n-grams of bytes, blanks included
-        if n >= k:
-            h = code[: n - k + 1].copy()
-            for j in range(1, k):
-                h = h * np.uint64(0x100000001B3) + code[j : n - k + 1 + j]
-            out.append(_mix(h, k, buckets))
-    inside = np.concatenate([[False], _WORD_BYTE[raw], [False]])
+    h = code[: n - k + 1].copy()
+    for j in range(1, k):
+        h = h * np.uint64(0x100000001B3) + code[j : n - k + 1 + j]
+    return _mix(h, k, buckets)
+
+
+def _word_hashes(raw: np.ndarray, open_word: tuple[int, int], last: bool) -> tuple[np.ndarray, tuple[int, int]]:
+    """Hashes of the words that end in this piece, and (hash, length) of the one that is open at its end.
+
+    A word's hash is the sum of code * ODD**place, so those of a piece are
+    differences of one prefix sum modulo 2**64.
+    """
+    carried, length = open_word
+    inside = np.concatenate([[False], _in_word(raw), [False]])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
-    if len(start):  # word hashes as differences of one prefix sum modulo 2**64
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * _POW[:n], dtype=np.uint64)])
-        words = (prefix[end] - prefix[start]) * _INV[start]
-        out.append(_mix(words, 101, buckets))
-        # a word that repeats the one before it is one more feature, the same for all words
-        out.append(np.full(int((words[1:] == words[:-1]).sum()), REPEAT % buckets, np.int64))
-    return out
+    code = raw.astype(np.uint64) + np.uint64(1)
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * _POW[: len(raw)], dtype=np.uint64)])
+    words = (prefix[end] - prefix[start]) * _INV[start]
+    lengths = end - start
+    if length and inside[1]:  # the open word goes on
+        words[0] = np.uint64((carried + int(words[0]) * pow(_ODD, length, 1 << 64)) & _MASK)
+        lengths[0] += length
+    elif length:
+        words, lengths = np.append(np.uint64(carried), words), np.append(length, lengths)
+    if not last and inside[-2]:
+        return words[:-1], (int(words[-1]), int(lengths[-1]))
+    return words, (0, 0)
 
 
 def hashed_features(text: str | None, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     """Arrays of bucket numbers of a text's features, piece by piece."""
-    data = text.encode() if text else b""
-    at = 0
-    while at < len(data):
-        end = min(len(data), at + PIECE)
-        if end < len(data):  # cut after a blank when there is one near
-            blank = data.rfind(b" ", end - 4096, end)
-            end = blank + 1 if blank > at else end
-        yield from _piece_features(data[at:end], buckets)
-        at = end
+    tail, before = np.zeros(0, np.uint32), np.zeros(0, np.uint64)
+    open_word = (0, 0)
+    for at in range(0, len(text or ""), PIECE):
+        raw = _codes(text[at : at + PIECE])
+        for k in GRAMS:  # character n-grams that end in this piece, blanks included
+            joined = np.concatenate([tail[max(0, len(tail) - k + 1) :], raw])
+            if len(joined) >= k:
+                yield _grams(joined, k, buckets)
+        tail = np.concatenate([tail, raw])[-max(GRAMS) + 1 :]
+        words, open_word = _word_hashes(raw, open_word, at + PIECE >= len(text))
+        if len(words):
+            yield _mix(words, 101, buckets)
+            chain = np.concatenate([before, words])
+            # the pair of a word with itself is one n-gram for all words
+            yield np.full(int((chain[1:] == chain[:-1]).sum()), REPEAT % buckets, np.int64)
+            before = words[-1:]
+
+
+def bag_of(text: str | None, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, their shares) of a text's features."""
+    counts = np.zeros(buckets, np.int64)
+    for idx in hashed_features(text, buckets):
+        counts += np.bincount(idx, minlength=buckets)
+    idx = np.flatnonzero(counts)
+    return idx.astype(np.int32), (counts[idx] / max(1, counts.sum())).astype(np.float32)
 
 
 @dataclass
@@ -103,12 +143,11 @@ class Model:
 
 def fit(texts: list[str | None], labels: list[int], weights: dict[int, float], buckets: int = BUCKETS) -> Model:
     """Train on texts in memory."""
+    return fit_bags([bag_of(t, buckets) for t in texts], labels, weights, buckets)
+
+
+def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], weights: dict[int, float], buckets: int = BUCKETS) -> Model:
     rng = np.random.default_rng(SEED)
-    bags = []
-    for t in texts:
-        parts = list(hashed_features(t, buckets))
-        idx, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, int), np.zeros(0))
-        bags.append((idx.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
     table = (rng.random((buckets, DIM), dtype=np.float32) - 0.5) / DIM
     layer = np.zeros((DIM, 2), np.float32)
     prior = np.array([max(weights[y] * labels.count(y), 0.5) for y in (0, 1)])
@@ -151,15 +190,23 @@ def train_model(
     """
     cond = train if isinstance(train, Column) else F.lit(train)
     ids, weights = training_ids(labels, label_col, cond, per_class, id_col)
+
+    def bags(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            found = [bag_of(t) for t in texts]
+            yield pd.DataFrame({"idx": [i for i, _ in found], "share": [x for _, x in found]})
+
+    bag = F.pandas_udf(bags, "idx array<int>, share array<float>")
     rows = (
         docs.select(F.col(id_col).alias("train_id"), F.col(text_col).alias("text"))
         .join(F.broadcast(ids), "train_id")
-        .select("text", "train_label", F.xxhash64("train_id").alias("o"))
-        .orderBy("o", "text")
+        .select("train_label", F.xxhash64("train_id").alias("o"), F.xxhash64("text").alias("t"), bag("text").alias("bag"))
+        .orderBy("o", "t", "train_label")
         .limit(2 * per_class)  # the bound holds for repeated rows too
         .collect()
     )
-    return fit([r["text"] for r in rows], [r["train_label"] for r in rows], weights)
+    found = [(np.array(r["bag"]["idx"], np.int32), np.array(r["bag"]["share"], np.float32)) for r in rows]
+    return fit_bags(found, [r["train_label"] for r in rows], weights)
 
 
 def score(text: str | None, model: Model) -> float:

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,11 +140,20 @@ def test_quality_edge_cases_and_pieces(make_docs, edge_rows, monkeypatch):
     assert len({r["s"] for r in got if not r["text"]}) == 1
     for r in got:
         assert r["s"] == pytest.approx(quality.score(r["text"], model))
-    text = words(4, 3000)
-    whole = sum(map(len, quality.hashed_features(text)))
-    monkeypatch.setattr(quality, "PIECE", 1 << 12)
-    pieces = sum(map(len, quality.hashed_features(text)))
-    assert whole * 0.99 < pieces <= whole  # only features across piece ends are lost
+    texts = [words(4, 3000), "é" * 40 + "ABC x", "x" * 33, "a b", " ", "ab" * 17 + " a", *(r[1] for r in edge_rows if r[1])]
+    for text in texts:
+        text = text[:20_000]
+        whole = Counter(np.concatenate([*quality.hashed_features(text), np.zeros(0, int)]).tolist())
+        # brute force of the number of features: n-grams, words, a word twice in a row
+        found = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.translate(LOWER))
+        grams = sum(max(0, len(text) - k + 1) for k in quality.GRAMS)
+        assert sum(whole.values()) == grams + len(found) + sum(a == b for a, b in zip(found, found[1:]))
+        for piece in (1, 2, 3, 16, 17, 1000):  # the features do not depend on the pieces
+            if piece > 3 or len(text) < 200:
+                monkeypatch.setattr(quality, "PIECE", piece)
+                assert Counter(np.concatenate([*quality.hashed_features(text), np.zeros(0, int)]).tolist()) == whole
+        monkeypatch.undo()
+    assert [b.tolist() for b in quality.bag_of("Äb äb", 1 << 10)] != [b.tolist() for b in quality.bag_of("Äb ob", 1 << 10)]
 
 
 # ---- decontamination
