@@ -26,6 +26,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
 SEED = 20_240_611
+KEY_BITS = 60
 
 
 def word_count(text: Column) -> Column:
@@ -33,6 +34,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(SPACE_FREE)), F.lit(0)).cast("long")
 
 
+def order_key(id_: Column, seed: int = SEED) -> Column:
+    """Hash-random place of an id: the first 60 bits of the MD5 of `seed:id`, which any SQL engine can compute too."""
+    text = F.concat_ws(":", F.lit(str(seed)), id_.cast("string"))  # a null id: the seed alone
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("long")
+
+
 def source_targets(totals: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """Target words per source from (source, source_size, rows).
 
@@ -81,7 +88,7 @@ def mix_sources(
     included, so `taken = epochs * size + head`, where only the document at
     the cut of its source has a head other than 0 or its size. The taken
     words of a source add up to floor(target). Ties cannot occur between
-    different ids' order keys beyond a 64-bit hash collision, which falls
+    different ids' order keys beyond a 60-bit hash collision, which falls
     back on the id; repeated rows are taken one after another. Null ids are
     ordered like any id; null texts have size 0; a null source is a source.
     """
@@ -109,9 +116,9 @@ def mix_sources(
 
     # Spark broadcasts the plan (one row per source) while it is small.
     keyed = rows.join(plan, F.col("source").eqNullSafe(F.col("src"))).drop("src")
-    keyed = keyed.withColumn("key", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")))
+    keyed = keyed.withColumn("key", order_key(F.col("doc_id"), seed))
     # equal ranges of the key space, in key order
-    unit = (F.col("key").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    unit = F.col("key").cast("double") / F.lit(2.0**KEY_BITS)
     keyed = keyed.withColumn("range_no", F.least(F.floor(unit * F.col("n_ranges")), F.col("n_ranges") - 1))
 
     words = F.col("size") * F.col("copies")

@@ -269,6 +269,63 @@ SELECT d.doc_id, COALESCE(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+OP8_SQL = f"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+           md5(concat_ws(':', '{mixing.SEED}', CAST(doc_id AS VARCHAR))) AS hex
+    FROM documents
+), totals AS (
+    SELECT source, sum(size) AS source_size FROM sized GROUP BY source
+), weighted AS (
+    SELECT source, source_size, {mixing.CAP} * CAST(source_size AS DOUBLE) AS cap,
+           CAST(list_extract({list(mixing.WEIGHTS)}, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1) AS DOUBLE) AS weight
+    FROM totals
+), levels AS (
+    -- filled to the cap in the order of cap / weight: the level that the budget allows the sources not yet full
+    SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * {mixing.SHARE} - COALESCE(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighted WINDOW w AS (ORDER BY cap / weight, source NULLS LAST)
+), targets AS (
+    SELECT source, CAST(source_size AS BIGINT) AS source_size, least(cap, COALESCE(weight * common, cap)) AS target
+    FROM levels, (SELECT max(level) AS common FROM levels WHERE cap > weight * level)
+), plans AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM targets
+), placed AS (
+    SELECT doc_id, size, source_size, target, epochs, CAST(floor(target) AS BIGINT) - epochs * source_size
+               - COALESCE(sum(size) OVER (PARTITION BY s.source ORDER BY substr(hex, 1, {mixing.KEY_BITS // 4}), doc_id
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+    FROM sized s JOIN plans p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, room)) AS BIGINT) AS taken FROM placed
+"""
+
+OP10_SQL = """
+WITH hexed AS (
+    SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents
+), windows AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+    FROM hexed, LATERAL (SELECT unnest(range(0, greatest(0, len(h) // 2 - 49))) AS i)
+), firsts AS (
+    SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)
+), starts AS (
+    SELECT v.doc_id, v.i, v.i > lag(v.i, 1, -100) OVER (PARTITION BY v.doc_id ORDER BY v.i) + 50 AS opens
+    FROM windows v JOIN firsts f ON f.w = v.w AND f.first_id < v.doc_id
+), numbered AS (
+    SELECT doc_id, i, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts
+), runs AS (
+    SELECT doc_id, run, min(i) AS first, max(i) + 50 AS past FROM numbered GROUP BY doc_id, run
+), gaps AS (
+    SELECT *, lag(past, 1, 0) OVER (PARTITION BY doc_id ORDER BY first) AS since FROM runs
+), kept AS (
+    SELECT doc_id, sum(past - first) AS n_removed, count(*) AS n_spans, max(past) AS last,
+           string_agg(substr(h, 2 * since + 1, 2 * (first - since)), '' ORDER BY first) AS head
+    FROM gaps JOIN hexed USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+       sha256(unhex(COALESCE(head, '') || substr(h, 2 * COALESCE(last, 0) + 1))) AS kept_sha256
+FROM hexed LEFT JOIN kept USING (doc_id)
+"""
+
 
 def _merkle_sql(levels: int = 5, top_levels: int = 3) -> str:
     """Leaves, then runs of 16 level by level; enough levels for 16**levels rows of a source."""
@@ -314,4 +371,12 @@ def _merkle_sql(levels: int = 5, top_levels: int = 3) -> str:
     )
 
 
-ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_url_filter": OP3_SQL, "op6_decontaminate": OP6_SQL, "op7_near_duplicates": OP7_SQL, "op12_merkle": _merkle_sql()}
+ORACLES: dict[str, str] = {
+    "op2_warc": OP2_SQL,
+    "op3_url_filter": OP3_SQL,
+    "op6_decontaminate": OP6_SQL,
+    "op7_near_duplicates": OP7_SQL,
+    "op8_mix_sources": OP8_SQL,
+    "op10_suffix_dedup": OP10_SQL,
+    "op12_merkle": _merkle_sql(),
+}
