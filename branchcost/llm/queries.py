@@ -302,9 +302,13 @@ SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least
 OP10_SQL = """
 WITH hexed AS (
     SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents
+), pieces AS (
+    -- 256 window starts each, so that a window is cut from a short text
+    SELECT doc_id, p, substr(h, 512 * p + 1, 610) AS piece
+    FROM hexed, LATERAL (SELECT unnest(range(0, len(h) // 512 + 1)) AS p)
 ), windows AS (
-    SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
-    FROM hexed, LATERAL (SELECT unnest(range(0, greatest(0, len(h) // 2 - 49))) AS i)
+    SELECT doc_id, 256 * p + k AS i, substr(piece, 2 * k + 1, 100) AS w
+    FROM pieces, LATERAL (SELECT unnest(range(0, greatest(0, len(piece) // 2 - 49))) AS k)
 ), firsts AS (
     SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)
 ), starts AS (
