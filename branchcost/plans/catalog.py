@@ -44,6 +44,7 @@ from branchcost.operators import (
 from branchcost.plans.jobs import full_from_state, full_load, run_current_period, run_incremental, salary_by_period
 from branchcost.schemas import BRANCH_SALARY, EMPLOYEE_COLUMNS, EMPLOYEES, STAGED_TIMESHEETS, TIMESHEET_COLUMNS, TIMESHEETS
 from branchcost.session import scratch_path
+from branchcost.sinks.current import current_employees, keep_current
 from branchcost.sinks.staging import EMPTY_MARK, append_batch, read_staged, staged_mark, staged_period_list
 from branchcost.sinks.writers import reload_months, write_partitioned_overwrite
 from branchcost.sources import (
@@ -260,6 +261,17 @@ def q_branch_salary_from_state(spark, sf_dir):
     return full_from_state(spark, paths[3], emp)
 
 
+def q_employees_current(spark, sf_dir):
+    """Employees staged by three loads, the current ones kept by merging each load's batch."""
+    emp, _ = _inputs(spark, sf_dir)
+    staging, current = (scratch_path(spark, name) for name in ("staging-employees", "current-employees"))
+    for until in ("1996-06-30", EMPLOYEE_CUT, "9999-12-31"):
+        joined = staged_mark(spark, staging, EMPLOYEES, "join_date")
+        append_batch(employees_after(emp.filter(F.col("join_date") <= until), joined), staging, joined)
+        keep_current(spark, current, staging)
+    return current_employees(spark, current)
+
+
 def q_branch_salary_period_replace(spark, sf_dir):
     """Current-period job for PERIOD; the planted row of that month is removed."""
     emp, ts = _inputs(spark, sf_dir)
@@ -334,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "branch_salary_lookup": q_branch_salary_lookup,
     "branch_salary_upsert": q_branch_salary_upsert,
     "branch_salary_from_state": q_branch_salary_from_state,
+    "employees_current": q_employees_current,
     "branch_salary_period_replace": q_branch_salary_period_replace,
     "employees_csv_scan": q_employees_csv_scan,
     "timesheets_csv_scan": q_timesheets_csv_scan,

@@ -3,7 +3,7 @@
     python -m branchcost full-load      --employees E --timesheets T --result R
     python -m branchcost salary-period  --employees E --timesheets T --result R
     python -m branchcost incremental    --employees E --timesheets T --result R \\
-                                        --staging-employees SE --staging-timesheets ST [--state S]
+                                        --staging-employees SE --staging-timesheets ST [--state S] [--current-employees C]
     python -m branchcost from-state     --employees E --state S --result R
     python -m branchcost current-period --employees E --timesheets T --result R [--year Y --month M]
 
@@ -50,6 +50,7 @@ def build_parser() -> argparse.ArgumentParser:
         if name == "incremental":
             p.add_argument("--staging-employees", required=True)
             p.add_argument("--staging-timesheets", required=True)
+            p.add_argument("--current-employees")
         if name in ("incremental", "from-state"):
             p.add_argument("--state", required=name == "from-state")
         if name == "current-period":
@@ -74,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
         status = jobs.run_salary_period(emp, ts, args.result)
     elif args.job == "incremental":
         status = jobs.run_incremental(
-            spark, emp, ts, args.staging_employees, args.staging_timesheets, args.result, args.state
+            spark, emp, ts, args.staging_employees, args.staging_timesheets, args.result, args.state, args.current_employees
         )
     else:
         status = jobs.run_current_period(emp, ts, args.result, args.year, args.month)

@@ -30,7 +30,16 @@ from branchcost.operators import (
 )
 from branchcost.schemas import EMPLOYEE_MONTH, EMPLOYEES, STAGED_TIMESHEETS, TIMESHEETS
 from branchcost.session import snapshot
-from branchcost.sinks.staging import EMPTY_MARK, append_batch, commit_mark, committed_mark, read_staged, staged_mark
+from branchcost.sinks.current import current_employees, keep_current
+from branchcost.sinks.staging import (
+    EMPTY_MARK,
+    append_batch,
+    begin_staging,
+    commit_mark,
+    committed_mark,
+    read_staged,
+    staged_mark,
+)
 from branchcost.sinks.writers import (
     reload_months,
     replace_periods,
@@ -74,6 +83,7 @@ def run_incremental(
     staging_timesheets_path: str,
     result_path: str,
     state_path: str | None = None,
+    current_path: str | None = None,
 ) -> JobStatus:
     """Incremental load by high-water mark.
 
@@ -95,15 +105,25 @@ def run_incremental(
     state whose mark is missing or older (loads ran without it) is made anew
     from the staged timesheets first.
 
+    With `current_path`, the deduplicated employees are kept in that table
+    (`sinks.current`): the new batch is merged into the buckets it touches,
+    and the staging table is not deduplicated again.
+
     A mark is committed after the write that it stands for. A job that dies
     anywhere, also while files are being committed, and is run again sees the
     same marks, takes the same rows, and every write it repeats (the same
     batch, upsert of the same keys, overwrite of the same months) leaves the
     same end state.
     """
+    for target in (staging_employees_path, staging_timesheets_path):
+        begin_staging(spark, target)
     joined = staged_mark(spark, staging_employees_path, EMPLOYEES, "join_date")
     append_batch(employees_after(source_employees, joined), staging_employees_path, joined)
-    employees = read_staged(spark, staging_employees_path, EMPLOYEES)
+    if current_path:
+        keep_current(spark, current_path, staging_employees_path)
+        employees = current_employees(spark, current_path)
+    else:
+        employees = dedup_employees(read_staged(spark, staging_employees_path, EMPLOYEES))
 
     # the floor is a literal: nothing below reads the staging table
     staged = staged_mark(spark, staging_timesheets_path, STAGED_TIMESHEETS, "date")
@@ -112,7 +132,7 @@ def run_incremental(
         _ensure_state(spark, state_path, staging_timesheets_path, staged)
     with snapshot(timesheets_from(source_timesheets, floor), "timesheets") as ts_delta:
         with snapshot(employee_month_seconds(timesheet_hours(ts_delta)), "months") as months:
-            with snapshot(branch_salary_of_months(months, dedup_employees(employees)), "delta") as delta:
+            with snapshot(branch_salary_of_months(months, employees), "delta") as delta:
                 if delta.isEmpty():
                     return JobStatus(False, "no new data")
                 upsert_branch_salary(delta, result_path)

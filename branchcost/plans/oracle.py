@@ -153,6 +153,7 @@ def oracle_sql() -> dict[str, str]:
         "timesheet_good": f"{KINDS} SELECT {KIND_COLUMNS} FROM kinds WHERE kind = 'both' AND checkout > checkin",
         "timesheet_work_hours": worked("w") + f"SELECT *, {hours} FROM w",
         "employees_dedup": person("p") + "FROM p",
+        "employees_current": person("p") + "FROM p",
         "employees_duplicate_ids": " SELECT employe_id, count(*) AS n FROM employees GROUP BY 1 HAVING n > 1",
         "employees_period_ready": EMPLOYMENT + "FROM ready",
         "timesheet_employee": worked("w") + person("p") + f"""

@@ -77,6 +77,24 @@ def commit_mark(spark: SparkSession, target: str, mark: dt.date) -> None:
         delete_path(spark, f"{folder}/{before.isoformat()}")
 
 
+def withdraw_mark(spark: SparkSession, target: str) -> None:
+    """Leave a table without a mark while it is being rewritten."""
+    name = table_name(target)
+    if name:
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{MARK_PROPERTY}')")
+    else:
+        delete_path(spark, f"{target.rstrip('/')}/{MARKS}")
+
+
+def begin_staging(spark: SparkSession, target: str) -> None:
+    """Mark a new folder as empty before its first rows, so that a first load that dies is begun again.
+
+    A catalog table appears with all its rows at once and needs no such mark.
+    """
+    if not table_name(target) and not table_exists(spark, target):
+        commit_mark(spark, target, EMPTY_MARK)
+
+
 def _partition_values(spark: SparkSession, target: str, *columns: str) -> Iterator[tuple[str, ...]]:
     """Values of the partitions of a table, as text, from its folders or the catalog."""
     name = table_name(target)
@@ -120,7 +138,7 @@ def staged_mark(spark: SparkSession, target: str, schema: T.StructType, date_tex
 
     Without a mark, the last month's partition is read for its latest date,
     or the month before if that is empty; a table that is not partitioned by
-    month is read whole.
+    month is read whole. Batches without a mark were not committed.
     """
     mark = committed_mark(spark, target)
     if mark is not None:
@@ -128,6 +146,8 @@ def staged_mark(spark: SparkSession, target: str, schema: T.StructType, date_tex
     if not table_exists(spark, target):
         return EMPTY_MARK
     if not set(PERIOD_KEY) <= set(schema.fieldNames()):
+        if _has_batches(spark, target):
+            return EMPTY_MARK
         return high_water_mark(read_partitioned(spark, target, schema), date_text)
     for year, month in reversed(staged_months(spark, target)):
         if table_name(target):
@@ -140,6 +160,13 @@ def staged_mark(spark: SparkSession, target: str, schema: T.StructType, date_tex
     return EMPTY_MARK
 
 
+def _has_batches(spark: SparkSession, target: str) -> bool:
+    name = table_name(target)
+    if name:
+        return BATCH in spark.table(name).columns
+    return any(_partition_values(spark, target, BATCH))
+
+
 def _drop_batch(spark: SparkSession, target: str, batch: str) -> None:
     name = table_name(target)
     if name:
@@ -177,20 +204,24 @@ def append_batch(df: DataFrame, target: str, after: dt.date, date_text: str = "j
     return found["rows"]
 
 
-def read_staged(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+def read_staged(spark: SparkSession, target: str, schema: T.StructType, since: dt.date | None = None) -> DataFrame:
     """The rows of a staging table; those of a batch that was not committed are left out.
 
     A batch is committed once the mark is later than the one it was taken
-    after. A table without a mark has no such batches to tell apart.
+    after. With `since`, an earlier mark, only the batches after it are read.
     """
     rows = read_or_empty(spark, target, schema)
     mark = committed_mark(spark, target)
     batches = {b for (b,) in _partition_values(spark, target, BATCH)}
     open_ = sorted(b for b in batches if mark is None or b >= mark.isoformat())
-    if not open_:
+    if not open_ and since is None:
         return rows
     if table_name(target):
         whole = spark.table(table_name(target))
     else:
         whole = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])).parquet(target)
-    return whole.where(~F.col(BATCH).isin(open_)).select(*schema.fieldNames())
+    if open_:
+        whole = whole.where(~F.col(BATCH).isin(open_))
+    if since is not None:
+        whole = whole.where(F.col(BATCH) >= since.isoformat())
+    return whole.select(*schema.fieldNames())

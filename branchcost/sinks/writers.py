@@ -55,19 +55,29 @@ def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None
         spark.conf.set(key, before)
 
 
-def _by_month(df: DataFrame) -> DataFrameWriter:
-    return df.hint("rebalance", *PERIOD_KEY).write.partitionBy(*PERIOD_KEY)
+def _by(df: DataFrame, *columns: str) -> DataFrameWriter:
+    return df.hint("rebalance", *columns).write.partitionBy(*columns)
 
 
-def _replace_months(df: DataFrame, target: str) -> None:
-    """Replace the (year, month) partitions present in `df`; others stay."""
+def replace_partitions(df: DataFrame, target: str, *columns: str) -> None:
+    """Replace the partitions by `columns` present in `df`; others stay. `df` must not read `target`."""
     name = table_name(target)
     if name and df.sparkSession.catalog.tableExists(name):
-        rows = df.select(*df.sparkSession.table(name).columns).hint("rebalance", *PERIOD_KEY)
+        rows = df.select(*df.sparkSession.table(name).columns).hint("rebalance", *columns)
         with _session_setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             rows.write.mode("overwrite").insertInto(name)
     else:
-        _save(_by_month(df).mode("overwrite"), target, overwrite="dynamic")
+        _save(_by(df, *columns).mode("overwrite"), target, overwrite="dynamic")
+
+
+def overwrite_by(df: DataFrame, target: str, *columns: str) -> None:
+    """Replace the whole table, partitioned by `columns` (static overwrite: marks and absent partitions go too)."""
+    _save(_by(df, *columns).mode("overwrite"), target, overwrite="static")
+
+
+def _replace_months(df: DataFrame, target: str) -> None:
+    """Replace the (year, month) partitions present in `df`; others stay."""
+    replace_partitions(df, target, *PERIOD_KEY)
 
 
 def write_full_overwrite(df: DataFrame, path: str) -> None:
@@ -80,7 +90,7 @@ def write_partitioned_overwrite(df: DataFrame, path: str) -> None:
 
     Static overwrite: months absent from `df` disappear too.
     """
-    _save(_by_month(df).mode("overwrite"), path, overwrite="static")
+    overwrite_by(df, path, *PERIOD_KEY)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
