@@ -5,8 +5,11 @@ import hashlib
 import random
 import re
 import struct
+import tracemalloc
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 import zstandard
 from llm_fixtures import edge_rows, make_docs  # noqa: F401
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from branchcost.llm import ann, near_dup, queries, suffix_dedup, warc
+from branchcost.llm.common import arrow_batches
 from branchcost.llm.components import components
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -277,6 +281,53 @@ def test_pieces_of_long_texts_hold_every_window_once(monkeypatch):
     assert seen == list(range(len(data) - 49)) and anchors == {a for a, _, _ in whole}
 
 
+def test_cut_texts_go_back_in_small_batches(monkeypatch):
+    """One long text of single windows, and many short ones, are never one batch."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_ROWS", 100)
+    texts = [words(5, 900).encode(), *[words(10 + k, 12).encode()[:60] for k in range(250)]]
+    asked = []
+    for data in texts:
+        marks = np.concatenate([m for _, m, _, _ in suffix_dedup.window_anchors(data)])
+        asked.append([suffix_dedup._pack(marks)])
+    rows = {"id": list(range(len(texts))), "tag": [0] * len(texts), "text": [t.decode() for t in texts]}
+    rows |= {"kind": [[suffix_dedup.SINGLE]] * len(texts), "marks": asked}
+    found = list(suffix_dedup._cut_out(iter([pa.RecordBatch.from_pydict(rows)])))
+    assert max(b.num_rows for b in found) <= 100
+    starts = {(r["id"], i) for b in found for r in b.to_pylist() for i in r["starts"]}
+    assert starts == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - 49)}
+
+
+def test_a_bucket_is_sorted_in_parts():
+    """Settling a bucket takes a small multiple of its packed marks (8.3 times them when sorted as a whole)."""
+    rng = np.random.default_rng(5)
+    packets = []
+    for k in range(20):
+        marks = rng.integers(0, 1 << 47, (20_000, 2), dtype=np.uint64)
+        docs = np.arange(k * 1000, k * 1000 + 1000, dtype=np.int64)
+        packets.append((0, docs.tobytes(), suffix_dedup._pack(marks), rng.integers(0, 1000, 20_000).astype(np.uint16).tobytes(), None))
+    pdf = pd.DataFrame(packets, columns=["bucket", "docs", "marks", "owners", "kind"])
+    tracemalloc.start()
+    assert len(suffix_dedup._bucket_verdicts(pdf, 2_000)) == 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * sum(len(p[2]) for p in packets)
+
+
+def test_arrow_batches_are_small_inside_the_block_only(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for b in batches:
+            yield b.select([0]).slice(0, 1).rename_columns(["n"]).set_column(0, "n", [b.num_rows]) if b.num_rows else b
+
+    with pytest.raises(ValueError), arrow_batches(spark, 10, 1 << 20):
+        df = spark.range(0, 100, 1, 1).mapInArrow(sizes, "n bigint")
+        assert [r["n"] for r in df.collect()] == [10] * 10
+        raise ValueError
+    assert spark.conf.get(key) == before
+
+
 def test_repeats_of_empty_table(make_docs):
     assert suffix_dedup.remove_repeats(make_docs([])).collect() == []
 
