@@ -18,7 +18,9 @@ node is left (the subroot); the subroots are the leaves of one more tree.
    a missing sender is stood in for by the last block of its subtree, which
    has the same root. A round is one shuffle of `FANOUT` small rows per block.
 4. Proofs: a leaf's siblings inside its block, then those of its block's runs,
-   then those of its source in the tree of subroots.
+   then those of its source in the tree of subroots. A block is taken apart
+   into runs before leaves, so a task holds the proof of one leaf at a time:
+   a block's proofs are some 20 MB, twenty times its leaves.
 
 A digest is 64 hexadecimal characters, and inputs of the hash are joined as
 text, so the same expressions verify proofs inside Spark (`folded`).
@@ -26,10 +28,6 @@ text, so the same expressions verify proofs inside Spark (`folded`).
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +36,7 @@ from branchcost.llm.common import stage_table
 FANOUT = 16
 LEVELS = 3  # levels that a block hashes itself
 HEX = 64
+PATH = "array<struct<place: int, others: int>>"
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -58,10 +57,6 @@ def leaf(df: DataFrame, fields=FIELDS, **instead: Column) -> Column:
     return digest(F.concat(*[field(instead.get(c, F.col(c))) for c in fields]))
 
 
-def _hash(parts: list[str]) -> str:
-    return hashlib.sha256("".join(parts).encode()).hexdigest()
-
-
 def _height(n: int, fanout: int) -> int:
     h = 0
     while n > 1:
@@ -69,12 +64,27 @@ def _height(n: int, fanout: int) -> int:
     return h
 
 
-def subtree(leaves: list[str], levels: int, fanout: int = FANOUT) -> list[list[str]]:
-    """Nodes of each level from the leaves up, `levels` times hashed."""
-    out = [leaves]
-    for _ in range(levels):
-        out.append([_hash(out[-1][i : i + fanout]) for i in range(0, len(out[-1]), fanout)])
-    return out
+def _subtree(leaves: Column, low: Column, fanout: int) -> Column:
+    """Nodes of each level from the leaves up, `low` times hashed: a text for a level, its digests joined."""
+    width = HEX * fanout
+
+    def up(below: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.octet_length(below), F.lit(width))
+        return F.array_join(F.transform(starts, lambda at: F.sha2(F.substring(below, at, F.lit(width)), 256)), "").cast("binary")
+
+    levels = F.array(F.array_join(leaves, "").cast("binary"))
+    return F.aggregate(F.array_repeat(F.lit(0), low), levels, lambda found, _: F.concat(found, F.array(up(F.element_at(found, -1)))))
+
+
+def _without(run: Column, place: Column) -> Column:
+    """A run's digests, joined, but that at `place`."""
+    return F.concat(F.substring(run, F.lit(1), place * HEX), F.substring(run, (place + 1) * HEX + 1, F.octet_length(run)))
+
+
+def _step(run: Column, place: Column) -> Column:
+    """Entry of a proof's path for a node of the run."""
+    others = F.floor(F.octet_length(run) / HEX) - 1
+    return F.struct(place.cast("int").alias("place"), others.cast("int").alias("others"))
 
 
 def _placed(leaves: DataFrame, group: str, order: list[str]) -> DataFrame:
@@ -99,7 +109,7 @@ def _placed(leaves: DataFrame, group: str, order: list[str]) -> DataFrame:
 
 
 def _blocks(placed: DataFrame, carried: list[str], fanout: int, levels: int) -> DataFrame:
-    """A row for each block: its leaves in order and the root of its subtree."""
+    """A row for each block: its leaves in order, the nodes of its subtree by level and its root."""
     span = fanout**levels
     row = F.struct("place", "leaf", *carried)
     packed = (
@@ -107,15 +117,10 @@ def _blocks(placed: DataFrame, carried: list[str], fanout: int, levels: int) ->
         .groupBy("tree", "block")
         .agg(F.max("size").alias("size"), F.sort_array(F.collect_list(row)).alias("leaves"))
     )
-
-    @F.pandas_udf("string")
-    def root(leaves: pd.Series, sizes: pd.Series) -> pd.Series:
-        return pd.Series(
-            [subtree(list(x), min(levels, _height(n, fanout)), fanout)[-1][0] for x, n in zip(leaves, sizes)], dtype=object
-        )
-
-    blocks = packed.withColumn("root", root(F.col("leaves.leaf"), "size"))
-    return stage_table(blocks, "merkle-blocks")
+    # a tree of fewer levels than a block has ends in its only block
+    low = sum((F.col("size") > fanout**k).cast("int") for k in range(levels))
+    blocks = packed.withColumn("nodes", _subtree(F.col("leaves.leaf"), low, fanout))
+    return stage_table(blocks.withColumn("root", F.element_at("nodes", -1).cast("string")), "merkle-blocks")
 
 
 def _exchanged(blocks: DataFrame, fanout: int, levels: int) -> DataFrame:
@@ -161,44 +166,48 @@ def _exchanged(blocks: DataFrame, fanout: int, levels: int) -> DataFrame:
     return state.select("tree", "block", "root", "runs")
 
 
-PROOF = "proof string, path array<struct<place: int, others: int>>"
-
-
 def _proved(blocks: DataFrame, states: DataFrame, carried: list[str], fanout: int, levels: int) -> DataFrame:
     """(tree, root, *carried, leaf, proof, path) of every leaf."""
-    span = fanout**levels
+    nothing, no_path = F.lit("").cast("binary"), F.array().cast(PATH)
+    rows = blocks.join(states.select("tree", "block", F.col("root").alias("top"), "runs"), ["tree", "block"])
 
-    @F.pandas_udf("array<struct<proof: string, path: array<struct<place: int, others: int>>>>")
-    def proofs(leaves: pd.Series, sizes: pd.Series, numbers: pd.Series, runs: pd.Series) -> pd.Series:
-        out = []
-        for own, size, block, above in zip(leaves, sizes, numbers, runs):
-            low = min(levels, _height(int(size), fanout))
-            nodes = subtree(list(own), low, fanout)
-            # the runs above the block are the same for all its leaves
-            upper, upper_path, at = "", [], int(block)
-            for run in above:
-                place = at % fanout
-                upper += run[: HEX * place] + run[HEX * (place + 1) :]
-                upper_path.append({"place": place, "others": len(run) // HEX - 1})
-                at //= fanout
-            rows = []
-            for i in range(len(own)):
-                proof, path, at = [], [], i
-                for level in nodes[:-1]:
-                    first = at - at % fanout
-                    run = level[first : first + fanout]
-                    path.append({"place": at - first, "others": len(run) - 1})
-                    del run[at - first]
-                    proof += run
-                    at //= fanout
-                rows.append({"proof": "".join(proof) + upper, "path": path + upper_path})
-            out.append(rows)
-        return pd.Series(out, dtype=object)
+    def at_height(number: Column, height: Column) -> Column:
+        """Place, in its run, of the node above a node of that number."""
+        return F.floor(number / F.pow(F.lit(fanout), height)) % fanout
+
+    # the runs above the block are the same for all its leaves
+    upper = F.transform("runs", lambda run, k: _without(run, at_height(F.col("block"), k).cast("int")))
+    upper_path = F.transform("runs", lambda run, k: _step(run, at_height(F.col("block"), k)))
+    # a single leaf that is its tree's root is in no run
+    rows = rows.withColumns({"upper": F.array_join(upper, ""), "upper_path": upper_path, "low": F.size("nodes") - 1})
+
+    def of_run(number: Column) -> Column:
+        """A run of leaves, its digests, and the proof and path that its leaves share inside the block."""
+        proof, path = nothing, no_path
+        for k in range(1, levels):
+            place = at_height(number, F.lit(k - 1)).cast("int")
+            first = F.floor(number / fanout ** (k - 1)).cast("int") - place
+            run = F.substring(F.get("nodes", F.lit(k)), first * HEX + 1, F.lit(fanout * HEX))
+            proof = F.concat(proof, F.when(F.col("low") > k, _without(run, place)).otherwise(nothing))
+            path = F.concat(path, F.when(F.col("low") > k, F.array(_step(run, place))).otherwise(no_path))
+        return F.struct(
+            F.slice("leaves", number * fanout + 1, fanout).alias("leaves"),
+            F.substring(F.get("nodes", F.lit(0)), number * fanout * HEX + 1, F.lit(fanout * HEX)).alias("run"),
+            proof.alias("proof"),
+            path.alias("path"),
+        )
 
-    rows = blocks.join(states.select("tree", "block", F.col("root").alias("top"), "runs"), ["tree", "block"])
-    rows = rows.withColumn("proofs", proofs(F.col("leaves.leaf"), "size", "block", "runs"))
-    each = rows.select("tree", F.col("top").alias("root"), F.explode(F.arrays_zip("leaves", "proofs")).alias("r"))
-    return each.select("tree", "root", *[F.col(f"r.leaves.{c}").alias(c) for c in [*carried, "leaf"]], "r.proofs.proof", "r.proofs.path")
+    numbers = F.sequence(F.lit(0), F.floor((F.size("leaves") - 1) / fanout).cast("int"))
+    runs = rows.select("tree", "top", "low", "upper", "upper_path", F.explode(F.transform(numbers, of_run)).alias("r"))
+    each = runs.select("*", F.posexplode("r.leaves").alias("place", "own"))
+    path = F.when(F.col("low") > 0, F.array(_step(F.col("r.run"), F.col("place")))).otherwise(no_path)
+    return each.select(
+        "tree",
+        F.col("top").alias("root"),
+        *[F.col(f"own.{c}").alias(c) for c in [*carried, "leaf"]],
+        F.concat(_without(F.col("r.run"), F.col("place")), F.col("r.proof"), F.col("upper").cast("binary")).cast("string").alias("proof"),
+        F.concat(path, F.col("r.path"), F.col("upper_path")).alias("path"),
+    )
 
 
 def manifest(

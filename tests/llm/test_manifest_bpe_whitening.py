@@ -101,6 +101,34 @@ def test_rounds_of_the_butterfly(make_docs, fanout, levels):
     assert _sorted(got) == _sorted(want)
 
 
+def test_trees_around_the_size_of_a_block(make_docs):
+    sizes = [1, 2, 3, 4, 8, 9, 10, 16, 17, 27, 28, 55]
+    rows = [(100 * n + i, f"text {n} {i}", f"s{n}") for n in sizes for i in range(n)]
+    docs = make_docs(rows)
+    for fanout, levels in ((2, 3), (3, 2), (3, 3)):
+        found = merkle.document_manifest(docs, None, fanout, levels)
+        root = merkle.folded(F.col("shown"), F.col("proof"), F.col("path"))
+        got = found.select("doc_id", "leaf", "subroot", "root", merkle.digest(F.col("proof")), root.alias("folded")).collect()
+        want = [(*w[:5], w[3]) for w in _manifest([r.asDict() for r in docs.collect()], fanout)]
+        assert _sorted(got) == _sorted(want)
+
+
+def test_no_blocks_of_proofs_in_python(make_docs, monkeypatch):
+    plans, stage = [], merkle.stage_table
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(merkle, "stage_table", lambda df, name: stage(planned(df), name))
+    docs = make_docs([(i, f"text {i}", "ab"[i % 2]) for i in range(20)])
+    last = planned(merkle.document_manifest(docs))
+    # a batch for a Python worker has thousands of rows, and a block's proofs are 20 MB
+    assert len(plans) > 5 and not [p for p in plans if "Python" in p or "Pandas" in p]
+    # block to runs to leaves: no row holds more than a run's proofs
+    assert last.count() == 20 and plans[-1].count("Generate ") >= 2 and "posexplode" in plans[-1]
+
+
 def test_manifest_of_one_row_and_of_none(spark, make_docs, tmp_path):
     one = _query(make_docs([(7, None, None)]), tmp_path / "one")
     assert one[0]["leaf"] == one[0]["subroot"] == one[0]["root"] == one[0]["folded_root"] and one[0]["verified"]
